@@ -96,13 +96,13 @@ HITS = """
 hits AS (
   SELECT 'S' || l_suppkey AS sample, CASE l_returnflag WHEN 'A' THEN 'AMR' WHEN 'N' THEN 'VIRULENCE' ELSE 'STRESS' END AS type,
     CASE WHEN l_linestatus = 'F' THEN 'core' ELSE 'plus' END AS scope, p_brand AS symbol, p_name, p_type, p_size, l_returnflag,
-    row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey) AS at
+    row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey) AS ord
   FROM lineitem JOIN part ON l_partkey = p_partkey),
 amr AS (
   SELECT s.sample AS "Sample", {lists} FROM (SELECT DISTINCT sample FROM hits) s)"""
 
 
-def _seen(cond: str, text: str, glue: str = " ", table: str = "hits", at: str = "at") -> str:
+def _seen(cond: str, text: str, glue: str = " ", table: str = "hits", at: str = "ord") -> str:
     return (
         f"(SELECT string_agg(t, '{glue}' ORDER BY a) FROM (SELECT {text} AS t, min({at}) AS a FROM {table} h"
         f" WHERE h.sample = s.sample AND {cond} GROUP BY {text}))"
@@ -116,8 +116,8 @@ HITS = HITS.replace("{lists}", ", ".join(
 genes_of AS (
   SELECT s.sample AS "Sample", coalesce({_seen("p_size <> 7", "symbol")}, '') AS "GENE_resfinder" FROM (SELECT DISTINCT sample FROM hits) s),
 drugs AS (
-  SELECT sample, p_type AS class, p_name AS drug, min(at) AS at FROM hits WHERE l_returnflag = 'R' AND p_size <> 13 GROUP BY ALL),
-classes AS (SELECT sample, class, string_agg(drug, '-' ORDER BY at) || '[' || class || ']' AS t FROM drugs GROUP BY sample, class),
+  SELECT sample, p_type AS class, p_name AS drug, min(ord) AS ord FROM hits WHERE l_returnflag = 'R' AND p_size <> 13 GROUP BY ALL),
+classes AS (SELECT sample, class, string_agg(drug, '-' ORDER BY ord) || '[' || class || ']' AS t FROM drugs GROUP BY sample, class),
 pheno_of AS (
   SELECT s.sample AS "Sample", coalesce((SELECT string_agg(t, ' ' ORDER BY class) FROM classes c WHERE c.sample = s.sample), '') AS "PHENO_resfinder"
   FROM (SELECT DISTINCT sample FROM hits) s)"""
@@ -296,12 +296,12 @@ places AS (
   FROM (SELECT *, unnest(range(1, least(200, length(part) - {k} + 1) + 1)) AS p FROM parts WHERE length(part) >= {k})),
 diagonals AS (
   SELECT sample, contig_id, gene, strand, pos - gene_pos AS diag FROM places JOIN seeds USING (kmer) GROUP BY ALL HAVING count(*) >= 2),
-overlaps AS (
+laps AS (
   SELECT d.*, s.seq AS g, c.seq AS c, greatest(1, 1 - diag) AS b, least(length(s.seq), length(c.seq) - diag) AS e
   FROM diagonals d JOIN strands s USING (gene, strand) JOIN {contigs} c USING (sample, contig_id)),
 cut AS (
   SELECT sample, contig_id, gene, strand, b + diag AS s0, e - b + 1 AS n, length(g) AS size, substr(g, b, e - b + 1) AS x, substr(c, b + diag, e - b + 1) AS y
-  FROM overlaps WHERE e - b + 1 >= length(g) * {coverage}::DOUBLE),
+  FROM laps WHERE e - b + 1 >= length(g) * {coverage}::DOUBLE),
 scored AS (SELECT *, n - hamming(x, y) AS same FROM cut),
 hits AS (
   SELECT sample, contig_id, gene, strand, s0::BIGINT AS start, (s0 + n - 1)::BIGINT AS "end", round(n / size, 6) AS coverage, round(same / n, 6) AS identity
@@ -500,11 +500,11 @@ _q("latest_version", "", "SELECT max(strftime(o_orderdate, '%Y-%m-%d') || '.' ||
 _LAB = SHEET + f""",
 own AS (
   SELECT 'M' || l_orderkey AS sample, CASE WHEN l_returnflag = 'A' THEN 'AMR' ELSE 'VIRULENCE' END AS type, p_brand AS symbol,
-    row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS at FROM lineitem JOIN part ON l_partkey = p_partkey),
-firsts AS (SELECT sample, symbol, min(at) AS at, min(at) FILTER (type = 'AMR') AS a, min(at) FILTER (type = 'VIRULENCE') AS v FROM own GROUP BY sample, symbol),
+    row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS ord FROM lineitem JOIN part ON l_partkey = p_partkey),
+firsts AS (SELECT sample, symbol, min(ord) AS ord, min(ord) FILTER (type = 'AMR') AS a, min(ord) FILTER (type = 'VIRULENCE') AS v FROM own GROUP BY sample, symbol),
 results AS (
   SELECT sample, coalesce(string_agg(symbol, ' ' ORDER BY a) FILTER (a IS NOT NULL), '') AS amr, coalesce(string_agg(symbol, ' ' ORDER BY v) FILTER (v IS NOT NULL), '') AS vir,
-    string_agg(symbol, ' ' ORDER BY at) AS core FROM firsts GROUP BY sample),
+    string_agg(symbol, ' ' ORDER BY ord) AS core FROM firsts GROUP BY sample),
 labs AS (SELECT m.*, r.amr, r.vir, r.core FROM methods m LEFT JOIN results r ON m.id = r.sample)"""
 _LAB_SQL = {
     "CODIGO_MUESTRA_ORIGEN": "id", "PETICION": "id2", "FECHA_TOMA_MUESTRA": "coalesce(strftime(day, '%Y-%m-%d'), collection_date)", "ESPECIE_SECUENCIA": "organism",
