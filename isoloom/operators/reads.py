@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoloom.functions.dna import count_of
-from isoloom.functions.quality import count_below, count_from, tail_keep, with_computed
+from isoloom.functions.quality import count_below, count_from, tail_keep
 
 # Defaults of the filters.
 TAIL_WINDOW, TAIL_MEAN = 10, 20
@@ -18,7 +18,7 @@ VERDICTS = ("passed", "low_quality", "too_many_n", "too_short")
 
 def cut_tail(reads: DataFrame, window: int = TAIL_WINDOW, mean: int = TAIL_MEAN) -> DataFrame:
     """Reads cut behind the last window of good mean quality; reads without one become empty."""
-    kept = with_computed(reads, _keep=tail_keep(F.col("qual"), window, mean))
+    kept = reads.withColumn("_keep", tail_keep(F.col("qual"), window, mean))
     return kept.withColumns({c: F.col(c).substr(F.lit(1), F.col("_keep")) for c in ("seq", "qual")}).drop("_keep")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoloom.functions.dna import kmer_rows, piece, revcomp
-from isoloom.session import broadcast_if_small
+from isoloom.session import broadcast_if_small, with_computed
 
 # Thresholds of the acquired-gene screen and of the coverage-only screen.
 COVERAGE, IDENTITY = 0.6, 0.8
@@ -39,39 +39,38 @@ def gene_screen(
 ) -> DataFrame:
     """Every (gene, contig, strand, diagonal) with enough shared k-mers, coverage and identity.
 
-    Only positions travel through the seed join; they are added up per diagonal before the shuffle. Sequences are
-    joined back for the diagonals that remain. No frequent seed is dropped: a k-mer found in very many places costs
-    one counter per gene and diagonal, and a skewed shuffle join is split at run time.
+    Only positions travel through the seed join; they are added up per diagonal before the shuffle. No frequent seed is
+    dropped. What the counts already rule out goes before any sequence is looked at: too short an overlap, or fewer
+    shared k-mers than the allowed mismatches could destroy (each mismatch breaks at most k of them).
     """
     strands = both_strands(genes)
-    seeds = kmer_rows(strands, "seq", k, ["gene", "strand"]).withColumnRenamed("pos", "gene_pos")
+    library = strands.withColumn("size", F.length("seq"))
+    seeds = kmer_rows(library, "seq", k, ["gene", "strand", "size"]).withColumnRenamed("pos", "gene_pos")
     seeds = broadcast_if_small(seeds, ["gene", "kmer"])
-    places = kmer_rows(contigs, "seq", k, ["sample", "contig_id"])
-    shared = places.join(seeds, "kmer")
-    diagonals = (
-        shared.groupBy("sample", "contig_id", "gene", "strand", (F.col("pos") - F.col("gene_pos")).alias("diag"))
-        .agg(F.count("*").alias("seeds"))
-        .filter(F.col("seeds") >= min_seeds)
+    key = ["sample", "contig_id"]
+    sized = contigs.withColumn("contig_len", F.length("seq"))
+    shared = kmer_rows(sized, "seq", k, [*key, "contig_len"]).join(seeds, "kmer")
+    diagonals = shared.groupBy(
+        *key, "contig_len", "gene", "strand", "size", (F.col("pos") - F.col("gene_pos")).alias("diag")
+    ).agg(F.count("*").alias("seeds"))
+    placed = diagonals.withColumn("begin", F.greatest(F.lit(1), 1 - F.col("diag"))).withColumn(
+        "overlap", F.least(F.col("size"), F.col("contig_len") - F.col("diag")) - F.col("begin") + 1
     )
-    library = broadcast_if_small(strands.withColumnRenamed("seq", "gene_seq"), ["gene", "gene_seq"])
-    placed = diagonals.join(library, ["gene", "strand"]).join(
-        contigs.select("sample", "contig_id", F.col("seq").cast("binary").alias("bin"), F.length("seq").alias("contig_len")),
-        ["sample", "contig_id"],
-    )
-    size = F.length("gene_seq")
-    begin = F.greatest(F.lit(1), 1 - F.col("diag"))
-    end = F.least(size, F.col("contig_len") - F.col("diag"))
-    overlap = placed.withColumns({"begin": begin, "overlap": end - begin + 1, "size": size}).filter(
-        F.col("overlap") >= F.col("size") * coverage
+    spared = F.col("overlap") - (k - 1) - F.floor(F.col("overlap") * (1 - identity) + 1e-9) * k
+    candidates = placed.filter(
+        (F.col("seeds") >= min_seeds) & (F.col("overlap") >= F.col("size") * coverage) & (F.col("seeds") >= spared)
     )
+    gene_seqs = broadcast_if_small(strands.withColumnRenamed("seq", "gene_seq"), ["gene", "gene_seq"])
+    contig_seqs = contigs.select(*key, F.col("seq").cast("binary").alias("bin"))
+    pairs = candidates.join(gene_seqs, ["gene", "strand"]).join(contig_seqs, key)
     same = equal_bases(
         F.col("gene_seq").substr(F.col("begin"), F.col("overlap")),
         piece(F.col("bin"), F.col("begin") + F.col("diag"), F.col("overlap")).cast("string"),
     )
-    scored = overlap.withColumn("same", same).filter(F.col("same") >= F.col("overlap") * identity)
+    scored = with_computed(pairs, same=same).filter(F.col("same") >= F.col("overlap") * identity)
     first = F.col("begin") + F.col("diag")
     return scored.select(
-        "sample", "contig_id", "gene", "strand",
+        *key, "gene", "strand",
         first.cast("long").alias("start"), (first + F.col("overlap") - 1).cast("long").alias("end"),
         F.round(F.col("overlap") / F.col("size"), 6).alias("coverage"),
         F.round(F.col("same") / F.col("overlap"), 6).alias("identity"),

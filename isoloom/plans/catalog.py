@@ -146,7 +146,7 @@ def gff_rewrite(spark, d):
 def write_validated(spark, d):
     _, valid = validation.validate(views.sheet_raw(spark, d), "gva")
     path = scratch_path(spark, "validated")
-    sinks.write_validated(valid, path, ("sheet",))
+    sinks.write_validated(valid, path)
     back = scan_sheet(spark, path, ";")
     return back.select("id", "id2", "collection_date", "organism", "relevance", "outbreak_id", "illumina_r1", "illumina_r2", "nanopore")
 

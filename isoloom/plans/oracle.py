@@ -32,7 +32,7 @@ keys AS (SELECT *, o_orderkey AS k, o_custkey AS c FROM orders),
 sheet0 AS (
   SELECT k, c,
     (CASE WHEN c % 50 = 7 THEN '2405' ELSE '2405' || lpad((c % 28 + 1)::VARCHAR, 2, '0') END)
-      || '_' || {_list(v.SITES)}[c % 9 + 1] || lpad((c % 200)::VARCHAR, 3, '0') AS run,
+      || '_' || {_list(v.SITES)}[c % 9 + 1] || lpad((c % 20)::VARCHAR, 3, '0') AS run,
     day(o_orderdate)::VARCHAR AS dd, month(o_orderdate)::VARCHAR AS mm, year(o_orderdate)::VARCHAR AS yy,
     o_orderstatus, o_orderpriority
   FROM keys),

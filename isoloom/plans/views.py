@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoloom.functions.dna import revcomp
+from isoloom.session import spread, with_computed
 
 LETTERS, BASES = "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC"
 PIECE = 100
@@ -23,6 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"))
+
+
 def _text(*parts) -> Column:
     return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
 
@@ -40,7 +45,7 @@ def dna(text: Column) -> Column:
 
 def run_of(customer: Column) -> Column:
     day = F.lpad((customer % 28 + 1).cast("string"), 2, "0")
-    serial = F.lpad((customer % 200).cast("string"), 3, "0")
+    serial = F.lpad((customer % 20).cast("string"), 3, "0")
     stamp = F.when(customer % 50 == 7, "2405").otherwise(F.concat(F.lit("2405"), day))
     return F.concat(stamp, F.lit("_"), _nth(SITES, customer % 9), serial)
 
@@ -186,10 +191,8 @@ def gff_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(
-        F.col("source").alias("sample"), F.col("doc_id").cast("string").alias("contig_id"), dna(F.col("text")).alias("seq")
-    )
-    return docs.filter(F.col("seq") != "")
+    docs = with_computed(texts(spark, sf_dir), seq=dna(F.col("text"))).filter(F.col("seq") != "")
+    return docs.select(F.col("source").alias("sample"), F.col("doc_id").cast("string").alias("contig_id"), "seq")
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,22 +200,20 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Qualities fall along the read at a pace set by the document; N stands at a stride set by document and piece.
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", dna(F.col("text")).alias("dna")).filter("dna <> ''")
+    docs = with_computed(texts(spark, sf_dir), dna=dna(F.col("text")).cast("binary")).filter("length(dna) > 0")
     last = F.expr(f"(length(dna) - 1) div {PIECE}").cast("int")
     pieces = docs.select("doc_id", "source", "dna", F.explode(F.sequence(F.lit(0), last)).alias("i"))
-    cut = F.substring(F.col("dna").cast("binary"), F.col("i") * PIECE + 1, F.lit(PIECE)).cast("string")
-    pieces = pieces.select("doc_id", "source", "i", cut.alias("base"))
+    cut = F.substring(F.col("dna"), F.col("i") * PIECE + 1, F.lit(PIECE)).cast("string")
+    pieces = with_computed(pieces.select("doc_id", "source", "i", "dna"), base=cut).drop("dna")
     stride = (7 + (F.col("doc_id") + F.col("i")) % 50).cast("int")
-    steps = F.sequence(F.lit(1), F.length("base"))
-    base = lambda p: F.col("base").substr(p, F.lit(1))
-    seq = F.array_join(F.transform(steps, lambda p: F.when(p % stride == 0, "N").otherwise(base(p))), "")
-    fall = (F.col("doc_id") % 6).cast("int")
-    drop = lambda p: F.floor(p * fall / 10).cast("int") + (p * 7 + F.ascii(base(p))) % 9
-    qual = F.array_join(F.transform(steps, lambda p: F.char(33 + F.greatest(F.lit(2), 40 - drop(p)))), "")
-    return pieces.select(
+    pieces = with_computed(pieces, chars=F.split("base", ""), stride=stride, fall=(F.col("doc_id") % 6).cast("int"))
+    seq = F.array_join(F.transform("chars", lambda c, p: F.when((p + 1) % F.col("stride") == 0, "N").otherwise(c)), "")
+    drop = lambda c, p: F.floor((p + 1) * F.col("fall") / 10).cast("int") + ((p + 1) * 7 + F.ascii(c)) % 9
+    qual = F.array_join(F.transform("chars", lambda c, p: F.char(33 + F.greatest(F.lit(2), 40 - drop(c, p)))), "")
+    return with_computed(pieces, seq=seq, qual=qual).select(
         F.col("source").alias("sample"),
         F.concat_ws("_", F.col("doc_id").cast("string"), F.expr("i div 2").cast("string")).alias("pair_id"),
-        (F.col("i") % 2 + 1).alias("mate"), seq.alias("seq"), qual.alias("qual"),
+        (F.col("i") % 2 + 1).alias("mate"), "seq", "qual",
     )
 
 
@@ -307,16 +308,16 @@ def reference_genomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as reference sequences with the lineage language, then source in that language."""
     lang = F.ascii(F.col("lang")).cast("long") * 1000 + F.ascii(F.substring("lang", 2, 1))
     source = F.regexp_extract("source", r"(\d+)", 1).cast("long")
-    return table(spark, sf_dir, "documents").select(
-        lang.alias("l1"), (lang * 100000 + source).alias("l2"), dna(F.col("text")).alias("seq")
+    return with_computed(texts(spark, sf_dir), seq=dna(F.col("text"))).select(
+        lang.alias("l1"), (lang * 100000 + source).alias("l2"), "seq"
     )
 
 
 def taxon_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations as reads: two turns make a pair."""
-    c = table(spark, sf_dir, "conversations")
-    return c.select(
+    c = spread(table(spark, sf_dir, "conversations"))
+    return with_computed(c, seq=dna(F.col("text"))).select(
         _text("C", F.col("conv_id") % 12).alias("sample"),
         F.concat_ws("_", F.col("conv_id").cast("string"), F.expr("turn div 2").cast("string")).alias("read_id"),
-        (F.col("turn") % 2 + 1).alias("mate"), dna(F.col("text")).alias("seq"),
+        (F.col("turn") % 2 + 1).alias("mate"), "seq",
     )

@@ -7,14 +7,19 @@ import uuid
 from collections.abc import Sequence
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 48
 
 
-def build_session(app: str = "isoloom", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def build_session(
+    app: str = "isoloom",
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
+    driver_memory: str | None = None,
+) -> SparkSession:
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
@@ -25,6 +30,8 @@ def build_session(app: str = "isoloom", master: str | None = None, shuffle_parti
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     return builder.getOrCreate()
 
 
@@ -58,3 +65,17 @@ def bytes_within(df: DataFrame, variable_width: Sequence[str] = (), max_bytes: i
 def broadcast_if_small(df: DataFrame, variable_width: Sequence[str] = (), max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Hint a broadcast only after measuring the side; larger sides keep the shuffle join."""
     return F.broadcast(df) if bytes_within(df, variable_width, max_bytes) else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan with fewer splits than cores (one small file, one unsplittable archive) enough partitions for costly
+    per-row work. Scans that already have them, as on large data, are left alone and are not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < 2 * cores else df
+
+
+def with_computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns behind a one-row generator, so that later filters and projections reuse their values
+    instead of repeating the expressions."""
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select("*", F.inline(F.array(row)))

@@ -13,8 +13,13 @@ def _as_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.concat_ws(" ", c).alias(c) if t.startswith("array") else F.col(f"`{c}`") for c, t in df.dtypes])
 
 
+def _by_folder(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """Rows of a folder come together, so it gets few files; a folder with very many rows is split at run time."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def write_delimited(df: DataFrame, path: str, sep: str, partition_by: tuple[str, ...] = ()) -> None:
-    writer = _as_text(df).write.mode("overwrite")
+    writer = _by_folder(_as_text(df), partition_by).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     # cells are written as they are: blanks kept, empty texts without quotes
@@ -57,18 +62,19 @@ def write_manifest(files: DataFrame, path: str) -> None:
 
 def write_qc_metrics(metrics: DataFrame, path: str) -> None:
     """Long metric table, one folder per stage."""
-    metrics.write.mode("overwrite").partitionBy("stage").parquet(path)
+    _by_folder(metrics, ("stage",)).write.mode("overwrite").partitionBy("stage").parquet(path)
 
 
 def write_fastq(reads: DataFrame, path: str, partition_by: tuple[str, ...] = (), compression: str = "gzip") -> None:
     """Four lines per read."""
     record = F.concat_ws("\n", F.concat(F.lit("@"), "read_id"), "seq", F.lit("+"), "qual")
-    writer = reads.select(*partition_by, record.alias("value")).write.mode("overwrite").option("compression", compression)
+    lines = _by_folder(reads.select(*partition_by, record.alias("value")), partition_by)
+    writer = lines.write.mode("overwrite").option("compression", compression)
     (writer.partitionBy(*partition_by) if partition_by else writer).text(path)
 
 
 def write_fasta(records: DataFrame, path: str, partition_by: tuple[str, ...] = (), width: int = 60) -> None:
     wrapped = F.regexp_replace("seq", f"(.{{{width}}})(?=.)", "$1\n")
     record = F.concat(F.lit(">"), "id", F.lit("\n"), wrapped)
-    writer = records.select(*partition_by, record.alias("value")).write.mode("overwrite")
+    writer = _by_folder(records.select(*partition_by, record.alias("value")), partition_by).write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).text(path)

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from isoloom.session import with_computed
 from isoloom.sources.lines import numbered_lines
 
 READ_SCHEMA = "file string, read_id string, seq string, qual string"
@@ -36,11 +37,10 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tidy(reads: DataFrame) -> DataFrame:
+    """Without the leading @ and without line ends of other systems."""
     return reads.select(
-        "file",
-        F.regexp_replace("read_id", r"^@|\r$", "").alias("read_id"),
-        F.regexp_replace("seq", r"\s+$", "").alias("seq"),
-        F.regexp_replace("qual", r"[\r\n]+$", "").alias("qual"),
+        "file", F.expr("trim(LEADING '@' FROM trim(TRAILING '\r' FROM read_id))").alias("read_id"),
+        F.expr("trim(TRAILING '\r' FROM seq)").alias("seq"), F.expr("trim(TRAILING '\r' FROM qual)").alias("qual"),
     )
 
 
@@ -68,12 +68,10 @@ def scan_fasta(spark: SparkSession, path: str | list[str], **options) -> DataFra
         .select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", r"^\s*>", "").alias("record"))
         .filter(F.trim("record") != "")
     )
-    parts = F.split("record", r"\r?\n", 2)
-    return records.select(
-        "file",
-        F.element_at(F.split(F.get(parts, F.lit(0)), r"\s+"), 1).alias("id"),
-        F.trim(F.get(parts, F.lit(0))).alias("description"),
-        F.upper(F.regexp_replace(F.coalesce(F.get(parts, F.lit(1)), F.lit("")), r"\s+", "")).alias("seq"),
+    body = F.substring_index("record", "\n", 1)
+    letters = F.translate(F.expr("substring(record, length(substring_index(record, '\n', 1)) + 1)"), " \t\r\n", "")
+    return with_computed(records, head=F.trim(F.translate(body, "\r", "")), seq=F.upper(letters)).select(
+        "file", F.element_at(F.split("head", r"\s+"), 1).alias("id"), F.col("head").alias("description"), "seq"
     )
 
 
