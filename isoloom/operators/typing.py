@@ -106,20 +106,24 @@ def locus_status(exact: DataFrame, near: DataFrame, alleles: DataFrame) -> DataF
         F.array_sort(F.collect_list(F.when(F.col("kind") == 2, F.col("number")))).alias("exact"),
         pick(1).alias("novel"), pick(0).alias("partial"),
     )
-    loci = alleles.select("scheme", "locus").distinct()
-    wanted = found.select("sample", "scheme").distinct().join(loci, "scheme")
     names = F.array_join(F.transform("exact", lambda a: a["allele"]), ",")
     status = (
         F.when(F.size("exact") > 0, names)
         .when(F.col("novel").isNotNull(), F.concat(F.lit("~"), "novel"))
-        .when(F.col("partial").isNotNull(), F.concat("partial", F.lit("?")))
-        .otherwise("-")
+        .otherwise(F.concat("partial", F.lit("?")))
     )
     state = (
-        F.when(F.size("exact") == 1, "exact").when(F.size("exact") > 1, "several").when(F.col("novel").isNotNull(), "novel")
-        .when(F.col("partial").isNotNull(), "partial").otherwise("none")
+        F.when(F.size("exact") == 1, "exact").when(F.size("exact") > 1, "several")
+        .when(F.col("novel").isNotNull(), "novel").otherwise("partial")
+    )
+    cell = F.struct(F.col("locus"), F.struct(status.alias("status"), state.alias("state")))
+    seen = found.groupBy("sample", "scheme").agg(F.map_from_entries(F.collect_list(cell)).alias("cells"))
+    loci = alleles.groupBy("scheme").agg(F.array_sort(F.collect_set("locus")).alias("loci"))
+    each = seen.join(loci, "scheme").select("sample", "scheme", "cells", F.explode("loci").alias("locus"))
+    here = F.try_element_at("cells", F.col("locus"))
+    return each.select(
+        *key, F.coalesce(here["status"], F.lit("-")).alias("status"), F.coalesce(here["state"], F.lit("none")).alias("state")
     )
-    return wanted.join(found, key, "left").select(*key, status.alias("status"), state.alias("state"))
 
 
 def _profile_key(locus: str, allele: str) -> Column:
@@ -127,39 +131,45 @@ def _profile_key(locus: str, allele: str) -> Column:
     return F.array_join(F.array_sort(F.collect_list(F.concat(locus, F.lit("="), allele))), ";")
 
 
-def profile_lookup(status: DataFrame, profiles: DataFrame) -> DataFrame:
-    """``sample, scheme, st``: the type whose profile equals the alleles; ``-`` if a locus is unclear or none matches."""
-    keyed = status.groupBy("sample", "scheme").agg(
-        F.bool_and(F.col("state") == "exact").alias("clear"), _profile_key("locus", "status").alias("profile")
-    )
-    known = profiles.groupBy("scheme", "st").agg(_profile_key("locus", "allele").alias("profile"))
-    known = known.groupBy("scheme", "profile").agg(F.min("st").alias("st"))
-    typed = keyed.withColumn("profile", F.when(F.col("clear"), F.col("profile"))).join(known, ["scheme", "profile"], "left")
-    return typed.select("sample", "scheme", F.coalesce("st", F.lit("-")).alias("st"))
-
+def scheme_calls(status: DataFrame, profiles: DataFrame) -> DataFrame:
+    """``sample, scheme, st, score, alleles``: one pass over the loci of each scheme, then the profile looked up.
 
-def best_scheme(status: DataFrame, types: DataFrame) -> DataFrame:
-    """One row per sample: the scheme with the most points, its type and its loci as ``locus(status)``."""
+    The type is the one whose profile equals the alleles; ``-`` if a locus is unclear or none matches.
+    """
     points = (
         F.when(F.col("state").isin("exact", "several"), EXACT_POINTS).when(F.col("state") == "novel", NOVEL_POINTS)
         .when(F.col("state") == "partial", PARTIAL_POINTS).otherwise(0.0)
     )
-    scored = status.groupBy("sample", "scheme").agg(
+    keyed = status.groupBy("sample", "scheme").agg(
+        F.bool_and(F.col("state") == "exact").alias("clear"),
+        _profile_key("locus", "status").alias("key"),
         (F.sum(points) / F.count("*")).alias("points"),
         F.array_sort(F.collect_list(F.concat("locus", F.lit("("), "status", F.lit(")")))).alias("alleles"),
     )
-    scored = scored.join(types, ["sample", "scheme"]).withColumn(
-        "score", F.round(F.col("points") + F.when(F.col("st") != "-", TYPE_BONUS).otherwise(0.0), 6)
+    known = profiles.groupBy("scheme", "st").agg(_profile_key("locus", "allele").alias("profile"))
+    known = known.groupBy("scheme", "profile").agg(F.min("st").alias("known_st"))
+    typed = keyed.withColumn("profile", F.when(F.col("clear"), F.col("key"))).join(known, ["scheme", "profile"], "left")
+    bonus = F.when(F.col("known_st").isNotNull(), TYPE_BONUS).otherwise(0.0)
+    return typed.select(
+        "sample", "scheme", F.coalesce("known_st", F.lit("-")).alias("st"), F.round(F.col("points") + bonus, 6).alias("score"), "alleles"
     )
+
+
+def profile_lookup(status: DataFrame, profiles: DataFrame) -> DataFrame:
+    return scheme_calls(status, profiles).select("sample", "scheme", "st")
+
+
+def best_scheme(calls: DataFrame) -> DataFrame:
+    """One row per sample: the scheme with the most points; equal points go to the first scheme name."""
     order = Window.partitionBy("sample").orderBy(F.desc("score"), "scheme")
-    first = scored.withColumn("nth", F.row_number().over(order)).filter("nth = 1")
+    first = calls.withColumn("nth", F.row_number().over(order)).filter("nth = 1")
     return first.select("sample", "scheme", "st", "score", "alleles")
 
 
 def call_types(contigs: DataFrame, alleles: DataFrame, profiles: DataFrame, k: int = SEED) -> DataFrame:
     """The typing call of every sample that has contigs; samples without any hit get ``-``."""
     status = locus_status(allele_exact(contigs, alleles), near_alleles(contigs, alleles, k), alleles)
-    best = best_scheme(status, profile_lookup(status, profiles))
+    best = best_scheme(scheme_calls(status, profiles))
     none = F.lit("-")
     return contigs.select("sample").distinct().join(best, "sample", "left").select(
         "sample", F.coalesce("scheme", none).alias("scheme"), F.coalesce("st", none).alias("st"),
