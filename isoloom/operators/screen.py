@@ -101,7 +101,8 @@ def gene_phenotype(hits: DataFrame, catalogue: DataFrame) -> DataFrame:
     panel = catalogue.select("class", "antimicrobial").distinct()
     drugs = panel.agg(F.array_sort(F.collect_set(F.struct("class", "antimicrobial"))).alias("drugs")).select("drugs").scalar()
     rows = hits.select("sample").distinct().select("sample", F.explode(drugs).alias("d")).select("sample", "d.*")
-    found = hits.select("sample", "gene").distinct().join(catalogue, "gene").groupBy("sample", "class", "antimicrobial").agg(
+    drugs_of = broadcast_if_small(catalogue, ["gene", "class", "antimicrobial"])  # a gene many samples share is no hot spot
+    found = hits.select("sample", "gene").distinct().join(drugs_of, "gene").groupBy("sample", "class", "antimicrobial").agg(
         F.count_distinct("gene").alias("genes")
     )
     out = rows.join(found, ["sample", "class", "antimicrobial"], "left")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from isoloom.functions.dates import iso_or_original, parse_date
 from isoloom.functions.names import run_name_issue
 from isoloom.functions.text import is_blank, is_given, organism_key
+from isoloom.session import broadcast_if_small
 
 FATAL, ERROR, WARNING = 3, 2, 1
 
@@ -210,28 +211,30 @@ def validate(
     header = [c for c in sheet.columns if c not in ("sheet", "row_no", "run")]
     listed = sheet.select("sheet").distinct()
     header_issues = [_sheet_level(listed, sev, "header", code, F.lit(names)) for sev, code, names in column_problems(header, mode)]
-    fatal_names = run_name_issues(sheet) if mode == "gva" else None
+    named_wrong = [run_name_issues(sheet)] if mode == "gva" else []
+    rejected = _sheets_of(named_wrong[0]) if named_wrong else None
+    header_issues = [_without(i, rejected) for i in header_issues]
     if any(sev == FATAL for sev, _, _ in column_problems(header, mode)):
-        return _stack([*([fatal_names] if fatal_names is not None else []), *[
-            _without(i, fatal_names) for i in header_issues
-        ]]), sheet.limit(0)
+        return _stack([*named_wrong, *header_issues]), sheet.limit(0)
 
-    named = rename_internal(sheet) if mode == "gva" else sheet
-    named = _without(named, fatal_names)
+    named = _without(rename_internal(sheet) if mode == "gva" else sheet, rejected)
     no_id = missing_ids(named)
-    early = [_without(i, fatal_names) for i in header_issues]
-    if mode == "gva":
-        early.append(blank_field_issues(named))
-    usable = _without(named, no_id)
+    usable = _without(named, _sheets_of(no_id))
+    early = [blank_field_issues(named)] if mode == "gva" else []
     late = [_explode_problems(usable, _late_rules(named.columns)), model_issues(usable, model)]
     if inventory is not None:
         late.append(missing_files(usable, inventory))
-    issues = _stack([*([fatal_names] if fatal_names is not None else []), *early, no_id, *late])
+    issues = _stack([*named_wrong, *header_issues, *early, no_id, *late])
     return issues, normalise_dates(usable) if "collection_date" in usable.columns else usable
 
 
-def _without(df: DataFrame, fatal: DataFrame | None) -> DataFrame:
-    return df if fatal is None else df.join(fatal.select("sheet").distinct(), "sheet", "left_anti")
+def _without(df: DataFrame, sheets: DataFrame | None) -> DataFrame:
+    return df if sheets is None else df.join(sheets, "sheet", "left_anti")
+
+
+def _sheets_of(fatal: DataFrame) -> DataFrame:
+    """The sheets with a fatal problem: few as a rule, then they are broadcast and the rows need not be shuffled."""
+    return broadcast_if_small(fatal.select("sheet").distinct(), ["sheet"])
 
 
 def _stack(parts: list[DataFrame]) -> DataFrame:
@@ -283,5 +286,5 @@ def report_lines(issues: DataFrame) -> DataFrame:
 def organism_lookup(sheet: DataFrame, species: DataFrame) -> DataFrame:
     """Organism in table form (lower case, underscores) with the species columns; ``known`` tells whether it is listed."""
     keyed = sheet.withColumn("organism", organism_key(F.col("organism")))
-    listed = species.withColumnRenamed("name", "organism").withColumn("listed", F.lit(True))
+    listed = broadcast_if_small(species.withColumnRenamed("name", "organism").withColumn("listed", F.lit(True)), ["organism"])
     return keyed.join(listed, "organism", "left").withColumn("known", F.coalesce("listed", F.lit(False))).drop("listed")

@@ -7,11 +7,13 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyarrow import fs
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoloom.functions.names import extension_rank
 from isoloom.functions.text import NULL_TOKENS, basename
+from isoloom.session import broadcast_if_small
 from isoloom.sources.lines import numbered_lines, read_order
 
 PHENO_PREAMBLE = 17  # fixed value: lines before the phenotype table starts
@@ -26,11 +28,23 @@ def _decoded(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
+def _any_content(spark: SparkSession, folder: str | list[str], options: dict) -> bool:
+    """Whether any file matches and is not empty, from the listing alone."""
+    wanted = {k: v for k, v in options.items() if k in ("pathGlobFilter", "recursiveFileLookup")}
+    try:
+        files = spark.read.format("binaryFile").options(**wanted).load(folder)
+        return not files.filter(F.col("length") > 0).select("length").isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
 def scan_read_files(spark: SparkSession, folder: str) -> DataFrame:
     """``path, length, ext_rank`` of the read files in a folder; file contents are not read."""
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.{fastq,fq,gz}").load(folder)
     return (
-        listing.select(_decoded(F.col("path")).alias("path"), "length")
+        listing.select(F.regexp_replace(_decoded(F.col("path")), "^file:/+", "/").alias("path"), "length")
         .withColumn("ext_rank", extension_rank(F.col("path")))
         .filter(F.col("ext_rank").isNotNull())
     )
@@ -38,8 +52,10 @@ def scan_read_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def scan_amr_hits(spark: SparkSession, folder: str | list[str], **options) -> DataFrame:
     """``sample, type, scope, symbol, line_no`` from tab files ``<sample>_amrfinder*``; dotted files are skipped."""
-    reader = spark.read.options(**{"pathGlobFilter": "[!.]*_amrfinder*", **options})
-    table = reader.csv(folder, sep="\t", header=True, inferSchema=False)
+    opts = {"pathGlobFilter": "[!.]*_amrfinder*", **options}
+    if not _any_content(spark, folder, opts):
+        return spark.createDataFrame([], "sample string, type string, scope string, symbol string, line_no decimal(38,0)")
+    table = spark.read.options(**opts).csv(folder, sep="\t", header=True, inferSchema=False)
     return table.select(
         F.element_at(F.split(_decoded(F.col("_metadata.file_name")), "_amrfinder"), 1).alias("sample"),
         _cell(F.col("Type")).alias("type"),
@@ -56,8 +72,10 @@ def mlst_fields(line: Column) -> Column:
 
 def scan_mlst_calls(spark: SparkSession, folder: str | list[str], **options) -> DataFrame:
     """``sample, scheme, st, alleles``; lines with fewer than three fields are skipped."""
-    lines = spark.read.options(**{"pathGlobFilter": "[!.]*_mlst*", **options}).text(folder)
-    return split_mlst_calls(lines)
+    opts = {"pathGlobFilter": "[!.]*_mlst*", **options}
+    if not _any_content(spark, folder, opts):
+        return split_mlst_calls(spark.createDataFrame([], "value string"))
+    return split_mlst_calls(spark.read.options(**opts).text(folder))
 
 
 def split_mlst_calls(lines: DataFrame) -> DataFrame:
@@ -73,6 +91,8 @@ def split_mlst_calls(lines: DataFrame) -> DataFrame:
 def scan_resistance_genes(spark: SparkSession, folder: str | list[str], **options) -> DataFrame:
     """``sample, gene, line_no`` from ``<sample>/ResFinder_results_tab.txt``."""
     opts = {"pathGlobFilter": "ResFinder_results_tab.txt", "recursiveFileLookup": "true", **options}
+    if not _any_content(spark, folder, opts):
+        return spark.createDataFrame([], "sample string, gene string, line_no decimal(38,0)")
     table = spark.read.options(**opts).csv(folder, sep="\t", header=True, inferSchema=False)
     return table.select(
         _decoded(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)).alias("sample"),
@@ -84,6 +104,8 @@ def scan_resistance_genes(spark: SparkSession, folder: str | list[str], **option
 def scan_pheno(spark: SparkSession, folder: str | list[str], **options) -> DataFrame:
     """``sample, antimicrobial, class, predicted, line_no`` from ``<sample>/pheno_table.txt`` after its preamble."""
     opts = {"pathGlobFilter": "pheno_table.txt", "recursiveFileLookup": "true", **options}
+    if not _any_content(spark, folder, opts):
+        return spark.createDataFrame([], "sample string, antimicrobial string, class string, predicted string, line_no long")
     lines = numbered_lines(spark, folder, **opts)
     lines = lines.filter((F.col("line_no") > PHENO_PREAMBLE) & (F.trim("value") != ""))
     f = F.split("value", "\t")
@@ -112,8 +134,12 @@ def scan_gff(spark: SparkSession, folder: str | list[str], **options) -> DataFra
 
 
 def before_fasta(lines: DataFrame) -> DataFrame:
-    """Drop each file's first ``##FASTA`` line and all that follows; only one row per file is joined back."""
+    """Drop each file's first ``##FASTA`` line and all that follows.
+
+    One row per file is joined back; as long as those rows are few they are broadcast and the lines stay in place.
+    """
     ends = lines.filter(F.col("value").startswith("##FASTA")).groupBy("file").agg(F.min("line_no").alias("end"))
+    ends = broadcast_if_small(ends, ["file"])
     kept = lines.join(ends, "file", "left").filter(F.col("end").isNull() | (F.col("line_no") < F.col("end")))
     return kept.select("file", "line_no", "value")
 
