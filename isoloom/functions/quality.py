@@ -30,8 +30,7 @@ def total(q: Column) -> Column:
     return F.aggregate(q, F.lit(0), lambda acc, x: acc + x)
 
 
-@F.pandas_udf(IntegerType())
-def _last_good_end(qual: pd.Series, window: pd.Series, mean: pd.Series) -> pd.Series:
+def _ends(qual: pd.Series, window: pd.Series, mean: pd.Series) -> pd.Series:
     """End of the last window of good mean in each text, 0 without one; a whole batch in a few array steps."""
     qual, w = qual.fillna(""), int(window.iloc[0])
     need = w * (int(mean.iloc[0]) + OFFSET)
@@ -48,6 +47,10 @@ def _last_good_end(qual: pd.Series, window: pd.Series, mean: pd.Series) -> pd.Se
     return pd.Series(keep)
 
 
+# Marked so that a later filter on trimmed reads does not run the function a second time.
+_last_good_end = F.pandas_udf(_ends, IntegerType()).asNondeterministic()
+
+
 def tail_keep(qual: Column, window: int = 10, mean: int = 20) -> Column:
     """Bases to keep: up to the end of the last window whose mean is high enough, 0 if there is none.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from isoloom.functions.dna import count_of
 from isoloom.functions.quality import OFFSET, phred, total
 from isoloom.operators.reads import cut_tail
+from isoloom.session import broadcast_if_small
 
 FILE_KEY = ("sample", "mate")
 QUANTILES = {"p10": 0.1, "q1": 0.25, "median": 0.5, "q3": 0.75, "p90": 0.9}
@@ -97,9 +98,10 @@ def deduplicated_share(levels: DataFrame) -> DataFrame:
 def overrepresented(reads: DataFrame, percent: float = 0.1) -> DataFrame:
     """Sequences that make up more than ``percent`` of the reads of their file, the most frequent first.
 
+    The totals, one row per file, are broadcast when measured small, so the counted sequences are not shuffled again.
     At most 100/percent sequences per file pass the test, so the ranking works on small groups.
     """
-    totals = reads.groupBy(*FILE_KEY).agg(F.count("*").alias("total"))
+    totals = broadcast_if_small(reads.groupBy(*FILE_KEY).agg(F.count("*").alias("total")), ["sample"])
     frequent = sequence_counts(reads).join(totals, list(FILE_KEY)).filter(F.col("copies") * 100.0 > F.col("total") * percent)
     order = Window.partitionBy(*FILE_KEY).orderBy(F.desc("copies"), "seq")
     return frequent.select(

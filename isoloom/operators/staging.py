@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from isoloom.functions.names import deposit_folder, sequencing_method
 from isoloom.functions.text import basename, is_given
+from isoloom.session import by_sorting
 
 # Outputs per sample, with {sample} and {read} filled in.
 SAMPLE_STAGES = {
@@ -45,7 +46,7 @@ def expected_outputs(samples: DataFrame, skip: tuple[str, ...] = ()) -> DataFram
 
 def missing_outputs(expected: DataFrame, present: DataFrame) -> DataFrame:
     """Expected outputs that are not there: the work a resumed run has to do."""
-    return expected.join(present.select("path").distinct(), "path", "left_anti").select(*expected.columns)
+    return expected.join(by_sorting(present.select("path").distinct()), "path", "left_anti").select(*expected.columns)
 
 
 def run_platforms(methods: DataFrame) -> DataFrame:
@@ -71,7 +72,7 @@ def stage_plan(sheet: DataFrame, inventory: DataFrame, store: str, reports: tupl
     known = sheet.filter(F.col("method").isNotNull())
     flags = run_platforms(known)
     paths = known.unpivot(["run"], ["illumina_r1", "illumina_r2", "nanopore"], "from_column", "source").filter(is_given(F.col("source")))
-    found = paths.join(inventory.select(F.col("path").alias("source")).distinct(), "source", "left_semi")
+    found = paths.join(by_sorting(inventory.select(F.col("path").alias("source")).distinct()), "source", "left_semi")
     platform = F.when(F.col("from_column") == "nanopore", "nanopore").otherwise("illumina")
     served = F.when(F.col("platform") == "nanopore", F.col("has_nanopore")).otherwise(F.col("has_illumina"))
     reads = found.withColumn("platform", platform).join(flags, "run").filter(served)

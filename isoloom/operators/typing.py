@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from isoloom.functions.dna import kmer_rows, piece, revcomp, windows
 from isoloom.operators.screen import SEED, gene_screen
-from isoloom.session import BROADCAST_MAX_BYTES, bytes_within
+from isoloom.session import BROADCAST_MAX_BYTES, by_sorting, bytes_within
 
 SEED_WIDTHS = (31, 12, 1)
 # Points per locus state, bonus for a known profile, limits of near matches.
@@ -63,7 +63,7 @@ def _find_by_shuffle(contigs: DataFrame, probes: DataFrame, width: int, longest:
     """Only hashes and positions meet the seeds; the sequence is joined back for the candidates."""
     key = ["sample", "contig_id"]
     places = kmer_rows(contigs, "seq", width, key).select(*key, "pos", F.xxhash64("kmer").alias("seed"))
-    candidates = places.join(_seeds(probes, width), "seed").drop("seed")
+    candidates = places.join(by_sorting(_seeds(probes, width)), "seed").drop("seed")
     binary = contigs.select(*key, F.col("seq").cast("binary").alias("bin"))
     hits = candidates.join(binary, key)
     return hits.filter(piece(F.col("bin"), F.col("pos"), F.col("size")) == F.col("probe")).select(*key, "scheme", "locus", "allele")

@@ -63,8 +63,14 @@ def bytes_within(df: DataFrame, variable_width: Sequence[str] = (), max_bytes: i
 
 
 def broadcast_if_small(df: DataFrame, variable_width: Sequence[str] = (), max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Hint a broadcast only after measuring the side; larger sides keep the shuffle join."""
-    return F.broadcast(df) if bytes_within(df, variable_width, max_bytes) else df
+    """Hint a broadcast only after measuring the side; a larger side is joined by sorting, which spills to disk."""
+    return F.broadcast(df) if bytes_within(df, variable_width, max_bytes) else by_sorting(df)
+
+
+def by_sorting(df: DataFrame) -> DataFrame:
+    """Hint a sort-merge join. For sides that grow with the data, above all behind an unfolding of rows, whose size the
+    planner guesses from the small file below and would broadcast; skewed keys are still split at run time."""
+    return df.hint("merge")
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from isoloom.functions.names import extension_rank
 from isoloom.functions.text import NULL_TOKENS, basename
 from isoloom.session import broadcast_if_small
-from isoloom.sources.lines import numbered_lines, read_order
+from isoloom.sources.lines import few_blocks, numbered_lines, read_order
 
 PHENO_PREAMBLE = 17  # fixed value: lines before the phenotype table starts
 PHENO_COLUMNS = ("Antimicrobial", "Class", "WGS-predicted phenotype", "Match", "Genetic background")  # fixed values
@@ -129,17 +129,18 @@ def scan_counts(spark: SparkSession, folder: str | list[str], **options) -> Data
 
 def scan_gff(spark: SparkSession, folder: str | list[str], **options) -> DataFrame:
     """``file, line_no, value`` of annotation lines before ``##FASTA``."""
-    lines = numbered_lines(spark, folder, **{"pathGlobFilter": "*.gff", **options})
-    return before_fasta(lines)
+    opts = {"pathGlobFilter": "*.gff", **options}
+    return before_fasta(numbered_lines(spark, folder, **opts), few_blocks(spark, folder, opts))
 
 
-def before_fasta(lines: DataFrame) -> DataFrame:
+def before_fasta(lines: DataFrame, few_files: bool = False) -> DataFrame:
     """Drop each file's first ``##FASTA`` line and all that follows.
 
-    One row per file is joined back; as long as those rows are few they are broadcast and the lines stay in place.
+    One row per file is joined back; when the files are known or measured to be few, those rows are broadcast and the
+    lines stay in place.
     """
     ends = lines.filter(F.col("value").startswith("##FASTA")).groupBy("file").agg(F.min("line_no").alias("end"))
-    ends = broadcast_if_small(ends, ["file"])
+    ends = F.broadcast(ends) if few_files else broadcast_if_small(ends, ["file"])
     kept = lines.join(ends, "file", "left").filter(F.col("end").isNull() | (F.col("line_no") < F.col("end")))
     return kept.select("file", "line_no", "value")
 
