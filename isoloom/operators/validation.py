@@ -69,6 +69,7 @@ MESSAGES = {
     "MODEL_INVALID:nanopore": ("Invalid Dorado model '{detail}'", 9),
 }
 PATH_COLUMNS = ("illumina_r1", "illumina_r2", "nanopore")
+LATE_CODES = ("ID_CHARACTERS", "DATE_INVALID")  # row checks that come after the check for missing ids
 ISSUE_COLUMNS = ("sheet", "severity", "row_no", "column_name", "code", "detail")
 
 
@@ -123,8 +124,12 @@ def blank_field_issues(sheet: DataFrame) -> DataFrame:
     return _explode_problems(sheet, _blank_rules(sheet.columns))
 
 
+def _no_id_rule() -> Column:
+    return _problem(F.col("id").isNull() | (F.col("id") == ""), FATAL, "id", "ID_MISSING")
+
+
 def missing_ids(sheet: DataFrame) -> DataFrame:
-    return _explode_problems(sheet, [_problem(F.col("id").isNull() | (F.col("id") == ""), FATAL, "id", "ID_MISSING")])
+    return _explode_problems(sheet, [_no_id_rule()])
 
 
 def id_charset_issues(sheet: DataFrame) -> DataFrame:
@@ -218,16 +223,22 @@ def validate(
         return _stack([*named_wrong, *header_issues]), sheet.limit(0)
 
     named = _without(rename_internal(sheet) if mode == "gva" else sheet, rejected)
-    no_id = missing_ids(named)
-    usable = _without(named, _sheets_of(no_id))
-    early = [blank_field_issues(named)] if mode == "gva" else []
-    late = [_explode_problems(usable, _late_rules(named.columns)), model_issues(usable, model)]
+    no_id = _sheets_of(missing_ids(named))
+    usable = _without(named, no_id)
+    rules = [*(_blank_rules(named.columns) if mode == "gva" else []), _no_id_rule(), *_late_rules(named.columns)]
+    late = [model_issues(usable, model)]
     if inventory is not None:
         late.append(missing_files(usable, inventory))
-    issues = _stack([*named_wrong, *header_issues, *early, no_id, *late])
+    issues = _stack([*named_wrong, *header_issues, _drop_late(_explode_problems(named, rules), no_id), *late])
     return issues, normalise_dates(usable) if "collection_date" in usable.columns else usable
 
 
+def _drop_late(problems: DataFrame, no_id: DataFrame) -> DataFrame:
+    """Row problems of one scan, without those of later checks where a sheet lacks ids."""
+    marked = problems.join(no_id.withColumn("_no_id", F.lit(True)), "sheet", "left")
+    return marked.filter(F.col("_no_id").isNull() | ~F.col("code").isin(*LATE_CODES)).drop("_no_id")
+
+
 def _without(df: DataFrame, sheets: DataFrame | None) -> DataFrame:
     return df if sheets is None else df.join(sheets, "sheet", "left_anti")
 
@@ -275,12 +286,11 @@ def report_lines(issues: DataFrame) -> DataFrame:
     check = F.coalesce(_lookup(1)[F.concat_ws(":", "code", "column_name")], F.lit(0)).cast("long").alias("check")
     text = message(F.col("code"), F.col("column_name"), F.col("row_no"), F.col("detail"))
     body = issues.select("sheet", section, check, "row_no", text.alias("line"))
-    heads = issues.select("sheet", "severity").distinct()
     titles = F.create_map(*[F.lit(x) for pair in SECTION_TITLES.items() for x in pair])
-    edge = lambda at, line: heads.select(
-        "sheet", section, F.lit(at).cast("long").alias("check"), F.lit(0).cast("long").alias("row_no"), line.alias("line")
-    )
-    return body.unionByName(edge(-1, titles[F.col("severity").cast("int")])).unionByName(edge(99, F.lit("")))
+    edge = lambda at, line: F.struct(F.lit(at).cast("long").alias("check"), line.alias("line"))
+    edges = F.array(edge(-1, titles[F.col("severity").cast("int")]), edge(99, F.lit("")))
+    heads = issues.select("sheet", "severity").distinct().select("sheet", section, F.inline(edges))
+    return body.unionByName(heads.withColumn("row_no", F.lit(0).cast("long")))
 
 
 def organism_lookup(sheet: DataFrame, species: DataFrame) -> DataFrame:

@@ -52,7 +52,7 @@ def run_of(customer: Column) -> Column:
 
 def sheet_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hospital sheet as written, one row per order, with ``sheet`` (one per run) and ``row_no``."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     run = run_of(c)
     day, month, year = (f("o_orderdate").cast("string") for f in (F.dayofmonth, F.month, F.year))
