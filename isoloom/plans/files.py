@@ -19,7 +19,7 @@ PREAMBLE = 17
 
 def _writer(folder: str):
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        storage, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+        storage, root = fs.FileSystem.from_uri(folder) if ":" in folder else (fs.LocalFileSystem(), folder)
         name, out = None, None
         for pdf in batches:
             for file, rows in pdf.groupby("name", sort=False):
