@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoloom.llm import line_dedup, mixing, packing, quality, toxicity
+from isoloom.llm import embedding_dedup, line_dedup, mixing, ngram_join, packing, quality, toxicity, warc
 from isoloom.llm.common import small_batches, table
 
 GRADE = "quality * (2 - toxic)"  # 0 poor, 1 good but toxic, 2 good
@@ -32,6 +32,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return used.select("doc_id", "domain_key", "lang_key", "source_key", "n_tokens", "epoch", "taken_tokens")
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def packed(spark: SparkSession, docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
@@ -44,6 +48,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(spark, table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return ngram_join.link(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What line dedup leaves of each document."""
     left = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -73,12 +82,23 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archives hold of each page, in the order of the merged index."""
+    index = warc.round_trip(table(spark, sf_dir, "pages"))
+    return index.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_packing": op3_packing,
+    "op5_ngram_join": op5_ngram_join,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
+    "op10_warc": op10_warc,
 }
 
 _LEVELS = ("domain_key", "lang_key", "source_key")
@@ -154,4 +174,55 @@ SELECT d.doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_line
 FROM documents d LEFT JOIN texts USING (doc_id)
 """
 
-ORACLE = {"op1_mixing": _mix_sql(), "op7_line_dedup": LINES_SQL}
+EMBEDDING_SQL = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (
+    SELECT vec_id AS node, vec_id AS root FROM usable
+    UNION SELECT l.b, r.root FROM reach r JOIN links l ON r.node = l.a WHERE r.root < l.b),
+roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(root, vec_id) AS component_id,
+    coalesce(vec_id = coalesce(root, vec_id), true) AS kept
+FROM embeddings LEFT JOIN counts ON vec_id = a LEFT JOIN roots ON vec_id = node
+"""
+
+NGRAM_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_distinct(
+        list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS common
+    FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id
+    AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n GROUP BY ALL),
+links AS (SELECT a, b FROM shared WHERE 100 * common >= 90 * (na + nb - common)),
+reach AS (
+    SELECT doc_id AS node, doc_id AS root FROM sets
+    UNION SELECT l.b, r.root FROM reach r JOIN links l ON r.node = l.a WHERE r.root < l.b),
+roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, root AS component_id FROM sets JOIN roots ON doc_id = node
+"""
+
+WARC_SQL = """
+WITH sized AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (SELECT payload_digest, payload_bytes, max(page_id) AS first_id FROM sized WHERE payload_bytes >= 1000 GROUP BY ALL)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+    CASE WHEN first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM sized LEFT JOIN firsts USING (payload_digest, payload_bytes)
+"""
+
+ORACLE = {
+    "op2_embedding_dedup": EMBEDDING_SQL, "op5_ngram_join": NGRAM_SQL, "op10_warc": WARC_SQL,
+    "op1_mixing": _mix_sql(), "op7_line_dedup": LINES_SQL,
+}
