@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoloom.llm import embedding_dedup, line_dedup, mixing, ngram_join, packing, quality, toxicity, warc
-from isoloom.llm.common import small_batches, table
+from isoloom.llm import embedding_dedup, line_dedup, mixing, ngram_join, packing, quality, simhash, toxicity, warc
+from isoloom.llm.common import settle, small_batches, table
 
 GRADE = "quality * (2 - toxic)"  # 0 poor, 1 good but toxic, 2 good
 KEEP_GRADE, KEEP_TAIL = 1, 0.3
@@ -53,6 +53,30 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their edited texts. ``n_near``: for ids divisible by 20, how many other
+    documents have a fingerprint within three bits."""
+    rows = simhash.edited_pairs(table(spark, sf_dir, "documents"))
+    rows = settle(rows, "fingerprints")
+    holders = rows.groupBy("f1", "f2").agg(F.count("*").alias("held"))
+    asked = rows.where("doc_id % 20 = 0").select("f1", "f2").distinct()
+    near = simhash.within_radius(asked, holders.select("f1", "f2"), radius=3)
+    near = near.join(holders.withColumnsRenamed({"f1": "g1", "f2": "g2"}), ["g1", "g2"]).groupBy("f1", "f2").agg(F.sum("held").alias("others"))
+    counts = asked.join(holders, ["f1", "f2"]).join(near, ["f1", "f2"], "left").select(
+        "f1", "f2", (F.col("held") - 1 + F.coalesce("others", F.lit(0))).alias("near")
+    )
+    rows = rows.join(counts, ["f1", "f2"], "left")
+
+    def likeness(a: str, b: str) -> Column:
+        return 1 - simhash.distance("f1", "f2", a, b) / F.lit(float(simhash.BITS))
+
+    return rows.select(
+        "doc_id", "n_chars", "edited_sha256", simhash.as_text("f1", "f2").alias("fingerprint"),
+        simhash.as_text("e1", "e2").alias("edited_fingerprint"), likeness("e1", "e2").alias("near_edited"),
+        likeness("g1", "g2").alias("near_next"), F.when(F.expr("doc_id % 20 = 0"), F.col("near")).alias("n_near"),
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What line dedup leaves of each document."""
     left = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -95,6 +119,7 @@ QUERIES = {
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_packing": op3_packing,
     "op5_ngram_join": op5_ngram_join,
+    "op6_simhash": op6_simhash,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
