@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoloom.llm import embedding_dedup, line_dedup, mixing, ngram_join, packing, quality, simhash, toxicity, warc
+from isoloom.llm import embedding_dedup, line_dedup, mixing, ngram_join, packing, quality, simhash, suffix_dedup, toxicity, warc
 from isoloom.llm.common import settle, small_batches, table
 
 GRADE = "quality * (2 - toxic)"  # 0 poor, 1 good but toxic, 2 good
@@ -48,6 +48,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(spark, table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    left = suffix_dedup.dedup(table(spark, sf_dir, "documents"), length=400)
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return ngram_join.link(table(spark, sf_dir, "documents"), words=3, percent=90)
@@ -118,6 +124,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_packing": op3_packing,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_ngram_join": op5_ngram_join,
     "op6_simhash": op6_simhash,
     "op7_line_dedup": op7_line_dedup,
