@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoloom.llm import line_dedup, mixing, packing, quality, queries
+from isoloom.llm import line_dedup, mixing, ngram_join, quality, queries
 from isoloom.llm.common import settle, small_batches, table
+from isoloom.session import by_sorting
 
 ORACLE_SQL = None  # classifier, tokenizer and packing plan have no SQL form; see tests/llm
 
@@ -32,6 +33,15 @@ def line_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.withColumn("n_chars", F.char_length("text").cast("long")).select(*DOCUMENT)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates (five words, 0.8) the document with the smallest id stays."""
+    small_batches(spark)
+    linked = ngram_join.link(docs, words=5, percent=80)
+    ids = linked.where("doc_id = component_id").select("doc_id").distinct()
+    found = docs.select(*DOCUMENT).join(by_sorting(ids), "doc_id", "leftsemi").dropDuplicates(["doc_id"])
+    return found.unionByName(docs.where("doc_id is null").select(*DOCUMENT)).select(*DOCUMENT)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix, one row per use."""
     used = mixing.cut_texts(mixing.mixed(docs, queries.tree(), queries.MIX))
@@ -46,6 +56,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", quality_filter),
     ("line dedup", line_filter),
+    ("n-gram Jaccard join", near_duplicates),
     ("mixing", mix),
     ("packing", pack),
 ]
