@@ -60,3 +60,9 @@ def gff_retag(col: Column) -> Column:
     """First ``Name=`` tag becomes ``OldName=``; the first ``ID=x`` gains ``;Name=x``."""
     renamed = F.regexp_replace(col, r"^(.*?\W)(?i:Name)=", "$1OldName=")
     return F.regexp_replace(renamed, r"^(.*?)ID=([^;]+)", "$1ID=$2;Name=$2")
+
+
+def plain_path(path: Column, base: str = "") -> Column:
+    """A path without scheme and authority, for comparing listed paths with written ones; relative ones get ``base``."""
+    bare = F.regexp_replace(F.regexp_replace(path, r"^[A-Za-z][\w+.-]*://[^/]*", ""), r"^[A-Za-z][\w+.-]*:(?=/)", "")
+    return F.when(bare.startswith("/"), bare).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), bare)) if base else bare

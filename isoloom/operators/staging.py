@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isoloom.functions.names import deposit_folder, sequencing_method
-from isoloom.functions.text import basename, is_given
+from isoloom.functions.text import basename, is_given, plain_path
 from isoloom.session import by_sorting
 
 # Outputs per sample, with {sample} and {read} filled in.
@@ -62,8 +62,9 @@ def staging_method(existing: Column | None = None) -> Column:
     return sequencing_method((F.col("illumina_r1"), F.col("illumina_r2")), F.col("nanopore"), existing)
 
 
-def stage_plan(sheet: DataFrame, inventory: DataFrame, store: str, reports: tuple[str, ...] = ()) -> DataFrame:
-    """``run, kind, platform, source, target`` for files to deposit.
+def stage_plan(sheet: DataFrame, inventory: DataFrame, store: str, reports: tuple[str, ...] = (), base: str = "") -> DataFrame:
+    """``run, kind, platform, source, target`` for files to deposit. Schemes and authorities of paths don't count when
+    the sheet's are looked up in the inventory; relative ones are below ``base``.
 
     ``sheet`` has run, method and the three path columns. Read files go to the platform of their column when they
     exist, their sample has a method and the run has that platform; reports (names with {run}) go to each platform
@@ -72,7 +73,8 @@ def stage_plan(sheet: DataFrame, inventory: DataFrame, store: str, reports: tupl
     known = sheet.filter(F.col("method").isNotNull())
     flags = run_platforms(known)
     paths = known.unpivot(["run"], ["illumina_r1", "illumina_r2", "nanopore"], "from_column", "source").filter(is_given(F.col("source")))
-    found = paths.join(by_sorting(inventory.select(F.col("path").alias("source")).distinct()), "source", "left_semi")
+    there = inventory.select(plain_path(F.col("path")).alias("plain")).distinct()
+    found = paths.withColumn("plain", plain_path(F.col("source"), base)).join(by_sorting(there), "plain", "left_semi").drop("plain")
     platform = F.when(F.col("from_column") == "nanopore", "nanopore").otherwise("illumina")
     served = F.when(F.col("platform") == "nanopore", F.col("has_nanopore")).otherwise(F.col("has_illumina"))
     reads = found.withColumn("platform", platform).join(flags, "run").filter(served)

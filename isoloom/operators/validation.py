@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from isoloom.functions.dates import iso_or_original, parse_date
 from isoloom.functions.names import run_name_issue
-from isoloom.functions.text import is_blank, is_given, organism_key
+from isoloom.functions.text import is_blank, is_given, organism_key, plain_path
 from isoloom.session import broadcast_if_small, by_sorting
 
 FATAL, ERROR, WARNING = 3, 2, 1
@@ -145,11 +145,13 @@ def normalise_dates(sheet: DataFrame) -> DataFrame:
     return sheet.withColumn("collection_date", iso_or_original(F.col("collection_date")))
 
 
-def missing_files(sheet: DataFrame, inventory: DataFrame) -> DataFrame:
-    """A warning for each given path that is not in the inventory (column ``path``)."""
+def missing_files(sheet: DataFrame, inventory: DataFrame, base: str = "") -> DataFrame:
+    """A warning for each given path that is not in the inventory (column ``path``). Schemes and authorities don't
+    count; relative paths of the sheet are looked up below ``base``."""
     columns = [c for c in PATH_COLUMNS if c in sheet.columns]
     paths = sheet.unpivot(["sheet", "row_no"], columns, "column_name", "path").filter(is_given(F.col("path")))
-    absent = paths.join(by_sorting(inventory.select("path").distinct()), "path", "left_anti")
+    there = inventory.select(plain_path(F.col("path")).alias("plain")).distinct()
+    absent = paths.withColumn("plain", plain_path(F.col("path"), base)).join(by_sorting(there), "plain", "left_anti")
     return absent.select(
         "sheet", F.lit(WARNING).cast("long").alias("severity"), F.col("row_no").cast("long").alias("row_no"),
         "column_name", F.lit("FILE_MISSING").alias("code"), F.col("path").alias("detail"),

@@ -80,7 +80,7 @@ def scan_fastq(spark, d):
 
 @query
 def scan_fastq_plain(spark, d):
-    scanned = sequences.scan_fastq(spark, files.fastq_files(spark, d, compressed=False), compressed=False)
+    scanned = sequences.scan_fastq(spark, files.fastq_files(spark, d, packed="false"))
     return scanned.select(_name_of(F.col("file")).alias("sample"), "read_id", "seq", "qual")
 
 
@@ -94,14 +94,25 @@ def scan_fasta(spark, d):
 
 @query
 def scan_profiles(spark, d):
-    loci = [f"loc{i}" for i in range(views.FIRST_SCHEME_LOCI)]
-    return results.scan_profiles(spark, files.profile_file(spark, d, "s1", loci), "s1")
+    wide = views.wide_profiles(spark, d)
+    loci = {"s1": views.FIRST_SCHEME_LOCI, "s2": None}
+    names = [c for c in wide.columns if c.startswith("loc")]
+    parts = []
+    for scheme, n in loci.items():
+        own = names[:n] if n else names[views.FIRST_SCHEME_LOCI :]
+        parts.append(results.scan_profiles(spark, files.profile_file(spark, d, scheme, own), scheme))
+    return summary.concat_files(parts)
+
+
+def _with_hits(lists, rows):
+    """First-seen lists, which rest on the order of rows in the files, and the number of rows read."""
+    return lists.join(rows.groupBy(F.col("sample").alias("Sample")).agg(F.count("*").alias("hits")), "Sample")
 
 
 @query
 def scan_amr_hits(spark, d):
     hits = results.scan_amr_hits(spark, files.amr_files(spark, d))
-    return hits.groupBy("sample", "type", "scope", "symbol").agg(F.count("*").alias("hits"))
+    return _with_hits(summary.amr_summary(hits), hits)
 
 
 @query
@@ -113,13 +124,13 @@ def scan_mlst_calls(spark, d):
 @query
 def scan_resistance_genes(spark, d):
     rows = results.scan_resistance_genes(spark, files.gene_files(spark, d))
-    return rows.groupBy("sample", "gene").agg(F.count("*").alias("hits"))
+    return _with_hits(summary.resistance_genes(rows), rows)
 
 
 @query
 def scan_pheno(spark, d):
     rows = results.scan_pheno(spark, files.pheno_files(spark, d))
-    return rows.groupBy("sample", "antimicrobial", "class", "predicted").agg(F.count("*").alias("hits"))
+    return _with_hits(summary.phenotype_summary(rows), rows)
 
 
 @query

@@ -57,23 +57,35 @@ def sheet_files(spark: SparkSession, sf_dir: str) -> str:
     raw = views.sheet_raw(spark, sf_dir)
     columns = [c for c in raw.columns if c not in ("sheet", "run", "row_no")]
     chunk = F.expr(f"(row_no - 2) div {ROWS_PER_CHUNK}").cast("string")
-    cells = F.concat_ws(";", *[F.coalesce(c, F.lit("")) for c in columns])
-    lines = raw.select(F.concat("sheet", F.lit("."), chunk, F.lit(".csv")).alias("name"), cells.alias("value"), "row_no")
-    return write_named_files(_with_header(lines, ";".join(columns), "row_no"), scratch_path(spark, "sheets"), ["row_no"])
+    quoted = [F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in reversed(columns)]
+    name = F.concat("sheet", F.lit("."), chunk, F.lit(".csv")).alias("name")
+    kinds = [  # two kinds of sheets in one folder: other separator, other order of columns, quoted cells
+        (0, F.concat_ws(";", *[F.coalesce(c, F.lit("")) for c in columns]), ";".join(columns)),
+        (1, F.concat_ws(",", *quoted), ",".join(reversed(columns))),
+    ]
+    folder = scratch_path(spark, "sheets")
+    for kind, cells, header in kinds:
+        lines = raw.where(F.crc32("sheet") % 2 == kind).select(name, cells.alias("value"), "row_no")
+        write_named_files(_with_header(lines, header, "row_no"), folder, ["row_no"])
+    return folder
 
 
 def amr_files(spark: SparkSession, sf_dir: str) -> str:
     hits = views.amr_hits(spark, sf_dir)
-    lines = hits.select(
-        F.concat("sample", F.lit("_amrfinder."), _hit_chunk(), F.lit(".tsv")).alias("name"),
-        F.concat_ws("\t", F.lit("p"), "symbol", "scope", "type").alias("value"), "line_no",
-    )
-    header = "Protein id\tElement symbol\tScope\tType"
-    return write_named_files(_with_header(lines, header, "line_no"), scratch_path(spark, "amr"), ["line_no"])
+    name = F.concat("sample", F.lit("_amrfinder."), _hit_chunk(), F.lit(".tsv")).alias("name")
+    folder = scratch_path(spark, "amr")
+    headings = {"symbol": "Element symbol", "scope": "Scope", "type": "Type"}
+    for kind, columns in enumerate((("symbol", "scope", "type"), ("type", "symbol", "scope"))):  # two orders of columns
+        cells = F.concat_ws("\t", F.lit("p"), *[F.coalesce(c, F.lit("")) for c in columns])
+        lines = hits.where(F.crc32("sample") % 2 == kind).select(name, cells.alias("value"), "line_no")
+        header = "\t".join(["Protein id", *(headings[c] for c in columns)])
+        write_named_files(_with_header(lines, header, "line_no"), folder, ["line_no"])
+    return folder
 
 
 def _hit_chunk():
-    return F.floor(F.col("line_no") / F.lit(10**13 * ROWS_PER_CHUNK).cast("decimal(19,0)")).cast("string")
+    """Number of a file; of equal width, so that names sort as the rows in them do."""
+    return F.lpad(F.floor(F.col("line_no") / F.lit(10**13 * ROWS_PER_CHUNK).cast("decimal(19,0)")).cast("string"), 9, "0")
 
 
 def gene_files(spark: SparkSession, sf_dir: str) -> str:
@@ -122,10 +134,11 @@ def profile_file(spark: SparkSession, sf_dir: str, scheme: str, loci: list[str])
     return write_named_files(_with_header(lines, header, "at"), scratch_path(spark, "profiles"), ["at"])
 
 
-def fastq_files(spark: SparkSession, sf_dir: str, compressed: bool = True) -> str:
+def fastq_files(spark: SparkSession, sf_dir: str, packed: str = "mate = 1") -> str:
+    """Reads as files; those for which the condition ``packed`` holds are compressed."""
     reads = views.reads(spark, sf_dir)
     chunk = F.expr(f"cast(split(pair_id, '_')[0] as long) div {DOCS_PER_CHUNK}").cast("string")
-    name = F.concat("sample", F.lit("."), chunk, F.lit("_r"), F.col("mate").cast("string"), F.lit(".fastq.gz" if compressed else ".fastq"))
+    name = F.concat("sample", F.lit("."), chunk, F.lit("_r"), F.col("mate").cast("string"), F.expr(f"if({packed}, '.fastq.gz', '.fastq')"))
     record = F.concat_ws("\n", F.concat(F.lit("@"), "pair_id", F.lit("/"), F.col("mate").cast("string")), "seq", F.lit("+"), "qual")
     return write_named_files(reads.select(name.alias("name"), record.alias("value"), "pair_id"), scratch_path(spark, "fastq"), ["pair_id"])
 

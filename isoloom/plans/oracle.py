@@ -407,17 +407,17 @@ _q("scan_fastq_inventory",
 for _name in ("scan_fastq", "scan_fastq_plain"):
     _q(_name, READS, "SELECT sample, pair_id || '/' || mate AS read_id, seq, qual FROM reads")
 _q("scan_fasta", CONTIGS, "SELECT sample, contig_id AS id, contig_id || ' from ' || sample AS description, length(seq)::BIGINT AS bases, md5(seq) AS digest FROM contigs")
-_q("scan_profiles", PROFILES, "SELECT scheme, st, locus, allele FROM profiles WHERE scheme = 's1'")
-_q("scan_amr_hits", HITS, "SELECT sample, type, scope, symbol, count(*) AS hits FROM hits GROUP BY ALL")
+_q("scan_profiles", PROFILES, "SELECT scheme, st, locus, allele FROM profiles")
+_HITS_OF = ' JOIN (SELECT sample AS "Sample", count(*) AS hits FROM hits GROUP BY 1) n USING ("Sample")'
+_q("scan_amr_hits", HITS, "SELECT * FROM amr" + _HITS_OF)
 _q("scan_mlst_calls", MLST, "SELECT sample, scheme, st, array_to_string(alleles, ',') AS alleles FROM calls")
-_q("scan_resistance_genes", HITS, "SELECT sample, CASE WHEN p_size <> 7 THEN symbol END AS gene, count(*) AS hits FROM hits GROUP BY 1, 2")
-_q("scan_pheno", HITS, "SELECT sample, p_name AS antimicrobial, CASE WHEN p_size <> 13 THEN p_type END AS class, CASE WHEN l_returnflag = 'R' THEN 'Resistant' ELSE 'No resistance' END AS predicted,"
-   " count(*) AS hits FROM hits GROUP BY ALL")
+_q("scan_resistance_genes", HITS, "SELECT * FROM genes_of" + _HITS_OF)
+_q("scan_pheno", HITS, "SELECT * FROM pheno_of" + _HITS_OF)
 _q("scan_counts", READS, "SELECT sample, count(*) AS reads FROM reads GROUP BY sample")
 
 _GFF = f"""
 gff0 AS (
-  SELECT 'F' || l_suppkey AS file, 'F' || l_suppkey || '.' || (l_orderkey // {ROWS_PER_CHUNK}) || '.gff' AS part, l_orderkey, l_linenumber, l_partkey,
+  SELECT 'F' || l_suppkey AS file, 'F' || l_suppkey || '.' || lpad((l_orderkey // {ROWS_PER_CHUNK})::VARCHAR, 9, '0') || '.gff' AS part, l_orderkey, l_linenumber, l_partkey,
     CASE WHEN l_orderkey % 1000 = 999 THEN '##FASTA' WHEN l_orderkey % 3 = 0 THEN 'c' || l_partkey || chr(9) || 'Name=q' || l_linenumber || ';note=' || l_orderkey
     ELSE 'c' || l_partkey || chr(9) || 'x' || chr(9) || 'CDS' || chr(9) || l_linenumber || chr(9) || l_partkey || chr(9) || '.' || chr(9) || '+' || chr(9)
       || '0' || chr(9) || 'ID=g' || l_orderkey || ';name=n' || l_partkey || ';Name=m' || l_linenumber || ';product=ID=z' END AS value FROM lineitem),

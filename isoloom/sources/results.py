@@ -12,10 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoloom.functions.names import extension_rank
-from isoloom.functions.text import NULL_TOKENS, basename
+from isoloom.functions.text import NULL_TOKENS, basename, plain_path
 from isoloom.session import broadcast_if_small
-from isoloom.sources.lines import few_blocks, numbered_lines, read_order
+from isoloom.sources.lines import few_blocks, numbered_lines
+from isoloom.sources.tables import decoded, place_in_file, scan_by_header
 
+PLACE = "struct<file:string,block:bigint,row:bigint>"
 PHENO_PREAMBLE = 17  # fixed value: lines before the phenotype table starts
 PHENO_COLUMNS = ("Antimicrobial", "Class", "WGS-predicted phenotype", "Match", "Genetic background")  # fixed values
 
@@ -24,10 +26,6 @@ def _cell(col: Column) -> Column:
     return F.when(~col.isin("", *NULL_TOKENS), col)
 
 
-def _decoded(path: Column) -> Column:
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-
-
 def _any_content(spark: SparkSession, folder: str | list[str], options: dict) -> bool:
     """Whether any file matches and is not empty, from the listing alone."""
     wanted = {k: v for k, v in options.items() if k in ("pathGlobFilter", "recursiveFileLookup")}
@@ -44,7 +42,7 @@ def scan_read_files(spark: SparkSession, folder: str) -> DataFrame:
     """``path, length, ext_rank`` of the read files in a folder; file contents are not read."""
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.{fastq,fq,gz}").load(folder)
     return (
-        listing.select(F.regexp_replace(_decoded(F.col("path")), "^file:/+", "/").alias("path"), "length")
+        listing.select(plain_path(F.col("path")).alias("path"), "length")
         .withColumn("ext_rank", extension_rank(F.col("path")))
         .filter(F.col("ext_rank").isNotNull())
     )
@@ -54,15 +52,18 @@ def scan_amr_hits(spark: SparkSession, folder: str | list[str], **options) -> Da
     """``sample, type, scope, symbol, line_no`` from tab files ``<sample>_amrfinder*``; dotted files are skipped."""
     opts = {"pathGlobFilter": "[!.]*_amrfinder*", **options}
     if not _any_content(spark, folder, opts):
-        return spark.createDataFrame([], "sample string, type string, scope string, symbol string, line_no decimal(38,0)")
-    table = spark.read.options(**opts).csv(folder, sep="\t", header=True, inferSchema=False)
-    return table.select(
-        F.element_at(F.split(_decoded(F.col("_metadata.file_name")), "_amrfinder"), 1).alias("sample"),
-        _cell(F.col("Type")).alias("type"),
-        _cell(F.col("Scope")).alias("scope"),
-        _cell(F.col("`Element symbol`")).alias("symbol"),
-        read_order().alias("line_no"),
-    )
+        return spark.createDataFrame([], f"sample string, type string, scope string, symbol string, line_no {PLACE}")
+
+    def hits(table: DataFrame) -> DataFrame:
+        return table.select(
+            F.element_at(F.split(decoded(F.col("_metadata.file_name")), "_amrfinder"), 1).alias("sample"),
+            _cell(F.col("Type")).alias("type"),
+            _cell(F.col("Scope")).alias("scope"),
+            _cell(F.col("`Element symbol`")).alias("symbol"),
+            place_in_file().alias("line_no"),
+        )
+
+    return scan_by_header(spark, folder, lambda header: "\t", hits, **opts)
 
 
 def mlst_fields(line: Column) -> Column:
@@ -92,13 +93,16 @@ def scan_resistance_genes(spark: SparkSession, folder: str | list[str], **option
     """``sample, gene, line_no`` from ``<sample>/ResFinder_results_tab.txt``."""
     opts = {"pathGlobFilter": "ResFinder_results_tab.txt", "recursiveFileLookup": "true", **options}
     if not _any_content(spark, folder, opts):
-        return spark.createDataFrame([], "sample string, gene string, line_no decimal(38,0)")
-    table = spark.read.options(**opts).csv(folder, sep="\t", header=True, inferSchema=False)
-    return table.select(
-        _decoded(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)).alias("sample"),
-        _cell(F.col("`Resistance gene`")).alias("gene"),
-        read_order().alias("line_no"),
-    )
+        return spark.createDataFrame([], f"sample string, gene string, line_no {PLACE}")
+
+    def genes(table: DataFrame) -> DataFrame:
+        return table.select(
+            decoded(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)).alias("sample"),
+            _cell(F.col("`Resistance gene`")).alias("gene"),
+            place_in_file().alias("line_no"),
+        )
+
+    return scan_by_header(spark, folder, lambda header: "\t", genes, **opts)
 
 
 def scan_pheno(spark: SparkSession, folder: str | list[str], **options) -> DataFrame:
@@ -110,7 +114,7 @@ def scan_pheno(spark: SparkSession, folder: str | list[str], **options) -> DataF
     lines = lines.filter((F.col("line_no") > PHENO_PREAMBLE) & (F.trim("value") != ""))
     f = F.split("value", "\t")
     return lines.select(
-        _decoded(F.element_at(F.split("file", "/"), -2)).alias("sample"),
+        decoded(F.element_at(F.split("file", "/"), -2)).alias("sample"),
         _cell(F.get(f, F.lit(0))).alias("antimicrobial"),
         _cell(F.get(f, F.lit(1))).alias("class"),
         _cell(F.get(f, F.lit(2))).alias("predicted"),
@@ -122,7 +126,7 @@ def scan_counts(spark: SparkSession, folder: str | list[str], **options) -> Data
     """``sample, reads`` from files ``<sample>_counts.txt`` that hold one whole number."""
     lines = spark.read.options(**{"pathGlobFilter": "*_counts.txt", **options}).text(folder)
     return lines.select(
-        F.regexp_replace(_decoded(F.col("_metadata.file_name")), r"_counts\.txt$", "").alias("sample"),
+        F.regexp_replace(decoded(F.col("_metadata.file_name")), r"_counts\.txt$", "").alias("sample"),
         F.trim("value").try_cast("long").alias("reads"),
     ).filter(F.col("reads").isNotNull())
 
@@ -197,4 +201,4 @@ def scan_files(spark: SparkSession, root: str, skip_name: str | None = None, who
         out = out.filter(basename(F.col("uri")) != skip_name)
     folder = root.split(":")[-1].strip("/") + "/"
     tail = F.col("uri").substr(F.locate(folder, F.col("uri")) + len(folder), F.length("uri"))
-    return out.select(_decoded(tail).alias("rel_path"), "length", "md5")
+    return out.select(tail.alias("rel_path"), "length", "md5")

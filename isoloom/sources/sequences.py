@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,25 @@ from isoloom.session import with_computed
 from isoloom.sources.lines import numbered_lines
 
 READ_SCHEMA = "file string, read_id string, seq string, qual string"
+PACKED = r"file rlike '(?i)[.](gz|bz2|zst|lz4|snappy|deflate)$'"  # files that Spark unpacks and can't split
+
+
+def _checked(file: str, lines: pa.Array) -> list[pa.Array]:
+    """The first, second and fourth lines of whole records; anything else than records is an error."""
+    names, seqs, marks, quals = (lines.take(pa.array(np.arange(first, len(lines), 4))) for first in range(4))
+    trimmed = [pc.utf8_rtrim(column, "\r") for column in (seqs, quals)]
+    right = [
+        pc.all(pc.starts_with(names, "@")), pc.all(pc.starts_with(marks, "+")),
+        pc.all(pc.equal(*(pc.utf8_length(column) for column in trimmed))),
+    ]
+    if not all(r.as_py() for r in right):
+        raise ValueError(f"{file} holds lines that are no FASTQ records")
+    return [names, seqs, quals]
+
+
+def _check_rest(file: str | None, lines: pa.Array | None) -> None:
+    if lines is not None and any(v.strip() for v in lines.to_pylist()):
+        raise ValueError(f"{file} ends within a FASTQ record")
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -28,12 +48,15 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             file, part = files[begin].as_py(), lines.slice(begin, end - begin)
             if file == open_file:
                 part = pa.concat_arrays([open_lines, part])
+            else:
+                _check_rest(open_file, open_lines)
             whole = len(part) // 4 * 4
             open_file, open_lines = file, part.slice(whole)
             if whole:
-                names, seqs, quals = (part.take(pa.array(np.arange(first, whole, 4))) for first in (0, 1, 3))
+                names, seqs, quals = _checked(file, part.slice(0, whole))
                 source = pa.array([file] * len(names), pa.string())
                 yield pa.RecordBatch.from_arrays([source, names, seqs, quals], ["file", "read_id", "seq", "qual"])
+    _check_rest(open_file, open_lines)
 
 
 def _tidy(reads: DataFrame) -> DataFrame:
@@ -44,21 +67,26 @@ def _tidy(reads: DataFrame) -> DataFrame:
     )
 
 
-def scan_fastq(spark: SparkSession, path: str | list[str], compressed: bool = True, **options) -> DataFrame:
-    """``file, read_id, seq, qual``.
+def scan_fastq(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
+    """``file, read_id, seq, qual`` of plain and compressed files, also of both in one folder.
 
     Compressed files cannot be split, so their lines arrive in order within one task and records are put together
-    there without a shuffle. Plain files are split by Spark; their lines are numbered and grouped by record.
+    there without a shuffle. Plain files are split by Spark; their lines are numbered and grouped by record. A record
+    without ``@`` or ``+``, with sequence and quality of unequal length, or cut short makes the scan fail.
     """
-    if compressed:
-        lines = spark.read.options(**options).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
-        return _tidy(lines.mapInArrow(_records, READ_SCHEMA))
-    lines = numbered_lines(spark, path, **options)
+    lines = spark.read.options(**options).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    packed = lines.where(PACKED).mapInArrow(_records, READ_SCHEMA)
+    lines = numbered_lines(spark, path, named=f"not ({PACKED})", **options)
     place = (F.col("line_no") - 1) % 4
     record = F.expr("(line_no - 1) div 4").alias("record")
-    pick = lambda i, name: F.max(F.when(place == i, F.col("value"))).alias(name)
-    grouped = lines.groupBy("file", record).agg(pick(0, "read_id"), pick(1, "seq"), pick(3, "qual"))
-    return _tidy(grouped.filter(F.col("qual").isNotNull()))
+    pick = lambda i, name: F.max(F.when(place == i, F.regexp_replace("value", "\r$", ""))).alias(name)
+    grouped = lines.groupBy("file", record).agg(pick(0, "read_id"), pick(1, "seq"), pick(2, "mark"), pick(3, "qual"))
+    blank = F.trim(F.concat_ws("", "read_id", "seq", "mark", "qual")) == ""
+    right = F.col("read_id").startswith("@") & F.col("mark").startswith("+") & (F.length("seq") == F.length("qual"))
+    checked = grouped.where(~blank).withColumn("read_id", F.when(right, F.col("read_id")).otherwise(
+        F.raise_error(F.concat(F.lit("no FASTQ record: file "), "file", F.lit(", record "), F.col("record").cast("string")))
+    ))
+    return _tidy(packed.unionByName(checked.select("file", "read_id", "seq", "qual")))
 
 
 def scan_fasta(spark: SparkSession, path: str | list[str], **options) -> DataFrame:

@@ -67,7 +67,7 @@ def test_compressed_reads_stay_whole(spark, tmp_path):
 
 def test_plain_reads_across_splits(spark, tmp_path, tiny_splits):
     (tmp_path / "s.fastq").write_text(fastq(200).replace("\n", "\r\n"))
-    got = {r["read_id"]: (r["seq"], r["qual"]) for r in sequences.scan_fastq(spark, str(tmp_path), compressed=False).collect()}
+    got = {r["read_id"]: (r["seq"], r["qual"]) for r in sequences.scan_fastq(spark, str(tmp_path)).collect()}
     assert got == {f"{i} x": ("ACGT" * (i % 7 + 1), "@III" * (i % 7 + 1)) for i in range(200)}
 
 
