@@ -196,7 +196,8 @@ def merged_index(spark: SparkSession, path: str, range_captures: int = RANGE_CAP
         for frame in frames:
             for archive, content in zip(frame["path"], frame["content"]):
                 rows = [dict(zip(names, c)) for c in captures(archive.rpartition("/")[2], content)]
-                yield pd.DataFrame({"archive": [archive], "captures": [rows]})
+                if rows:
+                    yield pd.DataFrame({"archive": [archive], "captures": pd.Series([rows], dtype=object)})
 
     sorted_runs = settle(archives.mapInPandas(runs, run_shape), "runs")
     total = sorted_runs.agg(F.sum(F.size("captures"))).first()[0] or 0
@@ -216,7 +217,8 @@ def merged_index(spark: SparkSession, path: str, range_captures: int = RANGE_CAP
                 for c in run:
                     key = (c["url_key"], c["captured"], -1 if c["page_id"] is None else c["page_id"])
                     parts.setdefault(bisect_right(splitters, key), []).append(c)
-                yield pd.DataFrame({"range_no": list(parts), "archive": [archive] * len(parts), "captures": list(parts.values())})
+                rows = list(map(list, parts.values()))
+                yield pd.DataFrame({"range_no": list(parts), "archive": [archive] * len(parts), "captures": pd.Series(rows, dtype=object)})
 
     def merge(frame):
         import pandas as pd
