@@ -135,6 +135,11 @@ def _train(x: np.ndarray, grades: np.ndarray, top: int, l2: float = 2e-2) -> Ord
     return OrdinalModel(w.astype(np.float32), cuts, mean, scale)
 
 
+def untrained(top: int) -> OrdinalModel:
+    flat = np.zeros(WIDTH, dtype=np.float32)
+    return OrdinalModel(flat, np.linspace(-1, 1, top), flat, flat + 1)
+
+
 def fit(docs: DataFrame, labels: DataFrame, grade: str, top: int, bound: int = SAMPLE_BOUND) -> OrdinalModel:
     """Train on at most ``bound`` labelled rows that are not held out. ``grade`` is an SQL expression over the labels
     that gives 0 to ``top``. The sample, bounded whatever the table's size, is worked on in one task; only the weights
@@ -146,8 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str, top: int, bound: int = S
         parts = list(frames)
         rows = pd.concat(parts) if parts else pd.DataFrame({"text": [], "grade": [], "doc_id": []})
         rows = rows.sort_values(["doc_id", "grade"], kind="stable")
-        flat = np.zeros(WIDTH, dtype=np.float32)
-        model = OrdinalModel(flat, np.linspace(-1, 1, top), flat, flat + 1)
+        model = untrained(top)
         if len(rows):
             grades = rows["grade"].astype(int).clip(0, top).to_numpy()
             model = _train(_matrix(encoded(rows["text"])), grades, top)
@@ -156,6 +160,8 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str, top: int, bound: int = S
 
     sample = bounded_sample(labels, docs, {"grade": grade}, bound)
     row = sample.repartition(1).mapInPandas(train, "w binary, t array<double>").first()
+    if row is None:  # no labelled row at all
+        return untrained(top)
     weights, mean, scale = np.frombuffer(row["w"], dtype=np.float32).reshape(3, WIDTH)
     return OrdinalModel(weights, np.array(row["t"]), mean, scale)
 

@@ -73,7 +73,7 @@ def _train(blobs: list[bytes], toxic: np.ndarray, l1: float = 1e-5) -> np.ndarra
     w[-1] = START_BIAS
     first, second = np.zeros_like(w), np.zeros_like(w)
     share = np.where(toxic == 1, 0.5 / max(toxic.sum(), 1), 0.5 / max((toxic == 0).sum(), 1))
-    share = 0.5 * share + 0.5 / len(toxic)
+    share = 0.75 * share + 0.25 / len(toxic)
     for step in range(1, STEPS + 1):
         z = np.bincount(sentence, weights=w[bucket], minlength=lines) + w[-1]
         total = np.maximum(np.bincount(owner, weights=_softplus(z), minlength=len(blobs)), 1e-12)
@@ -88,6 +88,13 @@ def _train(blobs: list[bytes], toxic: np.ndarray, l1: float = 1e-5) -> np.ndarra
     return w
 
 
+def untrained() -> np.ndarray:
+    """Weights by which every text scores (nearly) 0."""
+    weights = np.zeros(2**BITS + 1)
+    weights[-1] = -40.0
+    return weights
+
+
 def fit(docs: DataFrame, labels: DataFrame, toxic: str = "toxic", bound: int = SAMPLE_BOUND) -> np.ndarray:
     """Weights learnt from at most ``bound`` labelled rows that are not held out; the bounded sample is one task."""
 
@@ -95,16 +102,15 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: str = "toxic", bound: int = S
         import pandas as pd
 
         parts = [f for f in frames if len(f)]
-        weights = np.zeros(2**BITS + 1)
-        weights[-1] = -40.0
+        weights = untrained()
         if parts:
             rows = pd.concat(parts).sort_values(["doc_id", "toxic"], kind="stable")
             weights = _train(encoded(rows["text"]), rows["toxic"].astype(int).to_numpy())
         yield pd.DataFrame({"w": [weights.astype(np.float32).tobytes()]})
 
     sample = bounded_sample(labels, docs, {"toxic": toxic}, bound)
-    blob = sample.repartition(1).mapInPandas(train, "w binary").first()["w"]
-    return np.frombuffer(blob, dtype=np.float32).astype(np.float64)
+    row = sample.repartition(1).mapInPandas(train, "w binary").first()
+    return np.frombuffer(row["w"], dtype=np.float32).astype(np.float64) if row else untrained()
 
 
 def score(docs: DataFrame, weights: np.ndarray, keep: list[str], text: str = "text") -> DataFrame:
