@@ -21,7 +21,7 @@ from isoloom.session import by_sorting
 
 HEAVIEST = 15
 BITS = 128
-DOCS_PER_RANGE = 8192
+DOCS_PER_RANGE = 2048
 MOST_RANGES = 4096
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -78,7 +78,7 @@ def fingerprints(texts: DataFrame, keys: list[str], text: str = "text") -> DataF
     words = texts.select(*keys, F.filter(F.split(text, SPACE), lambda w: w != "").alias("words"))
     terms = words.select(*keys, "words", F.posexplode_outer("words").alias("pos", "word"))
     terms = terms.select(
-        *keys, F.coalesce(F.least(F.char_length("word"), F.lit(HEAVIEST)), F.lit(0)).cast("long").alias("weight"),
+        *keys, F.when(F.col("word").isNull(), 0).otherwise(F.least(F.char_length("word"), F.lit(HEAVIEST))).cast("long").alias("weight"),
         F.xxhash64("word", F.get("words", F.col("pos") + 1)).alias("a"),
     ).withColumn("b", F.xxhash64("a", F.lit(1)))
     pair = F.lit(0x0000000100000001).cast("long")
