@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from isoloom.functions.dna import kmer_rows, piece, revcomp
 from isoloom.session import broadcast_if_small, with_computed
 
-# Thresholds of the acquired-gene screen and of the coverage-only screen.
+# Thresholds of the acquired-gene screen.
 COVERAGE, IDENTITY = 0.6, 0.8
-COVERAGE_ONLY = 0.7
 SEED, MIN_SEEDS = 15, 2
+PANEL_PARTS = 16
 HIT_COLUMNS = ("sample", "contig_id", "gene", "strand", "start", "end", "coverage", "identity")
 
 
@@ -77,30 +77,47 @@ def gene_screen(
     )
 
 
-def best_hit_per_locus(hits: DataFrame) -> DataFrame:
-    """The best hit of each place: hits that overlap, directly or through others, share a place.
+def best_hit_per_locus(hits: DataFrame, rivalry: float = 0.0) -> DataFrame:
+    """The best hit of each place: identity first, then coverage, gene name and position.
 
-    Best is the highest identity, then coverage, then the gene name, then the position.
+    Hits of one contig that overlap, directly or through others, form an island. Inside it hits are taken greedily by
+    rank; a hit falls when it shares more than ``rivalry`` of the shorter one's length with a better hit that was
+    taken, so genes that merely touch all stay. An island holds the hits of one stretch of a contig.
     """
     contig = Window.partitionBy("sample", "contig_id")
     order = contig.orderBy("start", "end", "gene", "strand")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     opened = hits.withColumn("opens", F.when(reach.isNull() | (F.col("start") > reach), 1).otherwise(0))
     places = opened.withColumn("place", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    best = Window.partitionBy("sample", "contig_id", "place").orderBy(
-        F.desc("identity"), F.desc("coverage"), "gene", "start", "strand", "end"
-    )
-    return places.withColumn("nth", F.row_number().over(best)).filter("nth = 1").select(*HIT_COLUMNS)
+    fields = ("identity", "coverage", "gene", "start", "strand", "end")
+    ranked = F.struct(*[(-F.col(c)).alias(c) if c in ("identity", "coverage") else F.col(c) for c in fields])
+    islands = places.groupBy("sample", "contig_id", "place").agg(F.array_sort(F.collect_list(ranked)).alias("ranked"))
+
+    def rivals(a: Column, b: Column) -> Column:
+        shared = F.least(a["end"], b["end"]) - F.greatest(a["start"], b["start"]) + 1
+        shorter = F.least(a["end"] - a["start"], b["end"] - b["start"]) + 1
+        return (shared > 0) & (shared > shorter * rivalry)
+
+    def take(taken: Column, hit: Column) -> Column:
+        return F.when(F.exists(taken, lambda other: rivals(other, hit)), taken).otherwise(F.concat(taken, F.array(hit)))
+
+    # No taken hit at the start: an empty list of the same type.
+    kept = F.aggregate("ranked", F.slice("ranked", 1, 0), take)
+    best = islands.select("sample", "contig_id", F.inline(kept))
+    return best.withColumns({"identity": -F.col("identity"), "coverage": -F.col("coverage")}).select(*HIT_COLUMNS)
 
 
-def gene_phenotype(hits: DataFrame, catalogue: DataFrame) -> DataFrame:
+def gene_phenotype(hits: DataFrame, catalogue: DataFrame, samples: DataFrame | None = None) -> DataFrame:
     """Per sample and drug of the catalogue (``gene, class, antimicrobial``) Resistant or No resistance.
 
-    The drugs of the catalogue, a short fixed list by nature, unfold on each sample; the genes found decide.
+    ``samples`` names all samples screened, those without a hit too; by default those with a hit are reported. Every
+    sample gets a row per drug; the drugs are measured before they are broadcast, and otherwise joined in parts.
     """
-    panel = catalogue.select("class", "antimicrobial").distinct()
-    drugs = panel.agg(F.array_sort(F.collect_set(F.struct("class", "antimicrobial"))).alias("drugs")).select("drugs").scalar()
-    rows = hits.select("sample").distinct().select("sample", F.explode(drugs).alias("d")).select("sample", "d.*")
+    part = F.sequence(F.lit(0), F.lit(PANEL_PARTS - 1))
+    panel = catalogue.select("class", "antimicrobial").distinct().select("class", "antimicrobial", F.explode(part).alias("part"))
+    named = (hits if samples is None else samples.select("sample").unionByName(hits.select("sample"))).select("sample").distinct()
+    named = named.withColumn("part", F.pmod(F.xxhash64("sample"), F.lit(PANEL_PARTS)).cast("int"))
+    rows = named.join(broadcast_if_small(panel, ["class", "antimicrobial"]), "part").drop("part")
     drugs_of = broadcast_if_small(catalogue, ["gene", "class", "antimicrobial"])  # a gene many samples share is no hot spot
     found = hits.select("sample", "gene").distinct().join(drugs_of, "gene").groupBy("sample", "class", "antimicrobial").agg(
         F.count_distinct("gene").alias("genes")

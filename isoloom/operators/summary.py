@@ -100,8 +100,11 @@ def report_sort(report: DataFrame) -> DataFrame:
     return report.orderBy(F.asc_nulls_last("Sample"), F.asc_nulls_last("ST"))
 
 
-def combined_report(calls: DataFrame, hits: DataFrame, genes: DataFrame, pheno: DataFrame) -> DataFrame:
-    return report_sort(combine_results(mlst_summary(calls), amr_summary(hits), resistance_summary(genes, pheno)))
+def combined_report(
+    calls: DataFrame, hits: DataFrame, genes: DataFrame, pheno: DataFrame, samples: DataFrame | None = None
+) -> DataFrame:
+    """``samples`` (column ``sample``) names those that get a row even when no result table has one for them."""
+    return report_sort(combine_results(mlst_summary(calls), amr_summary(hits), resistance_summary(genes, pheno, samples)))
 
 
 def concat_files(frames: list[DataFrame]) -> DataFrame:

@@ -505,10 +505,12 @@ firsts AS (SELECT sample, symbol, min(ord) AS ord, min(ord) FILTER (type = 'AMR'
 results AS (
   SELECT sample, coalesce(string_agg(symbol, ' ' ORDER BY a) FILTER (a IS NOT NULL), '') AS amr, coalesce(string_agg(symbol, ' ' ORDER BY v) FILTER (v IS NOT NULL), '') AS vir,
     string_agg(symbol, ' ' ORDER BY ord) AS core FROM firsts GROUP BY sample),
-labs AS (SELECT m.*, r.amr, r.vir, r.core FROM methods m LEFT JOIN results r ON m.id = r.sample)"""
+labs AS (SELECT m.*, coalesce(r.amr, 'old genes') AS amr_or_old, r.amr, r.vir, r.core, CASE WHEN r.sample IS NOT NULL THEN 'scheme' || (k % 3) END AS scheme,
+    coalesce(CASE WHEN r.sample IS NOT NULL AND k % 4 <> 0 THEN (k % 50)::VARCHAR END, CASE WHEN row_no % 3 <> 0 THEN 'old' END) AS st FROM methods m LEFT JOIN results r ON m.id = r.sample)"""
 _LAB_SQL = {
     "CODIGO_MUESTRA_ORIGEN": "id", "PETICION": "id2", "FECHA_TOMA_MUESTRA": "coalesce(strftime(day, '%Y-%m-%d'), collection_date)", "ESPECIE_SECUENCIA": "organism",
-    "MOTIVO_WGS": "relevance", "NUM_BROTE": "outbreak_id", "ILLUMINA_R1": "illumina_r1", "NANOPORE": "nanopore", "CARRERA": "run", "R_Geno_WGS": "amr", "V_WGS": "vir",
+    "MOTIVO_WGS": "relevance", "NUM_BROTE": "outbreak_id", "CONFIRMACION": "confirmation_note", "COMENTARIO_WGS": "comment", "ILLUMINA_R1": "illumina_r1",
+    "ILLUMINA_R2": "illumina_r2", "NANOPORE": "nanopore", "CARRERA": "run", "ID_WS": "scheme", "ST_WGS": "st", "R_Geno_WGS": "amr_or_old", "V_WGS": "vir",
     "MO_EST_WGS": "'BACTERIA'", "TIPO_ANALISIS_WGS": "'VERIFICACION'", "PLASMIDOS_WGS": "NULL::VARCHAR", "OBS_MET_WGS": "method",
     "FICHERO_LECTURAS_WGS": f"'{v.STORE}/CVA_' || substr(split_part(run, '_', 2), 1, 4) || {_PATH}",
 }
@@ -591,15 +593,23 @@ best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY sample ORD
    "SELECT s.sample, coalesce(scheme, '-') AS scheme, coalesce(st, '-') AS st, coalesce(score, 0.0)::DOUBLE AS score, coalesce(alleles, '') AS alleles"
    " FROM (SELECT DISTINCT sample FROM typed_contigs) s LEFT JOIN best b ON s.sample = b.sample")
 _q("gene_screen", SCREEN, "SELECT * FROM hits")
-_q("best_hit_per_locus", SCREEN + """,
-marked AS (SELECT *, max("end") OVER (PARTITION BY sample, contig_id ORDER BY start, "end", gene, strand ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM hits),
-islands AS (SELECT *, sum(CASE WHEN reach IS NULL OR start > reach THEN 1 ELSE 0 END) OVER (PARTITION BY sample, contig_id ORDER BY start, "end", gene, strand ROWS UNBOUNDED PRECEDING) AS place FROM marked)""",
-   """SELECT sample, contig_id, gene, strand, start, "end", coverage, identity FROM islands
-  QUALIFY row_number() OVER (PARTITION BY sample, contig_id, place ORDER BY identity DESC, coverage DESC, gene, start, strand, "end") = 1""")
+_q("best_hit_per_locus", "RECURSIVE " + SCREEN.strip() + """,
+ranked AS (
+  SELECT sample, contig_id, row_number() OVER (PARTITION BY sample, contig_id ORDER BY identity DESC, coverage DESC, gene, start, strand, "end") AS n,
+    {'gene': gene, 'strand': strand, 'a': start, 'b': "end", 'coverage': coverage, 'identity': identity} AS hit FROM hits),
+walk AS (
+  SELECT sample, contig_id, n, [hit] AS kept FROM ranked WHERE n = 1
+  UNION ALL SELECT r.sample, r.contig_id, r.n, CASE WHEN len(list_filter(w.kept, lambda h: h.a <= r.hit.b AND h.b >= r.hit.a)) > 0 THEN w.kept ELSE list_append(w.kept, r.hit) END
+  FROM walk w JOIN ranked r ON w.sample = r.sample AND w.contig_id = r.contig_id AND r.n = w.n + 1),
+chosen AS (SELECT sample, contig_id, unnest(kept) AS hit FROM walk QUALIFY row_number() OVER (PARTITION BY sample, contig_id ORDER BY n DESC) = 1)""",
+   'SELECT sample, contig_id, hit.gene AS gene, hit.strand AS strand, hit.a AS start, hit.b AS "end", hit.coverage AS coverage, hit.identity AS identity FROM chosen')
 _q("gene_phenotype", """
 catalogue AS (SELECT DISTINCT p_brand || '_' || p_type || '_' || p_size AS gene, p_type AS class, split_part(p_name, ' ', 2) AS antimicrobial FROM part),
 found AS (SELECT DISTINCT 'O' || (l_orderkey // 4) AS sample, p_brand || '_' || p_type || '_' || p_size AS gene FROM lineitem JOIN part ON l_partkey = p_partkey),
-panel AS (SELECT * FROM (SELECT DISTINCT sample FROM found), (SELECT DISTINCT class, antimicrobial FROM catalogue)),
+screened AS (
+  SELECT sample FROM found UNION SELECT 'O' || (o_orderkey // 4) FROM orders
+  UNION SELECT 'O' || (o_orderkey // 4) || 'x' FROM orders WHERE 'O' || (o_orderkey // 4) LIKE 'O1%'),
+panel AS (SELECT * FROM screened, (SELECT DISTINCT class, antimicrobial FROM catalogue)),
 counts AS (SELECT sample, class, antimicrobial, count(DISTINCT gene) AS genes FROM found JOIN catalogue USING (gene) GROUP BY ALL)""",
    "SELECT sample, class, antimicrobial, CASE WHEN genes > 0 THEN 'Resistant' ELSE 'No resistance' END AS predicted, coalesce(genes, 0)::BIGINT AS genes FROM panel LEFT JOIN counts USING (sample, class, antimicrobial)")
 

@@ -42,12 +42,14 @@ def validate_files(
 
 
 def report_from_results(spark: SparkSession, folder: str) -> DataFrame:
-    """The combined report of all result files in a folder; kinds of result that are absent stay empty."""
+    """The combined report of all result files in a folder; kinds of result that are absent stay empty. A sample whose
+    result files are empty, or hold a header alone, has its row too."""
     return summary.combined_report(
         results.scan_mlst_calls(spark, folder),
         results.scan_amr_hits(spark, folder),
         results.scan_resistance_genes(spark, f"{folder}/resfinder"),
         results.scan_pheno(spark, f"{folder}/resfinder"),
+        results.scan_samples(spark, folder),
     )
 
 

@@ -66,6 +66,15 @@ def scan_amr_hits(spark: SparkSession, folder: str | list[str], **options) -> Da
     return scan_by_header(spark, folder, lambda header: "\t", hits, **opts)
 
 
+def scan_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """``sample`` of every result file or folder below ``folder``, also of empty ones; contents are not read."""
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
+    file, parent = F.element_at(F.split("path", "/"), -1), F.element_at(F.split("path", "/"), -2)
+    by_file = F.when(file.contains("_amrfinder") & ~file.startswith("."), F.element_at(F.split(file, "_amrfinder"), 1))
+    by_folder = F.when(file.isin("ResFinder_results_tab.txt", "pheno_table.txt"), parent)
+    return names.select(F.coalesce(by_file, by_folder).alias("sample")).where("sample is not null").distinct()
+
+
 def mlst_fields(line: Column) -> Column:
     """Split one ragged call: file, scheme, ST, then any number of ``locus(allele)`` fields."""
     return F.split(F.regexp_replace(line, r"^\s+|\s+$", ""), "\t")

@@ -360,3 +360,24 @@ def test_new_files_are_added_once(spark, rows, tmp_path):
     rows("sample string, v int", ("a", 9), ("c", 1)).write.mode("append").parquet(source)
     ingest_new_files(spark, source, first.schema, ["sample"], state)
     assert {tuple(r) for r in ingested_counts(spark, state, ["sample"]).collect()} == {("a", 3), ("b", 1), ("c", 1)}
+
+
+def test_best_hits_of_touching_genes(rows):
+    hits = rows(
+        "sample string, contig_id string, gene string, strand string, start long, end long, coverage double, identity double",
+        ("s", "c", "A", "+", 1, 1000, 1.0, 0.9), ("s", "c", "B", "+", 998, 1900, 1.0, 0.95), ("s", "c", "C", "+", 1897, 2900, 1.0, 0.99),
+        ("s", "c", "C2", "+", 1900, 2850, 1.0, 0.97),
+    )
+    assert {r["gene"] for r in screen.best_hit_per_locus(hits).collect()} == {"A", "C"}
+    assert {r["gene"] for r in screen.best_hit_per_locus(hits, rivalry=0.1).collect()} == {"A", "B", "C"}
+    assert screen.best_hit_per_locus(hits.limit(0)).count() == 0
+
+
+def test_lab_report_of_a_sheet_with_types(rows):
+    sheet = rows(
+        "id string, illumina_r1 string, illumina_r2 string, nanopore string, ST_WGS string, amr string",
+        ("a", "/x/a_R1.fq", None, None, "9", "old"), ("b", None, None, None, "8", None),
+    )
+    report = rows(", ".join(f"{c} string" for c in summary.REPORT_COLUMNS), ("a", "sch", "7", "l(1)", None, "v", "g", "r", "p"))
+    got = {r["CODIGO_MUESTRA_ORIGEN"]: r for r in lab.lab_report(sheet, report, "id", F.lit("x"), "/s").collect()}
+    assert (got["a"]["ST_WGS"], got["a"]["R_Geno_WGS"], got["b"]["ST_WGS"], got["b"]["R_Geno_WGS"]) == ("7", "old", "8", None)

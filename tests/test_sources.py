@@ -142,3 +142,43 @@ def test_round_trips(spark, tmp_path, rows):
     assert {tuple(r)[1:] for r in sequences.scan_fastq(spark, str(tmp_path / "q")).collect()} == {("r1", "ACG", "III"), ("r2", "A", "@")}
     sinks.write_fasta(rows("id string, seq string", ("c1", "ACGT" * 50), ("c2", "A" * 60)), str(tmp_path / "f"))
     assert {(r["id"], r["seq"]) for r in sequences.scan_fasta(spark, str(tmp_path / "f")).collect()} == {("c1", "ACGT" * 50), ("c2", "A" * 60)}
+
+
+def test_files_with_other_headers(spark, tmp_path):
+    folder = tmp_path / "a%b +x"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id;path;organism\nA1;/d/1;Kleb\n\nA2;/d/2;\"two\nlines\"\n")
+    (folder / "b.csv").write_text("organism,id,path\nKleb,B1,/d/2\n")
+    got = {(r["row_no"], r["id"], r["path"], r["organism"]) for r in scan_numbered_sheet(spark, str(folder)).collect()}
+    assert got == {(2, "A1", "/d/1", "Kleb"), (3, "A2", "/d/2", "two\nlines"), (2, "B1", "/d/2", "Kleb")}
+    (folder / "P_amrfinder.tsv").write_text("Element symbol\tScope\tType\nzz\tcore\tAMR\nyy\tcore\tAMR\n")
+    (folder / "P_amrfinder.x.tsv").write_text("Type\tElement symbol\tScope\nAMR\taa\tcore\n")
+    (folder / "Q_amrfinder.tsv").write_text("Element symbol\tScope\tType\n")
+    hits = results.scan_amr_hits(spark, str(folder))
+    assert [r["AMR"] for r in summary.amr_summary(hits).collect()] == ["zz yy aa"]
+    assert {r["sample"] for r in results.scan_samples(spark, str(folder)).collect()} == {"P", "Q"}
+
+
+def test_mixed_and_broken_reads(spark, tmp_path):
+    record = lambda i: f"@r{i}\nACGT\n+\nIIII\n"
+    (tmp_path / "plain.fastq").write_text("".join(map(record, range(200))))
+    with gzip.open(tmp_path / "packed.fastq.gz", "wt") as out:
+        out.write("".join(map(record, range(200, 300))))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        got = sorted(tuple(r)[1:] for r in sequences.scan_fastq(spark, str(tmp_path)).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == sorted((f"r{i}", "ACGT", "IIII") for i in range(300))
+    for name, text in (("cut.fastq", "@r\nAC\n+\n"), ("marks.fastq", "r\nAC\n+\nII\n"), ("length.fastq", "@r\nAC\n+\nI\n")):
+        for pack in (False, True):
+            folder = tmp_path / f"{name}-{pack}"
+            folder.mkdir()
+            if pack:
+                with gzip.open(folder / f"{name}.gz", "wt") as out:
+                    out.write(text)
+            else:
+                (folder / name).write_text(text)
+            with pytest.raises(Exception, match="FASTQ"):
+                sequences.scan_fastq(spark, str(folder)).collect()
