@@ -33,13 +33,13 @@ HALVES = """
         if(n % 2 = 1, xxhash64('last', substring(line, n - (n + 1) div 2 + 1), (n + 1) div 2), null)
     ), h -> n >= {least} and h is not null)
 """
+# Keys of a line: 0 itself, 1 without one character, 2 the parts around one character.
 VARIANTS = """
     concat(
-        array(struct('whole' as kind, xxhash64(line) as variant, xxhash64(reverse(line)) as second)),
-        flatten(transform(sequence(1, char_length(line)), i -> array(
-            struct('change' as kind, xxhash64(substring(line, 1, i - 1), i) as variant, xxhash64(substring(line, i + 1)) as second),
-            struct('insert' as kind, xxhash64(concat(substring(line, 1, i - 1), substring(line, i + 1))) as variant,
-                   xxhash64(reverse(concat(substring(line, 1, i - 1), substring(line, i + 1)))) as second)
+        array(struct(0 as kind, xxhash64('text', line) as variant)),
+        flatten(transform(sequence(low, high), i -> array(
+            struct(1 as kind, xxhash64('text', concat(substring(line, 1, i - 1), substring(line, i + 1))) as variant),
+            struct(2 as kind, xxhash64('parts', substring(line, 1, i - 1), i, substring(line, i + 1)) as variant)
         )))
     )
 """
@@ -53,42 +53,56 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _within_one_edit(near: DataFrame) -> DataFrame:
-    """Ids of the lines of ``near`` (place, line) that are one edit away from an earlier one."""
-    each = near.select("place", "line", F.inline(F.expr(VARIANTS)))
-    changes = each.where("kind = 'change'")
-    first = changes.groupBy("variant", "second").agg(F.min(F.struct("place", "line")).alias("first"), F.count("*").alias("n"))
-    first = first.where("n > 1").drop("n")
-    pairs = changes.join(by_sorting(first), ["variant", "second"]).where("place <> first.place")
-    pairs = pairs.select("place", "line", F.col("first.line").alias("other"))
-    whole = each.where("kind = 'whole'").select("variant", "second", F.struct("place", "line").alias("base"))
-    inserts = each.where("kind = 'insert'")
-    both = inserts.join(by_sorting(whole), ["variant", "second"])
-    later = both.where("base.place < place").select("place", "line", F.col("base.line").alias("other"))
-    shorter = both.where("place < base.place").groupBy("base").agg(F.min("line").alias("other"))
-    shorter = shorter.select("base.place", "base.line", "other")
-    checked = pairs.unionByName(later).unionByName(shorter).where("levenshtein(line, other, 1) between 0 and 1")
-    return checked.select("place").distinct()
+    """Places of the lines of ``near`` (id, place, line, and low to high, where an edit may be) that are one edit away from an earlier one."""
+    keys = near.select("id", F.inline(F.expr(VARIANTS)))
+    # Only keys that bring two lines together go on, so places and texts never travel with the neighbourhoods.
+    shared = keys.groupBy("variant").agg(F.count("*").alias("n"), F.min("kind").alias("least"))
+    shared = shared.where("n > 1 and least <> 1").select("variant")
+    met = keys.join(by_sorting(shared), "variant", "leftsemi").join(by_sorting(near.select("id", "place")), "id")
+    met = settle(met, "met")
+    parts = met.where("kind = 2")
+    first = parts.groupBy("variant").agg(F.min(F.struct("place", "id")).alias("first"))
+    pairs = parts.join(by_sorting(first), "variant").select("id", F.col("first.id").alias("other"))
+    whole = met.where("kind = 0").select("variant", F.col("id").alias("base"), F.col("place").alias("base_place"))
+    both = met.where("kind = 1").join(by_sorting(whole), "variant")
+    later = both.where("base_place < place").select("id", F.col("base").alias("other"))
+    shorter = both.where("place < base_place").groupBy("base").agg(F.min(F.struct("place", "id")).alias("first"))
+    shorter = shorter.select(F.col("base").alias("id"), F.col("first.id").alias("other"))
+    pairs = pairs.unionByName(later).unionByName(shorter).where("id <> other").distinct()
+    texts = near.select(F.col("id").alias("other"), F.col("line").alias("other_line"))
+    pairs = pairs.join(by_sorting(near.select("id", "place", "line")), "id").join(by_sorting(texts), "other")
+    return pairs.where("levenshtein(line, other_line, 1) between 0 and 1").select("place").distinct()
 
 
 def kept_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """Places (doc_id, text_hash, line_no) of all lines that stay."""
-    lines = _lines(docs).withColumn("n", F.char_length("line"))
+    lines = _lines(docs)
     place = F.struct("doc_id", "text_hash", "line_no")
-    words = lines.where(F.trim("line") != "")
+    words = lines.where(F.trim("line") != "").withColumn("n", F.char_length("line"))
+    words = words.withColumn("halves", F.expr(HALVES.format(least=min_chars)))
     # 128 bits name a line; the halves depend on the line alone, so any of a group will do.
     distinct = words.groupBy(F.xxhash64("line").alias("h1"), F.xxhash64(F.reverse("line")).alias("h2")).agg(
-        F.min(place).alias("place"), *[F.min(F.get(F.expr(HALVES.format(least=min_chars)), i)).alias(f"k{i}") for i in range(4)]
+        F.min(place).alias("place"), *[F.min(F.get("halves", i)).alias(f"k{i}") for i in range(4)]
     )
     distinct = settle(distinct.drop("h1", "h2"), "lines")
-    halves = distinct.select("place", F.explode(F.expr("filter(array(k0, k1, k2, k3), k -> k is not null)")).alias("half"))
+    halves = distinct.select("place", F.posexplode(F.array("k0", "k1", "k2", "k3")).alias("at", "half")).where("half is not null")
     shared = halves.groupBy("half").agg(F.count("*").alias("n"), F.min("place").alias("one")).where("n > 1").select("half")
-    near = halves.join(by_sorting(shared), "half", "leftsemi").select("place").distinct()
+    # A shared first half leaves the edit to the rest of the line, a shared last half to its start.
+    near = halves.join(by_sorting(shared), "half", "leftsemi").groupBy("place").agg(
+        F.max((F.col("at") % 2).cast("int")).alias("last"), F.max((1 - F.col("at") % 2).cast("int")).alias("first")
+    )
     # The texts of those lines: each is read at its place.
-    wanted = near.groupBy("place.doc_id", "place.text_hash").agg(F.collect_list("place.line_no").alias("numbers"))
+    wanted = near.groupBy("place.doc_id", "place.text_hash").agg(
+        F.collect_list(F.struct(F.col("place.line_no").alias("line_no"), "first", "last")).alias("numbers")
+    )
     texts = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"), "text")
     found = texts.join(by_sorting(wanted), F.expr("d <=> doc_id and h = text_hash")).dropDuplicates(["doc_id", "text_hash"])
-    found = found.select("doc_id", "text_hash", F.split("text", "\n").alias("all"), F.explode("numbers").alias("line_no"))
-    found = settle(found.select(place.alias("place"), F.expr("all[line_no]").alias("line")), "near-lines")
+    found = found.select("doc_id", "text_hash", F.split("text", "\n").alias("all"), F.inline("numbers"))
+    found = found.select(place.alias("place"), "first", "last", F.expr("all[line_no]").alias("line"), F.char_length(F.expr("all[line_no]")).alias("n"))
+    found = settle(found.select(
+        F.xxhash64("line").alias("id"), "place", "line", F.expr("if(last = 1, 1, n div 2 + 1)").cast("int").alias("low"),
+        F.expr("if(first = 1, n, n - n div 2)").cast("int").alias("high"),
+    ), "near-lines")
     dropped = _within_one_edit(found)
     first = distinct.select("place").join(by_sorting(dropped), "place", "leftanti").select("place.*")
     return first.unionByName(lines.where(F.trim("line") == "").select("doc_id", "text_hash", "line_no"))
