@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from isoloom.functions.dna import count_of
 from isoloom.functions.quality import OFFSET, phred, total
 from isoloom.operators.reads import cut_tail
-from isoloom.session import broadcast_if_small
 
 FILE_KEY = ("sample", "mate")
+LETTERS_AT_ONCE = 2_000_000
 QUANTILES = {"p10": 0.1, "q1": 0.25, "median": 0.5, "q3": 0.75, "p90": 0.9}
 
 
@@ -24,6 +27,38 @@ def staged(reads: DataFrame) -> DataFrame:
     return trimmed.select(*FILE_KEY, F.explode(both).alias("s")).select("s.stage", *FILE_KEY, "s.qual")
 
 
+def position_counts(reads: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """``keys``, pos (from 1), letter (its code) and n: how often each letter of an ASCII text stands at each position.
+
+    Letters are counted inside the map tasks, a bounded piece of a batch at a time, so what leaves a task are counts."""
+    shape = StructType([reads.schema[k] for k in keys]).add("pos", "long").add("letter", "integer").add("n", "long")
+
+    def run(batches):
+        for batch in batches:
+            frame = batch.select(keys).to_pandas()
+            file = frame.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
+            first = np.unique(file, return_index=True)[1]
+            texts = [t.encode() if t else b"" for t in batch.column(text).to_pylist()]
+            ends = np.cumsum([len(t) for t in texts])
+            begin = 0
+            while begin < len(texts):
+                done = ends[begin - 1] if begin else 0
+                stop = max(begin + 1, int(np.searchsorted(ends, done + LETTERS_AT_ONCE)))
+                sizes = np.array([len(t) for t in texts[begin:stop]])
+                letters = np.frombuffer(b"".join(texts[begin:stop]), dtype=np.uint8).astype(np.int64)
+                starts = np.repeat(np.cumsum(sizes) - sizes, sizes)
+                place = np.arange(len(letters)) - starts
+                code = (np.repeat(file[begin:stop], sizes) << 40 | place) << 8 | letters
+                found, n = np.unique(code, return_counts=True)
+                rows = batch.select(keys).take(pa.array(first[found >> 48]))
+                columns = [pa.array((found >> 8 & ((1 << 40) - 1)) + 1), pa.array((found & 255).astype(np.int32)), pa.array(n)]
+                yield pa.RecordBatch.from_arrays([*rows.columns, *columns], names=shape.names)
+                begin = stop
+
+    counted = reads.select(*keys, text).mapInArrow(run, shape)
+    return counted.groupBy(*keys, "pos", "letter").agg(F.sum("n").alias("n"))
+
+
 def per_base_quality(staged_reads: DataFrame) -> DataFrame:
     """Per position mean and exact quantiles.
 
@@ -31,10 +66,7 @@ def per_base_quality(staged_reads: DataFrame) -> DataFrame:
     values, and the quantiles are taken from those counts.
     """
     key = ("stage", *FILE_KEY, "pos")
-    bases = staged_reads.select("stage", *FILE_KEY, F.posexplode(F.split("qual", "")).alias("at", "c")).filter("c <> ''")
-    histogram = bases.groupBy(
-        "stage", *FILE_KEY, (F.col("at") + 1).cast("long").alias("pos"), (F.ascii("c") - OFFSET).alias("q")
-    ).agg(F.count("*").alias("n"))
+    histogram = position_counts(staged_reads, ["stage", *FILE_KEY], "qual").withColumn("q", F.col("letter") - OFFSET)
     points = F.percentile("q", F.array(*[F.lit(p) for p in QUANTILES.values()]), F.col("n"))
     out = histogram.groupBy(*key).agg(
         F.sum("n").alias("bases"), (F.sum(F.col("q") * F.col("n")) / F.sum("n")).alias("mean"), points.alias("points")
@@ -51,10 +83,8 @@ def per_read_quality(reads: DataFrame) -> DataFrame:
 
 
 def base_counts(reads: DataFrame) -> DataFrame:
-    bases = reads.select(*FILE_KEY, F.posexplode(F.split("seq", "")).alias("at", "base")).filter(F.col("base") != "")
-    return bases.groupBy(*FILE_KEY, (F.col("at") + 1).cast("long").alias("pos")).agg(
-        F.count("*").alias("bases"), *[F.count_if(F.col("base") == b).alias(b) for b in "ACGTN"]
-    )
+    of = lambda b: F.coalesce(F.sum(F.when(F.col("letter") == ord(b), F.col("n"))), F.lit(0)).alias(b)
+    return position_counts(reads, list(FILE_KEY), "seq").groupBy(*FILE_KEY, "pos").agg(F.sum("n").alias("bases"), *map(of, "ACGTN"))
 
 
 def base_content(reads: DataFrame) -> DataFrame:
@@ -64,10 +94,7 @@ def base_content(reads: DataFrame) -> DataFrame:
 
 
 def n_content(reads: DataFrame) -> DataFrame:
-    bases = reads.select(*FILE_KEY, F.posexplode(F.split("seq", "")).alias("at", "base")).filter(F.col("base") != "")
-    counted = bases.groupBy(*FILE_KEY, (F.col("at") + 1).cast("long").alias("pos")).agg(
-        F.count("*").alias("bases"), F.count_if(F.col("base") == "N").alias("n")
-    )
+    counted = base_counts(reads).withColumnRenamed("N", "n")
     return counted.select(*FILE_KEY, "pos", F.round(F.col("n") * 100.0 / F.col("bases"), 6).alias("pct_n"))
 
 
@@ -98,11 +125,13 @@ def deduplicated_share(levels: DataFrame) -> DataFrame:
 def overrepresented(reads: DataFrame, percent: float = 0.1) -> DataFrame:
     """Sequences that make up more than ``percent`` of the reads of their file, the most frequent first.
 
-    The totals, one row per file, are broadcast when measured small, so the counted sequences are not shuffled again.
+    The totals come from the counted sequences, so reads are counted once; how the totals, one row per file, are joined
+    is decided at run time by their size.
     At most 100/percent sequences per file pass the test, so the ranking works on small groups.
     """
-    totals = broadcast_if_small(reads.groupBy(*FILE_KEY).agg(F.count("*").alias("total")), ["sample"])
-    frequent = sequence_counts(reads).join(totals, list(FILE_KEY)).filter(F.col("copies") * 100.0 > F.col("total") * percent)
+    counts = sequence_counts(reads)
+    totals = counts.groupBy(*FILE_KEY).agg(F.sum("copies").alias("total"))
+    frequent = counts.join(totals, list(FILE_KEY)).filter(F.col("copies") * 100.0 > F.col("total") * percent)
     order = Window.partitionBy(*FILE_KEY).orderBy(F.desc("copies"), "seq")
     return frequent.select(
         *FILE_KEY, F.row_number().over(order).cast("long").alias("place"), "seq", "copies",

@@ -47,8 +47,10 @@ def quality_filter(reads: DataFrame) -> DataFrame:
 
 
 def _both_mates(reads: DataFrame) -> DataFrame:
-    mates = F.count("*").over(Window.partitionBy("sample", "pair_id"))
-    return reads.withColumn("_mates", mates).filter(F.col("_mates") == 2).drop("_mates")
+    """Reads of which each mate is there, however often."""
+    pair = Window.partitionBy("sample", "pair_id")
+    there = lambda m: F.max((F.col("mate") == m).cast("int")).over(pair) == 1
+    return reads.withColumn("_both", there(1) & there(2)).filter("_both").drop("_both")
 
 
 def length_filter(reads: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
@@ -75,15 +77,17 @@ def filter_summary(reads: DataFrame) -> DataFrame:
     before = reads.withColumn("_before", measured())
     after = cut_tail(before).withColumns({"_verdict": verdict(F.col("seq"), F.col("qual")), "_after": measured()})
     parts = [(side, what) for side in ("before", "after") for what in ("bases", "q20", "q30")]
+    passed = F.col("_verdict") == "passed"
+    counted = {"before": F.lit(True), "after": passed}
     pairs = after.groupBy("sample", "pair_id").agg(
-        F.count("*").alias("reads"),
-        *[F.sum(f"_{side}.{what}").alias(f"{what}_{side}") for side, what in parts],
+        F.count("*").alias("reads"), F.bool_or(passed & (F.col("mate") == 1)).alias("first"), F.bool_or(passed & (F.col("mate") == 2)).alias("second"),
+        *[F.sum(F.when(counted[side], F.col(f"_{side}.{what}"))).alias(f"{what}_{side}") for side, what in parts],
         *[F.count_if(F.col("_verdict") == v).alias(v) for v in VERDICTS],
     )
-    survives = F.col("passed") == 2
+    survives = F.col("first") & F.col("second")
     out = pairs.groupBy("sample").agg(
         F.sum("reads").alias("reads_before"),
-        F.sum(F.when(survives, F.col("reads")).otherwise(0)).alias("reads_after"),
+        F.sum(F.when(survives, F.col("passed")).otherwise(0)).alias("reads_after"),
         *[F.sum(f"{what}_before").alias(f"{what}_before") for what in ("bases", "q20", "q30")],
         *[F.sum(F.when(survives, F.col(f"{what}_after")).otherwise(0)).alias(f"{what}_after") for what in ("bases", "q20", "q30")],
         *[F.sum(v).alias(v) for v in VERDICTS],

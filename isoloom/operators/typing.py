@@ -148,7 +148,9 @@ def scheme_calls(status: DataFrame, profiles: DataFrame) -> DataFrame:
     )
     known = profiles.groupBy("scheme", "st").agg(_profile_key("locus", "allele").alias("profile"))
     known = known.groupBy("scheme", "profile").agg(F.min("st").alias("known_st"))
-    typed = keyed.withColumn("profile", F.when(F.col("clear"), F.col("key"))).join(known, ["scheme", "profile"], "left")
+    # Most calls are unclear: they have no profile to look up and stay out of the join.
+    clear = keyed.where("clear").join(known.withColumnRenamed("profile", "key"), ["scheme", "key"], "left")
+    typed = clear.unionByName(keyed.where("clear is null or not clear"), allowMissingColumns=True)
     bonus = F.when(F.col("known_st").isNotNull(), TYPE_BONUS).otherwise(0.0)
     return typed.select(
         "sample", "scheme", F.coalesce("known_st", F.lit("-")).alias("st"), F.round(F.col("points") + bonus, 6).alias("score"), "alleles"

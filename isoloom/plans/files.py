@@ -19,7 +19,7 @@ PREAMBLE = 17
 
 def _writer(folder: str):
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        storage, root = fs.FileSystem.from_uri(folder) if ":" in folder else (fs.LocalFileSystem(), folder)
+        storage, root = fs.FileSystem.from_uri(folder)
         name, out = None, None
         for pdf in batches:
             for file, rows in pdf.groupby("name", sort=False):
@@ -39,7 +39,11 @@ def _writer(folder: str):
 
 
 def write_named_files(lines: DataFrame, folder: str, order: list[str]) -> str:
-    """Lines (``name, value`` and order columns) streamed into the file each names; one task writes a file."""
+    """Lines (``name, value`` and order columns) streamed into the file each names; one task writes a file.
+
+    A folder without scheme is in Spark's default file system, not on the disk of the task."""
+    jvm_path = lines.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+    folder = jvm_path.getFileSystem(lines.sparkSession._jsc.hadoopConfiguration()).makeQualified(jvm_path).toString()
     placed = lines.repartition("name").sortWithinPartitions("name", *order).select("name", "value")
     placed.mapInPandas(_writer(folder), "name string").write.format("noop").mode("overwrite").save()
     return folder

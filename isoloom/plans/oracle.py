@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
-from isoloom.functions.text import NULL_TOKENS
-from isoloom.operators.staging import SAMPLE_STAGES
 from isoloom.plans import views as v
-from isoloom.plans.catalog import LAB_COLUMNS, MIN_READS, MODEL, OVERVIEW, REPORTS, SCREEN_K, TEXT_TOKENS
+from isoloom.plans.catalog import MIN_READS, MODEL, OVERVIEW, REPORTS, SCREEN_K, TEXT_TOKENS
 from isoloom.plans.files import DOCS_PER_CHUNK, READ_ENDINGS, ROWS_PER_CHUNK
 
+# Fixed values, written out here so that the SQL doesn't rest on the code it checks.
+NULL_TOKENS = (
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+    "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+SAMPLE_STAGES = {
+    "fastqc_raw": "qc/fastqc_raw/{sample}_r{read}_fastqc.zip",
+    "fastqc_trim": "qc/fastqc_trim/{sample}_r{read}_fastqc.zip",
+    "kraken2": "qc/kraken2/{sample}.txt",
+    "quast": "qc/quast/{sample}",
+    "annotation": "annotation/{sample}",
+    "counts": "qc/count_reads/{sample}_counts.txt",
+    "amrfinder": "amr_mlst/{sample}_amrfinder.tsv",
+    "mlst": "amr_mlst/{sample}_mlst.tsv",
+    "resfinder": "amr_mlst/resfinder/{sample}/ResFinder_results.txt",
+}
+
 
 def _list(values) -> str:
     return "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in values) + "]"
@@ -514,7 +529,6 @@ _LAB_SQL = {
     "MO_EST_WGS": "'BACTERIA'", "TIPO_ANALISIS_WGS": "'VERIFICACION'", "PLASMIDOS_WGS": "NULL::VARCHAR", "OBS_MET_WGS": "method",
     "FICHERO_LECTURAS_WGS": f"'{v.STORE}/CVA_' || substr(split_part(run, '_', 2), 1, 4) || {_PATH}",
 }
-assert tuple(_LAB_SQL) == LAB_COLUMNS
 _q("lab_projection", _LAB, "SELECT " + ", ".join(f'{e} AS "{c}"' for c, e in _LAB_SQL.items()) + " FROM labs")
 _q("write_lab_csv", _LAB, "SELECT " + ", ".join(f'{_null("(" + e + ")")} AS "{c}"' for c, e in _LAB_SQL.items()) + " FROM labs")
 _q("lab_join", _LAB, 'SELECT id, id2, run, nanopore, illumina_r2, amr AS "AMR", vir AS "VIRULENCE", core AS "SCOPE_core" FROM labs')

@@ -30,8 +30,9 @@ def write_delimited(df: DataFrame, path: str, sep: str, partition_by: tuple[str,
 
 
 def write_validated(sheet: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Validated sheet, always separated by semicolons, as later steps expect."""
-    write_delimited(sheet.drop("row_no"), path, ";", partition_by)
+    """Validated sheet, always separated by semicolons, as later steps expect; helper columns stay out of it."""
+    helpers = [c for c in ("row_no", "sheet", "run") if c not in partition_by]
+    write_delimited(sheet.drop(*helpers), path, ";", partition_by)
 
 
 def write_report_tsv(report: DataFrame, path: str) -> None:
