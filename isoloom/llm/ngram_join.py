@@ -2,8 +2,9 @@
 
 A document is the set of its distinct word shingles. Documents with equal sets form one class at once. Then:
 
-1. A shingle that only one class holds can't be shared. A class with more of them than a partner may lack has no
-   partner and is done; for large sets only shingles with some fixed bits are looked at, which drops fewer, never more.
+1. The hash values are cut into slices, a few more than the shingles in which a set may differ from a partner. A slice
+   whose content no other class has holds one of these shingles; a class with more such slices has no partner and is
+   done. Sizes are cut into bands, which fix the number of slices, and a set enters all bands in reach of its size.
 2. The classes left are partitioned into groups of similar ones (equal least hashes), ``GROUP`` classes at most.
 3. The matrix holds, as rows (shingle, group), the union of the prefixes of each group's sets in hash order. A set and
    its partner share at least ``PREFIX_HITS`` shingles of their prefixes, so the overlap of a query's prefix with a
@@ -23,12 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isoloom.llm.common import LOWER, connected_components, encoded, mixed, prefix_hashes, runs, settle, slices, span_hashes
-from isoloom.session import by_sorting
+from isoloom.session import broadcast_if_small, by_sorting
 
 GROUP = 64
 QUERY_CHUNK = 256
 PREFIX_HITS = 4
-SAMPLED_FROM = 100  # shingles; sets of at least this size are judged by a share of the shingles
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -57,15 +57,31 @@ def shingle_sets(blobs: list[bytes], words: int) -> list[np.ndarray]:
     return out
 
 
-def _bits(percent: int) -> int:
-    """Large sets are judged by the shingles without these bits: a share well above what a partner may lack."""
-    return 3 if percent >= 88 else 1 if percent >= 75 else 0
+EDGES = [1]
+while EDGES[-1] < 1 << 40:
+    EDGES.append(max(EDGES[-1] + 1, EDGES[-1] * 3 // 2))
+EDGES = np.array(EDGES)
 
 
-def _sets(docs: DataFrame, words: int, percent: int, full: bool) -> DataFrame:
-    """doc_id, n, s1, s2 (name of the set), shingles: those to count, or all of them in hash order when ``full``."""
+def slice_keys(own: np.ndarray, percent: int) -> tuple[list, list]:
+    """Keys of the slices of a sorted set in its own band and in the others in reach of its size."""
+    n = len(own)
+    home = int(np.searchsorted(EDGES, n, side="right")) - 1
+    low, high = -(-percent * n // 100), 100 * n // percent
+    keys = ([], [])
+    for band in range(int(np.searchsorted(EDGES, low, side="right")) - 1, int(np.searchsorted(EDGES, high, side="right"))):
+        most = int(EDGES[band + 1] - 1)
+        count = np.uint64(most * (100 - percent) * 115 // (100 * percent) + 3)
+        number = ((own >> np.uint64(32)) * count) >> np.uint64(32)
+        first = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
+        content = np.add.reduceat(mixed(own), first)
+        keys[band != home].append(mixed(content ^ mixed(number[first] + (np.uint64(band) << np.uint64(48)))))
+    return keys
+
+
+def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, n, s1, s2 (name of the set), own and others: keys of the slices of sets that may have a partner."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    upper, bits = SAMPLED_FROM * 100 // percent + 2, np.uint64(_bits(percent))
 
     def run(batches):
         import pyarrow as pa
@@ -73,22 +89,59 @@ def _sets(docs: DataFrame, words: int, percent: int, full: bool) -> DataFrame:
         for batch in batches:
             sets = shingle_sets(encoded(batch.column("text").to_pylist()), words)
             n = np.array([len(s) for s in sets], dtype=np.int64)
-            s1 = np.array([np.sum(mixed(s), dtype=np.uint64) for s in sets], dtype=np.uint64).view(np.int64)
-            s2 = np.array([np.sum(mixed(~s), dtype=np.uint64) for s in sets], dtype=np.uint64).view(np.int64)
-            if not full:
-                small = 100 // (100 - percent) if percent < 100 else 0
-                sets = [s[:0] if len(s) < small - 1 else s if len(s) < upper else s[s & bits == 0] for s in sets]
-            offsets = np.zeros(len(sets) + 1, dtype=np.int32)
-            np.cumsum([len(s) for s in sets], out=offsets[1:])
-            values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, dtype=np.int64)
-            shingles = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-            columns = [batch.column("doc_id"), pa.array(n), pa.array(s1), pa.array(s2), shingles]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "s1", "s2", "shingles"])
-
-    shape = f"doc_id {kind}, n long, s1 long, s2 long, shingles array<long>"
+            lists = ([], [])
+            for s in sets:
+                keys = slice_keys(s, percent) if len(s) * (100 - percent) >= percent else ([], [])
+                for out, some in zip(lists, keys):
+                    out.append(np.concatenate(some) if some else s[:0])
+            columns = [batch.column("doc_id"), pa.array(n), *_names(sets), *map(_arrow_lists, lists)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "s1", "s2", "own", "others"])
+
+    shape = f"doc_id {kind}, n long, s1 long, s2 long, own array<long>, others array<long>"
     return docs.select("doc_id", "text").mapInArrow(run, shape)
 
 
+def _names(sets: list[np.ndarray]) -> list:
+    import pyarrow as pa
+
+    s1 = np.array([np.sum(mixed(s), dtype=np.uint64) for s in sets], dtype=np.uint64)
+    s2 = np.array([np.sum(mixed(~s), dtype=np.uint64) for s in sets], dtype=np.uint64)
+    return [pa.array(s.view(np.int64)) for s in (s1, s2)]
+
+
+def _arrow_lists(lists: list[np.ndarray]):
+    import pyarrow as pa
+
+    offsets = np.zeros(len(lists) + 1, dtype=np.int32)
+    np.cumsum([len(s) for s in lists], out=offsets[1:])
+    values = np.concatenate(lists).view(np.int64) if lists else np.zeros(0, dtype=np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
+def _open_sets(texts: DataFrame, words: int) -> DataFrame:
+    """cid, rep, n, shingles (in the order of unsigned hashes) and key, the least hashes under two orders, of the rows
+    whose set has the name ``name1``, ``name2``. A row that is there twice comes twice, which does no harm."""
+    kind = texts.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            sets = shingle_sets(encoded(batch.column("text").to_pylist()), words)
+            right = np.ones(len(sets), dtype=bool)
+            for name, found in zip(("name1", "name2"), _names(sets)):
+                right &= found.to_numpy() == batch.column(name).to_numpy()
+            sets = [s for s, ok in zip(sets, right) if ok]
+            key = np.array([mixed(s[:1])[0] ^ mixed(~s).min() for s in sets], dtype=np.uint64).view(np.int64)
+            columns = [
+                batch.column("name1").filter(pa.array(right)), batch.column("doc_id").filter(pa.array(right)),
+                pa.array([len(s) for s in sets], pa.int64()), _arrow_lists(sets), pa.array(key),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["cid", "rep", "n", "shingles", "key"])
+
+    return texts.mapInArrow(run, f"cid long, rep {kind}, n long, shingles array<long>, key long")
+
+
 def _open(frame, percent: int):
     """Compare the queries of one chunk with the members of one group, or the members among themselves."""
     import pandas as pd
@@ -126,30 +179,25 @@ def _open(frame, percent: int):
 def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; documents link when their Jaccard similarity is at least
     ``percent`` per cent (of shingles of ``words`` words)."""
-    counted = settle(_sets(docs, words, percent, full=False), "shingles")
-    holders = counted.where("doc_id is not null").select("s1", F.explode("shingles").alias("shingle"))
-    lonely = holders.groupBy("shingle").agg(F.min("s1").alias("s1"), F.max("s1").alias("other")).where("s1 = other")
-    lonely = lonely.groupBy("s1").agg(
-        F.count("*").alias("alone_all"), F.count_if(F.col("shingle").bitwiseAND(_bits(percent)) == 0).alias("alone_some")
-    )
+    counted = settle(_sets(docs, words, percent), "slices")
+    # The lowest bit of a name gives way to a mark of the own band, so a key travels with one number.
+    marked = counted.where("doc_id is not null").select(
+        F.col("s1").bitwiseAND(-2).alias("name"), F.size("own").alias("mine"), F.posexplode(F.concat("own", "others")).alias("at", "key")
+    ).select("key", F.col("name").bitwiseOR((F.col("at") < F.col("mine")).cast("long")).alias("name"))
+    lonely = marked.groupBy("key").agg(F.min("name").alias("name"), F.max("name").alias("other"))
+    lonely = lonely.where("name = other and name & 1 = 1").groupBy("name").agg(F.count("*").alias("alone"))
     classes = counted.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep")).where("rep is not null")
     classes = settle(classes, "classes")
-    may_lack = F.expr(f"n - cast(ceil({percent} * n / 100) as long)")
-    alone = F.expr(f"coalesce(if(n < {SAMPLED_FROM}, alone_all, alone_some), 0)")
-    open_classes = classes.join(by_sorting(lonely), "s1", "left").where(alone <= may_lack)
-    open_classes = open_classes.where(may_lack > 0).select(F.col("rep").alias("id"), F.col("s1").alias("name1"), F.col("s2").alias("name2"))
-    texts = docs.select("doc_id", "text").join(by_sorting(open_classes), F.col("doc_id") == F.col("id"))
-    sets = _sets(texts.select("doc_id", "text", "name1"), words, percent, full=True)
-    sets = sets.join(by_sorting(open_classes), F.expr("doc_id = id and s1 = name1 and s2 = name2"), "leftsemi")
-    sets = sets.dropDuplicates(["doc_id", "s1"]).select(
-        F.xxhash64("doc_id", "s1").alias("cid"), F.col("doc_id").alias("rep"), "n", "shingles"
-    )
-    # Groups: the two least hashes of a set under two orders; unsigned order is the stored order of the array.
-    key = F.xxhash64(F.element_at("shingles", 1), F.expr("array_min(transform(shingles, s -> xxhash64(s)))"))
-    sets = settle(sets.withColumn("key", key), "open-sets")
-    sizes = sets.groupBy("key").agg(F.expr(f"cast(ceil(count(*) / {GROUP}) as int)").alias("parts"))
-    grouped = sets.join(by_sorting(sizes), "key").withColumn("grp", F.expr("xxhash64(key, pmod(cid, parts))")).drop("key", "parts")
-    grouped = settle(grouped, "groups")
+    may_differ = F.expr(f"n * {100 - percent} div {percent}")
+    open_classes = classes.join(by_sorting(lonely), classes["s1"].bitwiseOR(1) == lonely["name"], "left")
+    open_classes = open_classes.where((may_differ > 0) & (F.coalesce("alone", F.lit(0)) <= may_differ))
+    open_classes = settle(open_classes.select(F.col("rep").alias("id"), F.col("s1").alias("name1"), F.col("s2").alias("name2")), "open")
+    texts = docs.select("doc_id", "text").join(broadcast_if_small(open_classes), F.col("doc_id") == F.col("id"))
+    sets = settle(_open_sets(texts.select("doc_id", "text", "name1", "name2"), words), "open-sets")
+    sizes = sets.groupBy("key").agg(F.count("*").alias("n")).where(f"n > {GROUP}")
+    sizes = sizes.select("key", F.expr(f"cast(ceil(n / {GROUP}) as int)").alias("parts"))
+    grouped = sets.join(broadcast_if_small(sizes), "key", "left")
+    grouped = grouped.withColumn("grp", F.expr("xxhash64(key, pmod(cid, coalesce(parts, 1)))")).drop("key", "parts")
     prefix = F.expr(f"slice(shingles, 1, cast(n - cast(ceil({percent} * n / 100) as long) + {PREFIX_HITS} as int))")
     prefixes = grouped.select("cid", "n", "grp", F.explode(prefix).alias("shingle"))
     matrix = prefixes.groupBy("shingle", "grp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
@@ -164,8 +212,12 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     chunks = opened.groupBy("grp").agg(F.expr(f"cast(ceil(count(*) / {QUERY_CHUNK}) as int)").alias("chunks"))
     asked = opened.join(by_sorting(chunks), "grp").select("cid", "grp", F.expr("cast(pmod(cid, chunks) as int)").alias("chunk"))
     asked = asked.join(by_sorting(grouped.drop("grp")), "cid").select("grp", "chunk", "rep", "shingles", F.lit(False).alias("member"))
-    own = grouped.join(by_sorting(chunks), "grp", "left").withColumn("chunk", F.explode(F.expr("sequence(-1, coalesce(chunks, 0) - 1)")))
-    own = own.select("grp", "chunk", "rep", "shingles", F.lit(True).alias("member"))
+    # Chunk -1: the members among themselves, where there are two.
+    held = grouped.groupBy("grp").agg(F.count("*").alias("held")).join(by_sorting(chunks), "grp", "left")
+    held = held.select("grp", F.explode(F.expr(
+        "filter(sequence(-1, coalesce(chunks, 0)), c -> c < coalesce(chunks, 0) and (c >= 0 or held > 1))"
+    )).alias("chunk"))
+    own = grouped.join(by_sorting(held), "grp").select("grp", "chunk", "rep", "shingles", F.lit(True).alias("member"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     edges = own.unionByName(asked).groupBy("grp", "chunk").applyInPandas(lambda f: _open(f, percent), f"a {kind}, b {kind}")
     components = connected_components(edges, "components")
