@@ -179,13 +179,17 @@ def scan_species(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+STREAM_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs"}  # names of Spark's connectors to those of the reader
+
+
 def _stream_md5(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         yield pdf.assign(md5=[_md5_of(uri) for uri in pdf["uri"]])
 
 
 def _md5_of(uri: str) -> str:
-    storage, name = fs.FileSystem.from_uri(uri)
+    scheme, colon, rest = uri.partition(":")
+    storage, name = fs.FileSystem.from_uri(STREAM_SCHEMES.get(scheme, scheme) + colon + rest)
     digest = hashlib.md5()
     with storage.open_input_stream(name) as stream:
         while chunk := stream.read(8 << 20):
