@@ -1,7 +1,7 @@
 """Suffix-array dedup: find every byte covered by a string of ``length`` bytes that also starts somewhere else.
 
-Two equal strings of ``length`` bytes hold the same 32-byte grams, so both name the same one, the gram with the least
-hash, as their anchor. All starts with one anchor form a run, and a run's *context* is all bytes its strings cover.
+Two equal strings of ``length`` bytes hold the same grams (of 16/25 of the length), so both name the same one, the gram
+with the least hash, as their anchor. All starts with one anchor form a run, and a run's *context* is all bytes its strings cover.
 
 1. Each text gives its anchors with the hash of the gram and of the context; texts themselves aren't moved. An anchor
    whose gram occurs once covers nothing that repeats. Where all contexts of a gram are equal, every start of the run
@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 from isoloom.llm.common import encoded, joined, mixed, prefix_hashes, settle, slices, span_hashes
 from isoloom.session import by_sorting
 
-GRAM = 32
+SAMPLED_CONTEXTS = 400
 SAMPLE = 20_000
+BROADCAST_RUNS = 600_000  # of 96 bytes at most: under 64 MB
 BUCKET_ROWS = 250_000
 WORDS = ("lead", "digest", "doc_key", "start")
 
@@ -47,19 +48,25 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
+def gram_bytes(length: int) -> int:
+    """Longer grams repeat less by chance, shorter ones give fewer anchors."""
+    return max(length * 16 // 25, 1)
+
+
 def anchors(blobs: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     """(document, first start, last start, gram hash, context hash) of each anchor; starts count from the document's
     first byte."""
     empty = np.zeros(0, dtype=np.int64)
     if not blobs or max(map(len, blobs)) < length:
         return empty, empty, empty, empty, empty
+    gram = gram_bytes(length)
     data, starts = joined(blobs)
     sums = prefix_hashes(data)
-    at = np.arange(len(data) - GRAM + 1)
-    grams = span_hashes(sums, at, at + GRAM)
+    at = np.arange(len(data) - gram + 1)
+    grams = span_hashes(sums, at, at + gram)
     bits = np.uint64(int(len(data)).bit_length())
     place = (np.uint64(1) << bits) - np.uint64(1)
-    least = _sliding_least((grams & ~place) | at.astype(np.uint64), length - GRAM + 1)
+    least = _sliding_least((grams & ~place) | at.astype(np.uint64), length - gram + 1)
     anchor = (least & place).astype(np.int64)
     doc = np.repeat(np.arange(len(blobs)), np.diff(starts))
     start = np.arange(len(anchor))
@@ -96,10 +103,16 @@ def _anchor_rows(rows: DataFrame, length: int) -> DataFrame:
     return rows.select("doc_key", "text").mapInArrow(run, "doc_key long, low long, high long, gram long, context long")
 
 
-def _suffix_rows(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+def _by_document(rows: DataFrame, runs: DataFrame, count: int, how: str) -> DataFrame:
+    """Join the texts with their runs (doc_key, low, high); counted runs of a bounded number are broadcast, so the
+    texts stay where they are."""
+    per_doc = runs.groupBy("doc_key").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
+    return rows.join(F.broadcast(per_doc) if count <= BROADCAST_RUNS else by_sorting(per_doc), "doc_key", how)
+
+
+def _suffix_rows(rows: DataFrame, wanted: DataFrame, count: int, length: int) -> DataFrame:
     """The suffixes of the wanted contexts: lead, digest, doc_key, start."""
-    per_doc = wanted.groupBy("doc_key").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
-    rows = rows.select("doc_key", "text").join(by_sorting(per_doc), "doc_key")
+    rows = _by_document(rows.select("doc_key", "text"), wanted, count, "inner")
 
     def run(batches):
         import pyarrow as pa
@@ -142,14 +155,16 @@ def multikey_sort(words: list[np.ndarray]) -> np.ndarray:
     return order
 
 
-def repeated(suffixes: DataFrame) -> DataFrame:
-    """doc_key and start of every suffix whose content another suffix has too. ``suffixes`` must be settled."""
-    total = suffixes.count()
+def repeated(rows: DataFrame, contexts: DataFrame, length: int) -> DataFrame:
+    """doc_key and start of every suffix of the ``contexts`` (doc_key, low, high) whose content another one has too."""
+    count, total = contexts.agg(F.count("*"), F.coalesce(F.sum(F.expr("high - low + 1")), F.lit(0))).first()
     buckets = max(1, -(-total // BUCKET_ROWS))
     sample = []
     if buckets > 1:
-        picked = suffixes.orderBy(F.xxhash64(*WORDS), *WORDS).limit(SAMPLE).collect()
-        sample = sorted(tuple(r) for r in picked)
+        some = contexts.orderBy(F.xxhash64("doc_key", "low"), "doc_key", "low").limit(SAMPLED_CONTEXTS)
+        picked = _suffix_rows(rows, some, SAMPLED_CONTEXTS, length)
+        sample = sorted(tuple(r) for r in picked.orderBy(F.xxhash64(*WORDS), *WORDS).limit(SAMPLE).collect())
+    suffixes = _suffix_rows(rows, contexts, count, length)
     borders = sorted({sample[len(sample) * i // buckets] for i in range(1, buckets)}) if sample else []
     buckets = len(borders) + 1
     leads = np.array([b[0] for b in borders], dtype=np.int64)
@@ -212,18 +227,41 @@ def spans(docs: DataFrame, length: int = 400) -> DataFrame:
         F.count("*").alias("n"), F.min(F.struct("doc_key", "low", "high")).alias("one")
     )
     kinds = settle(kinds, "contexts")
-    suffixes = settle(_suffix_rows(rows, kinds.select("one.*").distinct(), length), "suffixes")
-    starts = repeated(suffixes)
+    starts = repeated(rows, kinds.select("one.*").distinct(), length)
     several = kinds.where("n > 1").select("gram", "context")
     whole = shared.where("not open").unionByName(shared.where("open").join(by_sorting(several), ["gram", "context"], "leftsemi"))
     whole = whole.select("doc_key", "low", (F.col("high") + length).alias("high"))
     return whole.unionByName(starts.select("doc_key", F.col("start").alias("low"), (F.col("start") + length).alias("high")))
 
 
+def united(found: DataFrame) -> DataFrame:
+    """The spans of each document without overlaps, in order."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            keys, lows, highs = [], [], []
+            for key, runs in zip(batch.column("doc_key").to_pylist(), batch.column("runs").to_pylist()):
+                last = -1
+                for low, high in sorted((r["low"], r["high"]) for r in runs):
+                    if low > last:
+                        keys.append(key)
+                        lows.append(low)
+                        highs.append(high)
+                    else:
+                        highs[-1] = max(last, high)
+                    last = highs[-1]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (keys, lows, highs)], names=["doc_key", "low", "high"])
+
+    per_doc = found.groupBy("doc_key").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
+    return per_doc.mapInArrow(run, "doc_key long, low long, high long")
+
+
 def without_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (the bytes left) and kept_sha256 for every row of ``docs``."""
-    per_doc = found.groupBy("doc_key").agg(F.collect_set(F.struct("low", "high")).alias("runs"))
-    rows = _keyed(docs).join(by_sorting(per_doc), "doc_key", "left").select("doc_id", "text", "runs")
+    found = settle(united(found), "spans")
+    rows = _by_document(_keyed(docs), found, found.count(), "left").select("doc_id", "text", "runs")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
