@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from isoloom.session import scratch_path
 
-SLICE_BYTES = 2 * 1024 * 1024
+SLICE_BYTES = 1024 * 1024
 ROWS_PER_BATCH = 512
 
 
@@ -61,7 +61,7 @@ def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(length: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(22, int(length).bit_length())
+    size = 1 << max(21, int(length).bit_length())
     up, down = _powers(size)
     return up[:length], down[:length]
 

@@ -29,8 +29,7 @@ from pyspark.sql import functions as F
 from isoloom.llm.common import encoded, joined, mixed, prefix_hashes, settle, slices, span_hashes
 from isoloom.session import by_sorting
 
-SAMPLED_CONTEXTS = 400
-SAMPLE = 20_000
+SAMPLED_CONTEXTS = 400  # of at most as many suffixes each as a string has grams
 BROADCAST_RUNS = 600_000  # of 96 bytes at most: under 64 MB
 BUCKET_ROWS = 250_000
 WORDS = ("lead", "digest", "doc_key", "start")
@@ -163,7 +162,7 @@ def repeated(rows: DataFrame, contexts: DataFrame, length: int) -> DataFrame:
     if buckets > 1:
         some = contexts.orderBy(F.xxhash64("doc_key", "low"), "doc_key", "low").limit(SAMPLED_CONTEXTS)
         picked = _suffix_rows(rows, some, SAMPLED_CONTEXTS, length)
-        sample = sorted(tuple(r) for r in picked.orderBy(F.xxhash64(*WORDS), *WORDS).limit(SAMPLE).collect())
+        sample = sorted(tuple(r) for r in picked.collect())
     suffixes = _suffix_rows(rows, contexts, count, length)
     borders = sorted({sample[len(sample) * i // buckets] for i in range(1, buckets)}) if sample else []
     buckets = len(borders) + 1
