@@ -203,7 +203,8 @@ def merged_index(spark: SparkSession, path: str, range_captures: int = RANGE_CAP
     total = sorted_runs.agg(F.sum(F.size("captures"))).first()[0] or 0
     ranges = max(1, -(-total // range_captures))
     keys = sorted_runs.select(F.inline(F.expr("transform(captures, c -> struct(c.url_key as u, c.captured as t, coalesce(c.page_id, -1) as p))")))
-    sample = keys.orderBy(F.xxhash64("u", "t", "p")).limit(SAMPLE_KEYS).collect() if ranges > 1 else []
+    one_in = max(1, total // SAMPLE_KEYS)  # about SAMPLE_KEYS keys come back, however many there are
+    sample = keys.where(F.pmod(F.xxhash64("u", "t", "p"), F.lit(one_in)) == 0).collect() if ranges > 1 else []
     sample = sorted(tuple(r) for r in sample)
     splitters = [sample[len(sample) * i // ranges] for i in range(1, ranges)] if sample else []
     segment = run_shape.replace("archive string", "range_no int, archive string")
