@@ -4,7 +4,7 @@ Every tree splits recursively along random directions at medians; vectors within
 Vectors are compared only inside leaves, only with equal labels, by cosine in double precision; links are verified
 there and united to components.
 
-The medians are fit on at most ``SAMPLE`` vectors, every vector is routed. The depth follows the number of vectors of a
+The medians are fit on about ``SAMPLE`` vectors (fewer than twice as many), every vector is routed. The depth follows the number of vectors of a
 label. A leaf that stays large (a family of near copies can't be split) is dealt out in blocks of ``BLOCK`` and block
 pairs, so no task holds more than two blocks; a block pair returns per vector its number of links and one edge to the
 smallest of its component there, never the pairs. A link found in several leaves counts in the first common one.
@@ -140,7 +140,8 @@ def link(vectors: DataFrame, threshold: float = 0.98, trees: int = TREES, seed:
     top = sizes.agg(F.max("depth").alias("depth")).first()["depth"]
     if top is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    sample = groups.orderBy(F.xxhash64("gid"), "gid").select("vector").limit(SAMPLE).collect()
+    one_in = max(1, groups.count() // SAMPLE)  # about SAMPLE vectors come back, however many there are
+    sample = groups.where(F.pmod(F.xxhash64("gid"), F.lit(one_in)) == 0).select("vector").collect()
     forests = {}
     for dim in {len(r[0]) for r in sample}:
         spill = 0.8 * math.sqrt(2 * (1 - threshold)) / math.sqrt(dim)
