@@ -5,8 +5,9 @@ A document is the set of its distinct word shingles. Documents with equal sets f
 1. The hash values are cut into slices, a few more than the shingles in which a set may differ from a partner. A slice
    whose content no other class has holds one of these shingles; a class with more such slices has no partner and is
    done. Sizes are cut into bands, which fix the number of slices, and a set enters all bands in reach of its size.
-2. The classes left are partitioned into groups of similar ones (equal least hashes), ``GROUP`` classes at most.
-3. The matrix holds, as rows (shingle, group), the union of the prefixes of each group's sets in hash order. A set and
+2. The same is asked once more of single shingles among the classes left. Shingles are then ordered from rare to common,
+   so that what many share comes last. The classes left are partitioned into groups of similar ones (equal least hashes), ``GROUP`` classes at most.
+3. The matrix holds, as rows (shingle, group), the union of the prefixes of each group's sets in that order. A set and
    its partner share at least ``PREFIX_HITS`` shingles of their prefixes, so the overlap of a query's prefix with a
    union bounds what the query can have in common with any member. Only groups that reach the bound and whose sizes
    suit are opened.
@@ -79,8 +80,9 @@ def slice_keys(own: np.ndarray, percent: int) -> tuple[list, list]:
     return keys
 
 
-def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n, s1, s2 (name of the set), own and others: keys of the slices of sets that may have a partner."""
+def _sets(docs: DataFrame, words: int, percent: int, keyed: bool) -> DataFrame:
+    """doc_id, n, s1, s2 (name of the set), own and others: keys of the slices of sets that may have a partner; without
+    ``keyed`` none."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -91,7 +93,7 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
             n = np.array([len(s) for s in sets], dtype=np.int64)
             lists = ([], [])
             for s in sets:
-                keys = slice_keys(s, percent) if len(s) * (100 - percent) >= percent else ([], [])
+                keys = slice_keys(s, percent) if keyed and len(s) * (100 - percent) >= percent else ([], [])
                 for out, some in zip(lists, keys):
                     out.append(np.concatenate(some) if some else s[:0])
             columns = [batch.column("doc_id"), pa.array(n), *_names(sets), *map(_arrow_lists, lists)]
@@ -179,9 +181,9 @@ def _open(frame, percent: int):
 def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; documents link when their Jaccard similarity is at least
     ``percent`` per cent (of shingles of ``words`` words)."""
-    counted = settle(_sets(docs, words, percent), "slices")
-    # The lowest bit of a name gives way to a mark of the own band, so a key travels with one number.
-    marked = counted.where("doc_id is not null").select(
+    counted = settle(_sets(docs, words, percent, keyed=False).drop("own", "others"), "sets")
+    # Keys are made anew from the texts: they are many, and would take more room on disk than the texts. The lowest bit of a name gives way to a mark of the own band, so a key travels with one number.
+    marked = _sets(docs, words, percent, keyed=True).where("doc_id is not null").select(
         F.col("s1").bitwiseAND(-2).alias("name"), F.size("own").alias("mine"), F.posexplode(F.concat("own", "others")).alias("at", "key")
     ).select("key", F.col("name").bitwiseOR((F.col("at") < F.col("mine")).cast("long")).alias("name"))
     lonely = marked.groupBy("key").agg(F.min("name").alias("name"), F.max("name").alias("other"))
@@ -194,12 +196,24 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     open_classes = settle(open_classes.select(F.col("rep").alias("id"), F.col("s1").alias("name1"), F.col("s2").alias("name2")), "open")
     texts = docs.select("doc_id", "text").join(broadcast_if_small(open_classes), F.col("doc_id") == F.col("id"))
     sets = settle(_open_sets(texts.select("doc_id", "text", "name1", "name2"), words), "open-sets")
+    lonely = sets.select("cid", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.min("cid").alias("cid"), F.max("cid").alias("other"))
+    lonely = lonely.where("cid = other").groupBy("cid").agg(F.count("*").alias("alone"))
+    may_lack = F.expr(f"n - cast(ceil({percent} * n / 100) as long)")
+    likely = sets.select("cid", "n").distinct().join(by_sorting(lonely), "cid", "left").where(F.coalesce("alone", F.lit(0)) <= may_lack)
+    sets = settle(sets.join(broadcast_if_small(settle(likely.select("cid"), "likely")), "cid"), "likely-sets")
     sizes = sets.groupBy("key").agg(F.count("*").alias("n")).where(f"n > {GROUP}")
     sizes = sizes.select("key", F.expr(f"cast(ceil(n / {GROUP}) as int)").alias("parts"))
     grouped = sets.join(broadcast_if_small(sizes), "key", "left")
     grouped = grouped.withColumn("grp", F.expr("xxhash64(key, pmod(cid, coalesce(parts, 1)))")).drop("key", "parts")
-    prefix = F.expr(f"slice(shingles, 1, cast(n - cast(ceil({percent} * n / 100) as long) + {PREFIX_HITS} as int))")
-    prefixes = grouped.select("cid", "n", "grp", F.explode(prefix).alias("shingle"))
+    # Prefixes from rare to common. Shingles of one set alone come first and meet nothing, so they only take up room.
+    shingles = grouped.select("cid", "n", "grp", F.explode("shingles").alias("shingle"))
+    common = shingles.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1")
+    ordered = shingles.join(by_sorting(common), "shingle").groupBy("cid", "n", "grp").agg(
+        F.array_sort(F.collect_list(F.struct("held", "shingle"))).alias("ordered")
+    )
+    length = F.expr(f"n - cast(ceil({percent} * n / 100) as long) + {PREFIX_HITS} - (n - size(ordered))")
+    prefixes = ordered.select("cid", "n", "grp", F.inline(F.slice("ordered", F.lit(1), F.greatest(length, F.lit(0)).cast("int"))))
+    prefixes = settle(prefixes.drop("held"), "prefixes")
     matrix = prefixes.groupBy("shingle", "grp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     seen = prefixes.groupBy("shingle").agg(F.min("grp").alias("g1"), F.max("grp").alias("g2")).where("g1 <> g2").select("shingle")
     queries = prefixes.join(by_sorting(seen), "shingle", "leftsemi").withColumnRenamed("grp", "own")
