@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from isoloom.llm import embedding_dedup, line_dedup, mixing, ngram_join, packing, quality, simhash, suffix_dedup, toxicity, warc
 from isoloom.llm.common import settle, small_batches, table
+from isoloom.session import by_sorting
 
 GRADE = "quality * (2 - toxic)"  # 0 poor, 1 good but toxic, 2 good
 KEEP_GRADE, KEEP_TAIL = 1, 0.3
 TOXIC_FROM = 0.7
+NEAR_BITS = 21  # pairs of near copies (five words, 0.8) measured in sf0.1 stand 4 to 18 bits apart, 5 to 21 with another hash
 
 DOMAIN = "case when source = 'src0' then 'web' when source in ('src1', 'src2', 'src3', 'src4') then 'books' else 'reference' end"
 WEIGHTS = {
@@ -60,18 +62,26 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of all documents and their edited texts. ``n_near``: for ids divisible by 20, how many other
-    documents have a fingerprint within three bits."""
+    """Fingerprints of all documents and their edited texts. ``class_id``: the smallest id that holds the same fingerprint
+    (null when all its holders have null ids), so the rows of one class are equal fingerprints. For ids divisible by 20,
+    ``n_near``: how many other documents have a fingerprint within ``NEAR_BITS`` bits, the document's own class included;
+    ``near_ids``: the class ids of the other fingerprints among them, ascending."""
     rows = simhash.edited_pairs(table(spark, sf_dir, "documents"))
     rows = settle(rows, "fingerprints")
-    holders = rows.groupBy("f1", "f2").agg(F.count("*").alias("held"))
+    holders = rows.groupBy("f1", "f2").agg(F.count("*").alias("held"), F.min("doc_id").alias("class_id"))
+    holders = settle(holders, "classes")
     asked = rows.where("doc_id % 20 = 0").select("f1", "f2").distinct()
-    near = simhash.within_radius(asked, holders.select("f1", "f2"), radius=3)
-    near = near.join(holders.withColumnsRenamed({"f1": "g1", "f2": "g2"}), ["g1", "g2"]).groupBy("f1", "f2").agg(F.sum("held").alias("others"))
-    counts = asked.join(holders, ["f1", "f2"]).join(near, ["f1", "f2"], "left").select(
-        "f1", "f2", (F.col("held") - 1 + F.coalesce("others", F.lit(0))).alias("near")
+    near = simhash.within_radius(asked, holders.select("f1", "f2"), NEAR_BITS)
+    others = holders.withColumnsRenamed({"f1": "g1", "f2": "g2"})
+    near = near.join(by_sorting(others), ["g1", "g2"]).groupBy("f1", "f2").agg(
+        F.sum("held").alias("others"), F.array_sort(F.collect_list("class_id")).alias("near_ids")
     )
-    rows = rows.join(counts, ["f1", "f2"], "left")
+    classes = holders.join(by_sorting(near), ["f1", "f2"], "left").select(
+        "f1", "f2", "class_id", (F.col("held") - 1 + F.coalesce("others", F.lit(0))).alias("n_near"),
+        F.coalesce("near_ids", F.array().cast("array<long>")).alias("near_ids"),
+    )
+    rows = rows.join(by_sorting(classes), ["f1", "f2"])
+    is_asked = F.expr("doc_id % 20 = 0")
 
     def likeness(a: str, b: str) -> Column:
         return 1 - simhash.distance("f1", "f2", a, b) / F.lit(float(simhash.BITS))
@@ -79,7 +89,8 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "doc_id", "n_chars", "edited_sha256", simhash.as_text("f1", "f2").alias("fingerprint"),
         simhash.as_text("e1", "e2").alias("edited_fingerprint"), likeness("e1", "e2").alias("near_edited"),
-        likeness("g1", "g2").alias("near_next"), F.when(F.expr("doc_id % 20 = 0"), F.col("near")).alias("n_near"),
+        likeness("g1", "g2").alias("near_next"), F.when(is_asked, F.col("n_near")).alias("n_near"), "class_id",
+        F.when(is_asked, F.col("near_ids")).alias("near_ids"),
     )
 
 

@@ -4,8 +4,11 @@ A term is a word with the word after it; its weight is the length of the word, a
 64-bit hashes of the term vote with that weight; a bit of the 128-bit fingerprint is set when more than half of all
 weight votes for it. Two bits are counted in one long (32 bits apart), which holds texts of any size.
 
-Fingerprints within ``radius`` bits are found by block tables: of radius + 1 blocks at least one is equal, so each table
-is the fingerprints keyed by one block, and equal keys are verified bit by bit. Equal fingerprints are one entry.
+Fingerprints within ``radius`` bits are found by block tables: the fingerprints keyed by one block each, and equal keys
+are verified bit by bit. Up to ``MOST_BLOCKS`` bits, there is a block more than the radius, so one of them is equal. For a
+wider radius a query also asks with up to one or two bits of the block flipped: as the flips of all blocks and the blocks
+themselves add up to radius + 1, one block always has no more than its flips. A pair counts at its first such block alone.
+Equal fingerprints are one entry.
 
 Null texts count as empty; texts without words have the fingerprint of zeros. Rows that share an id are ordered by
 their text (null ids stand first); repeated rows have equal results. An empty table gives an empty result.
@@ -13,6 +16,8 @@ their text (null ids stand first); repeated rows have equal results. An empty ta
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +26,7 @@ from isoloom.session import by_sorting
 
 HEAVIEST = 15
 BITS = 128
+MOST_BLOCKS = 9
 DOCS_PER_RANGE = 2048
 MOST_RANGES = 4096
 SPACE = r"[\x20\x09-\x0D]+"
@@ -111,17 +117,48 @@ def distance(f1, f2, g1, g2) -> Column:
     return F.bit_count(F.col(f1).bitwiseXOR(F.col(g1))) + F.bit_count(F.col(f2).bitwiseXOR(F.col(g2)))
 
 
+def _signed(bits: int) -> tuple[int, int]:
+    """The two halves of 128 bits as longs."""
+    return tuple(h - (1 << 64) if h >> 63 else h for h in (bits >> 64, bits & (1 << 64) - 1))
+
+
+def _blocks(radius: int) -> list[tuple[int, list[int], int]]:
+    """The bits, their positions and the most flips of each block. Flips and blocks add up to radius + 1."""
+    n = min(radius + 1, MOST_BLOCKS)
+    spare, out, start = radius + 1 - n, [], 0
+    for i in range(n):
+        width = BITS // n + (i < BITS % n)
+        at = list(range(start, start + width))
+        out.append((sum(1 << k for k in at), at, spare // n + (i < spare % n)))
+        start += width
+    return out
+
+
 def within_radius(queries: DataFrame, prints: DataFrame, radius: int = 3) -> DataFrame:
     """``queries`` and ``prints`` hold distinct fingerprints f1, f2. Returns f1, f2 (query), g1, g2 and distance of all
-    pairs of different fingerprints within ``radius`` bits."""
-    blocks = radius + 1
-    width = -(-BITS // blocks)
-    digits = F.concat(F.lpad(F.bin("f1"), 64, "0"), F.lpad(F.bin("f2"), 64, "0"))
-    keys = F.array(*[F.xxhash64(F.lit(i), F.substring(digits, i * width + 1, width)) for i in range(blocks)])
-    asked = queries.select("f1", "f2", F.explode(keys).alias("block"))
-    table = prints.select(F.col("f1").alias("g1"), F.col("f2").alias("g2"), F.explode(keys).alias("block"))
-    near = asked.join(by_sorting(table), "block").withColumn("distance", distance("f1", "f2", "g1", "g2"))
-    return near.where(f"distance between 1 and {radius}").drop("block").distinct()
+    pairs of different fingerprints within ``radius`` bits, each once."""
+    blocks = _blocks(radius)
+    covers = [[F.lit(h).cast("long") for h in _signed(cover)] for cover, _, _ in blocks]
+    flips = [
+        "struct({}, bigint('{}'), bigint('{}'))".format(i, *_signed(sum(1 << b for b in chosen)))
+        for i, (_, at, most) in enumerate(blocks) for n in range(most + 1) for chosen in combinations(at, n)
+    ]
+
+    def key(at: Column, first: Column, second: Column) -> Column:
+        c1, c2 = (F.array(*[c[k] for c in covers]) for k in (0, 1))
+        return F.xxhash64(at, first.bitwiseAND(F.get(c1, at)), second.bitwiseAND(F.get(c2, at)))
+
+    asked = queries.select("f1", "f2", F.expr(f"inline(array({', '.join(flips)}))").alias("at", "x1", "x2"))  # one text: many calls are slow
+    asked = asked.select("f1", "f2", key(F.col("at"), F.col("f1").bitwiseXOR(F.col("x1")), F.col("f2").bitwiseXOR(F.col("x2"))).alias("block"))
+    table = prints.select(F.col("f1").alias("g1"), F.col("f2").alias("g2"), F.explode(F.array(*map(F.lit, range(len(blocks))))).alias("at"))
+    table = table.select("g1", "g2", "at", key(F.col("at"), F.col("g1"), F.col("g2")).alias("holds"))
+    first = F.lit(None).cast("int")  # the first block that differs by no more than its flips
+    for i, (_, _, most) in reversed(list(enumerate(blocks))):
+        apart = [F.bit_count(F.col(f"f{k}").bitwiseXOR(F.col(f"g{k}")).bitwiseAND(covers[i][k - 1])) for k in (1, 2)]
+        first = F.when(apart[0] + apart[1] <= most, i).otherwise(first)
+    bits = distance("f1", "f2", "g1", "g2")
+    near = asked.join(by_sorting(table), (F.col("block") == F.col("holds")) & bits.between(1, radius) & (first == F.col("at")))
+    return near.select("f1", "f2", "g1", "g2", bits.alias("distance"))
 
 
 def edited_pairs(docs: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from isoloom.llm import embedding_dedup, line_dedup, mixing, ngram_join, packing, simhash, suffix_dedup, warc
 from isoloom.llm.common import connected_components
+from isoloom.llm.queries import op6_simhash
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, __text string, n_lines string, Epoch int"
 
@@ -285,6 +286,41 @@ def test_block_tables_find_all_within_radius(spark):
     assert got == {(*a, *b, bits(a, b)) for a in prints for b in prints if 1 <= bits(a, b) <= 3}
 
 
+def test_block_tables_find_wide_radius_once(spark):
+    rng = random.Random(18)
+    prints = set()
+    for _ in range(12):
+        f = rng.getrandbits(128)
+        for _ in range(25):
+            g = f
+            for b in rng.sample(range(128), rng.randrange(27)):
+                g ^= 1 << b
+            prints.add(tuple(h - 2**64 if h >= 2**63 else h for h in (g >> 64, g & (2**64 - 1))))
+    df = spark.createDataFrame(list(prints), "f1 long, f2 long")
+    asked = sorted(prints)[::5]
+    got = sorted(tuple(r) for r in simhash.within_radius(spark.createDataFrame(asked, "f1 long, f2 long"), df, 21).collect())
+
+    def bits(a, b):
+        return sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(a, b))
+
+    assert got == sorted((*a, *b, bits(a, b)) for a in asked for b in prints if 1 <= bits(a, b) <= 21)
+
+
+def test_near_copies_are_counted_and_named(spark, tmp_path):
+    rng = random.Random(19)
+    texts = [words(rng, 300, 4000) for _ in range(45)]
+    edited = texts[20].split()
+    for i in (10, 120, 230):
+        edited[i] = "another"
+    texts += [" ".join(edited), texts[20], " ".join(edited)]  # ids 45, 46, 47
+    docs_of(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r for r in op6_simhash(spark, str(tmp_path)).collect()}
+    assert len(rows) == len(texts)
+    assert (rows[20]["n_near"], rows[20]["near_ids"], rows[20]["class_id"]) == (3, [45], 20)
+    assert (rows[46]["class_id"], rows[45]["class_id"], rows[47]["class_id"]) == (20, 45, 45)
+    assert (rows[0]["n_near"], rows[0]["near_ids"], rows[1]["n_near"], rows[1]["near_ids"]) == (0, [], None, None)
+
+
 # --- lines ----------------------------------------------------------------------------------------------------------
 
 
