@@ -125,7 +125,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the archives hold of each page, in the order of the merged index."""
-    index = warc.round_trip(table(spark, sf_dir, "pages"))
+    index = warc.round_trip(table(spark, sf_dir, "pages")).orderBy("capture_no")  # the join with the range starts deals rows anew
     return index.select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from isoloom.llm import embedding_dedup, line_dedup, mixing, ngram_join, packing, simhash, suffix_dedup, warc
 from isoloom.llm.common import connected_components
-from isoloom.llm.queries import op6_simhash
+from isoloom.llm.queries import op6_simhash, op10_warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, __text string, n_lines string, Epoch int"
 
@@ -400,3 +400,12 @@ def test_index_is_ordered_across_ranges(spark, tmp_path):
     index = warc.merged_index(spark, path, range_captures=20).orderBy("capture_no").collect()
     keys = [(r["url_key"], r["captured"], r["page_id"]) for r in index]
     assert [r["capture_no"] for r in index] == list(range(200)) and keys == sorted(keys)
+
+
+def test_warc_rows_stand_in_index_order(spark, tmp_path, monkeypatch):
+    merge = warc.merged_index
+    monkeypatch.setattr(warc, "merged_index", lambda session, path: merge(session, path, range_captures=20))
+    pages = [(i, f"http://s{i * 7 % 11}.org/p{i % 13}", f"<p>{i}</p>") for i in range(300)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    want = sorted((warc.url_key(url), i * 7919 % 31536000, i) for i, url, _ in pages)
+    assert [r["page_id"] for r in op10_warc(spark, str(tmp_path)).collect()] == [i for *_, i in want]
