@@ -34,12 +34,20 @@ def line_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five words, 0.8) the document with the smallest id stays."""
+    """Of each group of near duplicates (five words, 0.8) the document with the smallest id stays.
+
+    Every row is a document of its own, named by the hash of its columns: rows that share an id but hold different texts
+    are told apart, and of several with the smallest id the one with the smallest hash stays. Rows with null ids link
+    too and give way to rows with ids. Equal rows count once."""
     small_batches(spark)
-    linked = ngram_join.link(docs, words=5, percent=80)
-    ids = linked.where("doc_id = component_id").select("doc_id").distinct()
-    found = docs.select(*DOCUMENT).join(by_sorting(ids), "doc_id", "leftsemi").dropDuplicates(["doc_id"])
-    return found.unionByName(docs.where("doc_id is null").select(*DOCUMENT)).select(*DOCUMENT)
+    key = F.xxhash64(*DOCUMENT, *[F.col(c).isNull() for c in DOCUMENT])  # the flags, as hashes pass over nulls
+    rows = docs.select(*DOCUMENT, key.alias("__key"))
+    linked = ngram_join.link(rows.select(F.col("__key").alias("doc_id"), "text"), words=5, percent=80)
+    linked = linked.select(F.col("doc_id").alias("__key"), "component_id").distinct()
+    places = rows.select("__key", F.struct(F.col("doc_id").isNull(), "doc_id", "__key").alias("place")).distinct()
+    first = linked.join(by_sorting(places), "__key").groupBy("component_id").agg(F.min("place").alias("place"))
+    stays = first.select(F.col("place")["__key"].alias("__key"))
+    return rows.join(by_sorting(stays), "__key", "leftsemi").dropDuplicates(["__key"]).select(*DOCUMENT)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

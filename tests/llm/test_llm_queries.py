@@ -51,3 +51,13 @@ def test_pipeline_stages_take_odd_rows(spark):
         assert stage(spark, docs, SF).columns == docs.columns
         assert stage(spark, docs.limit(0), SF).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).where("doc_id = 3").count() >= 2
+
+
+def test_near_duplicates_tell_rows_apart(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    near = " ".join(one.split()[:-1])
+    texts = [(5, one), (5, two), (2, near), (None, three), (None, three), (7, two), (None, near)]
+    rows = [(i, t, "en", "src0", len(t)) for i, t in texts]
+    docs = spark.createDataFrame(rows, table(spark, SF, "documents").schema)
+    left = corpus_pipeline.near_duplicates(spark, docs, SF).select("doc_id", "text").collect()
+    assert sorted(map(repr, map(tuple, left))) == sorted(map(repr, [(2, near), (5, two), (None, three)]))
