@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoloom.llm import embedding_dedup, line_dedup, mixing, ngram_join, packing, quality, simhash, suffix_dedup, toxicity, warc
+from isoloom.llm import (
+    embedding_dedup, filter_audit, line_dedup, mixing, ngram_join, packing, quality, recompression, simhash, suffix_dedup,
+    token_alignment, toxicity, warc,
+)
 from isoloom.llm.common import settle, small_batches, table
 from isoloom.session import by_sorting
 
@@ -131,6 +134,23 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the windows of 20 words said before."""
+    left = recompression.dedup(table(spark, sf_dir, "documents"), window=20)
+    return left.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    first, second = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_alignment.align(table(spark, sf_dir, "documents"), first, second)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -142,6 +162,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
+    "op11_recompression": op11_recompression,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 _LEVELS = ("domain_key", "lang_key", "source_key")
@@ -265,7 +288,35 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
 FROM sized LEFT JOIN firsts USING (payload_digest, payload_bytes)
 """
 
+AUDIT_SQL = r"""
+WITH texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+docs AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    [len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+     100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text), regexp_matches(text, '[#$%&*|]'),
+     coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS fails
+    FROM texts LEFT JOIN marks USING (doc_id)),
+letters AS (SELECT unnest(range(1, 6)) AS f),
+orders AS (SELECT [a.f, b.f, c.f, d.f, e.f] AS o FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (SELECT o, k AS step, o[k] AS own, o[1:k - 1] AS earlier,
+    array_to_string(list_transform(o, lambda x: 'ABCDE'[x:x]), '') AS filter_order FROM orders, range(1, 6) t(k)),
+kinds AS (SELECT part, good, toxic, fails, count(*) AS n FROM docs GROUP BY ALL),
+seen AS (SELECT part, filter_order, step, own, n, good, toxic, fails[own] AS fails_own, len(list_filter(fails, lambda x: x)) AS n_fails,
+    len(list_filter(earlier, lambda x: fails[x])) > 0 AS gone FROM kinds, steps),
+sums AS (SELECT part, filter_order, step, own,
+    sum(CASE WHEN NOT gone AND NOT fails_own THEN n ELSE 0 END) AS kept, sum(CASE WHEN NOT gone AND fails_own THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN gone AND fails_own THEN n ELSE 0 END) AS redundant, sum(CASE WHEN fails_own AND n_fails = 1 THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN NOT gone AND fails_own AND good THEN n ELSE 0 END) AS good_lost,
+    sum(CASE WHEN NOT gone AND fails_own AND toxic THEN n ELSE 0 END) AS toxic_lost FROM seen GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+    unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+    (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM sums
+"""
+
 ORACLE = {
+    "op12_filter_audit": AUDIT_SQL,
     "op2_embedding_dedup": EMBEDDING_SQL, "op5_ngram_join": NGRAM_SQL, "op10_warc": WARC_SQL,
     "op1_mixing": _mix_sql(), "op7_line_dedup": LINES_SQL,
 }

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for view in ("documents", "embeddings", "pages"):
+    for view in ("documents", "embeddings", "pages", "labels"):
         con.execute(f"CREATE VIEW {view} AS SELECT * FROM '{SF}/{view}.parquet'")
     df = QUERIES[name](spark, SF)
     columns = sorted(df.columns)
