@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from isoloom.llm.common import settle
-from isoloom.llm.shards import Places, entries, in_shards, listed, one_list, sums_between, with_values
+from isoloom.llm.shards import Places, entries, in_shards, listed, one_list, packed, sums_between, unpacked, with_values
 from isoloom.session import by_sorting
 
-BUCKET_WORDS = 500_000
+BUCKET_WORDS = 20_000
 FILTERS = "ABCDE"
 UPPER = bytes(range(65, 91))
 MARKS = b"#$%&*|"
@@ -50,27 +50,26 @@ class Terms:
         self.digest.append(hashlib.sha256(blob).digest())
 
     def lists(self) -> dict:
-        """The block in compressed rows; columns are places in the sorted words."""
+        """The block in compressed rows; columns are places in the list of words, frequent ones first."""
         import pyarrow as pa
 
-        words = list(self.words)
-        order = sorted(range(len(words)), key=words.__getitem__)
-        place = np.empty(len(words), dtype=np.int64)
-        place[order] = np.arange(len(words))
-        row = np.repeat(np.arange(len(self.ends) - 1), np.diff(self.ends))
-        cell = row * max(len(words), 1) + place[np.frombuffer(self.ids, dtype=np.int32)]
+        ids, n = np.frombuffer(self.ids, dtype=np.int32), max(len(self.words), 1)
+        order = np.argsort(-np.bincount(ids, minlength=n), kind="stable")
+        place = np.empty(n, dtype=np.int64)
+        place[order] = np.arange(n)
+        words = pa.array(list(self.words), pa.binary()).take(pa.array(order[: len(self.words)])).cast(pa.string())
+        cell = np.repeat(np.arange(len(self.ends) - 1) * n, np.diff(self.ends)) + place[ids]
         cell, data = np.unique(cell, return_counts=True)
-        row, column = np.divmod(cell, max(len(words), 1))
-        starts = np.searchsorted(row, np.arange(len(self.ends)))
+        row, column = np.divmod(cell, n)
         return {
-            "words": pa.array([words[i].decode() for i in order], pa.string()), "starts": starts.astype(np.int32),
-            "columns": column.astype(np.int32), "data": data.astype(np.int32),
+            "words": words, "starts": np.searchsorted(row, np.arange(len(self.ends))).astype(np.int32),
+            "columns": [packed(column)], "data": [packed(data)],
             "upper": self.upper, "marked": self.marked, "digest": self.digest,
         }
 
 
 LISTS = (
-    "words array<string>, starts array<int>, columns array<int>, data array<int>, "
+    "words array<string>, starts array<int>, columns array<binary>, data array<binary>, "
     "upper array<boolean>, marked array<boolean>, digest array<binary>"
 )
 
@@ -99,7 +98,7 @@ def _encoded(row, at: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, ...]:
     """starts, columns (global numbers), data of a shard's block."""
     numbers = np.zeros(int(at.max()) + 1 if len(at) else 0, dtype=np.int64)
     numbers[at] = value
-    return entries(row, "starts").astype(np.int64), numbers[entries(row, "columns")], entries(row, "data")
+    return entries(row, "starts").astype(np.int64), numbers[unpacked(row, "columns")], unpacked(row, "data")
 
 
 def matrix(shards: DataFrame, keep: list[str]) -> DataFrame:

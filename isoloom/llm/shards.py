@@ -6,6 +6,7 @@ count for each pair) is settled by one shuffle of the lists, and comes back to i
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import numpy as np
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-SHARD_BYTES = 32 * 1024 * 1024  # of texts; one longer text is a shard of its own
+SHARD_BYTES = 16 * 1024 * 1024  # of texts; one longer text is a shard of its own
 ROWS_AT_ONCE = 256
 
 
@@ -94,6 +95,16 @@ def entries(row, column: str) -> np.ndarray:
     return row.column(column).combine_chunks().flatten().to_numpy(zero_copy_only=False)
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, most of them small, byte plane by byte plane, compressed."""
+    return zlib.compress(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpacked(row, column: str) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(row.column(column)[0].values[0].as_py()), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
+
+
 def sums_between(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     """Sum of the values from each cut to the next one."""
     total = np.zeros(len(values) + 1, dtype=np.int64)
