@@ -11,52 +11,71 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoloom.session import with_computed
-from isoloom.sources.lines import numbered_lines
+from isoloom.sources.lines import edge_lines, numbered_lines, placed_lines
 
 READ_SCHEMA = "file string, read_id string, seq string, qual string"
 PACKED = r"file rlike '(?i)[.](gz|bz2|zst|lz4|snappy|deflate)$'"  # files that Spark unpacks and can't split
 
 
 def _checked(file: str, lines: pa.Array) -> list[pa.Array]:
-    """The first, second and fourth lines of whole records; anything else than records is an error."""
+    """The first, second and fourth lines of whole records; anything else than records or blank lines is an error."""
     names, seqs, marks, quals = (lines.take(pa.array(np.arange(first, len(lines), 4))) for first in range(4))
-    trimmed = [pc.utf8_rtrim(column, "\r") for column in (seqs, quals)]
-    right = [
-        pc.all(pc.starts_with(names, "@")), pc.all(pc.starts_with(marks, "+")),
-        pc.all(pc.equal(*(pc.utf8_length(column) for column in trimmed))),
-    ]
-    if not all(r.as_py() for r in right):
-        raise ValueError(f"{file} holds lines that are no FASTQ records")
+    seqs, quals = (pc.utf8_rtrim(column, "\r") for column in (seqs, quals))
+    right = pc.and_(pc.and_(pc.starts_with(names, "@"), pc.starts_with(marks, "+")), pc.equal(pc.utf8_length(seqs), pc.utf8_length(quals)))
+    if not pc.all(right).as_py():
+        blank = pc.equal(pc.utf8_trim_whitespace(pc.binary_join_element_wise(names, seqs, marks, quals, "")), "")
+        if not pc.all(pc.or_(right, blank)).as_py():
+            raise ValueError(f"{file} holds lines that are no FASTQ records")
+        names, seqs, quals = (column.filter(right) for column in (names, seqs, quals))
     return [names, seqs, quals]
 
 
-def _check_rest(file: str | None, lines: pa.Array | None) -> None:
+def _check_rest(place: tuple | None, lines: pa.Array | None) -> None:
     if lines is not None and any(v.strip() for v in lines.to_pylist()):
-        raise ValueError(f"{file} ends within a FASTQ record")
+        raise ValueError(f"{place[0]} ends within a FASTQ record")
 
 
-def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Put four consecutive lines of one file together; lines left open are carried to the next batch."""
-    open_file, open_lines = None, None
+def _records(batches: Iterator[pa.RecordBatch], whole_files: bool) -> Iterator[pa.RecordBatch]:
+    """Put four consecutive lines of one split together; lines left open are carried to the next batch. The lines of a
+    record that began in an earlier split (``skip``), or goes on in a later one, are left to ``edge_lines``."""
+    place, left, skip = None, None, 0
     for batch in batches:
         files, lines = batch.column("file"), batch.column("value")
         if not len(lines):
             continue
+        blocks, skips = batch.column("block").to_numpy(), batch.column("skip").to_numpy()
         codes = files.dictionary_encode().indices.to_numpy()
-        cuts = [0, *(np.flatnonzero(np.diff(codes)) + 1).tolist(), len(codes)]
+        cuts = [0, *(np.flatnonzero(np.diff(codes) | np.diff(blocks)) + 1).tolist(), len(codes)]
         for begin, end in zip(cuts, cuts[1:]):
-            file, part = files[begin].as_py(), lines.slice(begin, end - begin)
-            if file == open_file:
-                part = pa.concat_arrays([open_lines, part])
+            here, part = (files[begin].as_py(), int(blocks[begin])), lines.slice(begin, end - begin)
+            if here == place:
+                part = pa.concat_arrays([left, part])
             else:
-                _check_rest(open_file, open_lines)
+                if whole_files:
+                    _check_rest(place, left)
+                skip = int(skips[begin])
+            part, skip = part.slice(min(skip, len(part))), max(skip - len(part), 0)
             whole = len(part) // 4 * 4
-            open_file, open_lines = file, part.slice(whole)
+            place, left = here, part.slice(whole)
             if whole:
-                names, seqs, quals = _checked(file, part.slice(0, whole))
-                source = pa.array([file] * len(names), pa.string())
+                names, seqs, quals = _checked(here[0], part.slice(0, whole))
+                source = pa.array([here[0]] * len(names), pa.string())
                 yield pa.RecordBatch.from_arrays([source, names, seqs, quals], ["file", "read_id", "seq", "qual"])
-    _check_rest(open_file, open_lines)
+    if whole_files:
+        _check_rest(place, left)
+
+
+def _grouped(lines: DataFrame) -> DataFrame:
+    """Records from numbered lines of any order. The check is a filter, so it holds whatever columns are asked for."""
+    place = (F.col("line_no") - 1) % 4
+    record = F.expr("(line_no - 1) div 4").alias("record")
+    pick = lambda i, name: F.max(F.when(place == i, F.regexp_replace("value", "\r$", ""))).alias(name)
+    grouped = lines.groupBy("file", record).agg(pick(0, "read_id"), pick(1, "seq"), pick(2, "mark"), pick(3, "qual"))
+    blank = F.trim(F.concat_ws("", "read_id", "seq", "mark", "qual")) == ""
+    right = F.col("read_id").startswith("@") & F.col("mark").startswith("+") & (F.length("seq") == F.length("qual"))
+    wrong = F.concat(F.lit("no FASTQ record: file "), "file", F.lit(", record "), F.col("record").cast("string"))
+    kept = F.when(blank, False).when(right, True).otherwise(F.raise_error(wrong).cast("boolean"))
+    return grouped.where(kept).select("file", "read_id", "seq", "qual")
 
 
 def _tidy(reads: DataFrame) -> DataFrame:
@@ -71,22 +90,22 @@ def scan_fastq(spark: SparkSession, path: str | list[str], **options) -> DataFra
     """``file, read_id, seq, qual`` of plain and compressed files, also of both in one folder.
 
     Compressed files cannot be split, so their lines arrive in order within one task and records are put together
-    there without a shuffle. Plain files are split by Spark; their lines are numbered and grouped by record. A record
-    without ``@`` or ``+``, with sequence and quality of unequal length, or cut short makes the scan fail.
+    there. Plain files are split by Spark: from the lines counted in the splits before it, each split knows where its
+    first record starts, so records are put together in it as well; only the lines of records that lie in two splits are
+    shuffled. A record without ``@`` or ``+``, with sequence and quality of unequal length, or cut short makes the scan
+    fail, whatever columns are asked for. Records of four blank lines, as at the end of a file, are left out.
     """
     lines = spark.read.options(**options).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
-    packed = lines.where(PACKED).mapInArrow(_records, READ_SCHEMA)
-    lines = numbered_lines(spark, path, named=f"not ({PACKED})", **options)
-    place = (F.col("line_no") - 1) % 4
-    record = F.expr("(line_no - 1) div 4").alias("record")
-    pick = lambda i, name: F.max(F.when(place == i, F.regexp_replace("value", "\r$", ""))).alias(name)
-    grouped = lines.groupBy("file", record).agg(pick(0, "read_id"), pick(1, "seq"), pick(2, "mark"), pick(3, "qual"))
-    blank = F.trim(F.concat_ws("", "read_id", "seq", "mark", "qual")) == ""
-    right = F.col("read_id").startswith("@") & F.col("mark").startswith("+") & (F.length("seq") == F.length("qual"))
-    checked = grouped.where(~blank).withColumn("read_id", F.when(right, F.col("read_id")).otherwise(
-        F.raise_error(F.concat(F.lit("no FASTQ record: file "), "file", F.lit(", record "), F.col("record").cast("string")))
-    ))
-    return _tidy(packed.unionByName(checked.select("file", "read_id", "seq", "qual")))
+    start = [F.lit(0).cast("long").alias(name) for name in ("block", "skip")]
+    packed = lines.where(PACKED).select("file", *start, "value").mapInArrow(lambda b: _records(b, True), READ_SCHEMA)
+    raw, offsets, few = placed_lines(spark, path, f"not ({PACKED})", **options)
+    if few:
+        skip = F.pmod(-F.col("skipped"), F.lit(4)).alias("skip")
+        inside = raw.join(offsets, ["file", "block"]).select("file", "block", skip, "value")
+        plain = inside.mapInArrow(lambda b: _records(b, False), READ_SCHEMA).unionByName(_grouped(edge_lines(raw, offsets, 4)))
+    else:  # the splits are too many to be sent to all tasks
+        plain = _grouped(numbered_lines(spark, path, f"not ({PACKED})", **options))
+    return _tidy(packed.unionByName(plain))
 
 
 def scan_fasta(spark: SparkSession, path: str | list[str], **options) -> DataFrame:

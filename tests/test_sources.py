@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from isoloom.operators import summary
 from isoloom.sinks import files as sinks
 from isoloom.sources import results, sequences
-from isoloom.sources.lines import numbered_lines
+from isoloom.sources.lines import edge_lines, numbered_lines, placed_lines
 from isoloom.sources.sheet import scan_numbered_sheet, scan_sheet
 
 
@@ -180,5 +180,35 @@ def test_mixed_and_broken_reads(spark, tmp_path):
                     out.write(text)
             else:
                 (folder / name).write_text(text)
+            reads = sequences.scan_fastq(spark, str(folder))
+            for ask in (reads.collect, reads.count, reads.select("seq").collect, reads.select("file").count, reads.select("qual").collect):
+                with pytest.raises(Exception, match="FASTQ"):
+                    ask()
+
+
+def test_broken_reads_in_tiny_splits(spark, tmp_path, tiny_splits):
+    for name, text in (("late.fastq", fastq(300) + "@x\nACG\n+\nII\n" + fastq(5)), ("shifted.fastq", fastq(300) + "\n" + fastq(5)), ("cut.fastq", fastq(300) + "@x\nACG\n")):
+        (tmp_path / name).write_text(text)
+        for column in ("read_id", "seq", "qual"):
             with pytest.raises(Exception, match="FASTQ"):
-                sequences.scan_fastq(spark, str(folder)).collect()
+                sequences.scan_fastq(spark, str(tmp_path / name)).select(column).collect()
+    (tmp_path / "blank.fastq").write_text(fastq(300) + "\n" * 9)
+    assert sequences.scan_fastq(spark, str(tmp_path / "blank.fastq")).count() == 300
+
+
+def test_reads_stay_in_their_splits(spark, tmp_path, tiny_splits):
+    (tmp_path / "s.fastq").write_text(fastq(400))
+    reads = sequences.scan_fastq(spark, str(tmp_path))
+    inside = {tuple(r) for r in reads.select("read_id", "seq").collect()}
+    assert inside == {(f"{i} x", "ACGT" * (i % 7 + 1)) for i in range(400)}
+    raw, offsets, few = placed_lines(spark, str(tmp_path / "s.fastq"))
+    assert few and 0 < edge_lines(raw, offsets, 4).count() <= 7 * offsets.count()
+
+
+def test_first_line_may_be_blank(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\n\nid;x\nA;1\n")
+    (tmp_path / "b.csv").write_text("\n\nx,id\n2,B\n")
+    for path, want in (("a.csv", {("A", "1")}), ("b.csv", {("B", "2")}), (".", {("A", "1"), ("B", "2")})):
+        got = scan_numbered_sheet(spark, str(tmp_path / path), headers=True).collect()
+        assert {(r["id"], r["x"]) for r in got} == want and {r["row_no"] for r in got} == {2}
+        assert {(r["id"], tuple(r["header"])) for r in got} <= {("A", ("id", "x")), ("B", ("x", "id"))}
