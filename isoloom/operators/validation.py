@@ -43,7 +43,8 @@ BASECALLING_MODELS = (
     "dna_r9.4.1_450bps_hac@v3.3",
     "dna_r9.4.1_450bps_sup@v3.3",
 )
-# Sentence of each problem and the place of its check in the report.
+# Titles of the report's sections (fixed values); sentences of the problems, partly in our own words, and the place of each
+# check in the report.
 SECTION_TITLES = {FATAL: "===== FATAL ERRORS =====", ERROR: "===== ERRORS =====", WARNING: "===== WARNINGS ====="}
 MESSAGES = {
     "RUN_NAME_MISSING:run": ("run_name not specified in configuration for GVA mode", 0),
@@ -65,16 +66,18 @@ MESSAGES = {
     "FILE_MISSING:illumina_r2": ("The file {detail} in column {column}, row {row} does not exist", 6),
     "FILE_MISSING:nanopore": ("The file {detail} in column {column}, row {row} does not exist", 7),
     "DATE_INVALID:collection_date": ("Error in row {row}: Invalid date format: '{detail}'", 8),
+    "ORGANISM_UNKNOWN:organism": ("The organism '{detail}' in row {row} is not in the species table", 8),
     "MODEL_MISSING:nanopore": ("Nanopore samples detected but no basecalling model is configured", 9),
     "MODEL_INVALID:nanopore": ("Invalid Dorado model '{detail}'", 9),
 }
 PATH_COLUMNS = ("illumina_r1", "illumina_r2", "nanopore")
-LATE_CODES = ("ID_CHARACTERS", "DATE_INVALID")  # row checks that come after the check for missing ids
 ISSUE_COLUMNS = ("sheet", "severity", "row_no", "column_name", "code", "detail")
 
 
 def rename_internal(df: DataFrame) -> DataFrame:
-    return df.withColumnsRenamed({old: new for old, new in INTERNAL_NAMES.items() if old in df.columns})
+    """Internal names for the hospital's; where a table has both, the hospital's column wins."""
+    new_names = {old: new for old, new in INTERNAL_NAMES.items() if old in df.columns}
+    return df.drop(*[new for new in new_names.values() if new in df.columns]).withColumnsRenamed(new_names)
 
 
 def _problem(cond: Column, severity: int, column: str, code: str, detail: Column | None = None) -> Column:
@@ -204,50 +207,104 @@ def primary_id(columns: list[str], wanted: str = "id") -> str:
     raise ValueError(f"no id column among {columns}")
 
 
+def header_problem(header: Column, mode: str) -> Column:
+    """The problem of a sheet's header (``severity, code, detail``), as ``column_problems`` finds it, or null."""
+    lacking = lambda names: F.filter(F.array(*[F.lit(n) for n in names]), lambda n: ~F.array_contains(header, n))
+
+    def problem(cond: Column, severity: int, code: str, names: Column) -> Column:
+        return F.when(cond, F.struct(F.lit(severity).alias("severity"), F.lit(code).alias("code"), F.array_join(names, ", ").alias("detail")))
+
+    required, any_of = lacking(REQUIRED[mode]), F.array(*[F.lit(n) for n in ANY_OF[mode]])
+    found = [
+        problem(F.size(required) > 0, FATAL, "COLUMNS_REQUIRED", required),
+        problem(~F.arrays_overlap(header, any_of), FATAL, "COLUMNS_NO_DATA", any_of),
+    ]
+    if IMPORTANT[mode]:
+        important = lacking(IMPORTANT[mode])
+        found.append(problem(F.size(important) > 0, ERROR, "COLUMNS_IMPORTANT", important))
+    return F.coalesce(*found)
+
+
+def _has(column: str, mode: str) -> Column:
+    """Whether the row's own sheet has the column, under its internal or hospital name."""
+    names = [column, *[old for old, new in INTERNAL_NAMES.items() if new == column]] if mode == "gva" else [column]
+    return F.arrays_overlap("header", F.array(*[F.lit(n) for n in names]))
+
+
+def sheet_facts(sheet: DataFrame, mode: str) -> DataFrame:
+    """What is decided per sheet, from one aggregate: ``header``, the fatal ``run_wrong``, its header problem, whether
+    ids are missing (``no_id``) and whether long reads are named (``long_reads``)."""
+    run_wrong = F.max(F.col("run_problem").isNotNull()) if mode == "gva" else F.max(F.lit(False))
+    facts = sheet.groupBy("sheet").agg(
+        F.first("header").alias("header"), run_wrong.alias("run_wrong"),
+        F.max(F.col("id").isNull() | (F.col("id") == "")).alias("no_id"),
+        F.max(is_given(F.coalesce("nanopore", F.lit("")))).alias("long_reads"),
+    )
+    problem = header_problem(F.col("header"), mode)
+    return facts.withColumn("problem", problem).withColumn(
+        "stopped", F.col("run_wrong") | F.coalesce(F.col("problem.severity") == FATAL, F.lit(False))
+    )
+
+
 def validate(
     sheet: DataFrame,
     mode: str = "normal",
     inventory: DataFrame | None = None,
     model: str | None = None,
+    base: str = "",
+    species: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Issues and validated sheet for any number of sheets at once.
 
-    ``sheet`` carries ``sheet`` and ``row_no`` (plus ``run`` in hospital mode) next to the columns as written. Checks
-    that come after a fatal problem of a sheet are not reported for that sheet, and its rows are not passed on.
+    ``sheet`` carries ``sheet`` and ``row_no`` (plus ``run`` in hospital mode) next to the columns as written. Sheets of
+    different headers are judged each by its own, which ``header`` holds as a list; without it all have the columns of the
+    table. Checks that come after a fatal problem of a sheet are not reported for that sheet, and its rows are not passed
+    on. Relative paths are looked up in ``inventory`` below ``base``; with ``species`` (column ``name``) organisms that
+    it doesn't list give a warning.
+
+    Nothing is computed before the result is asked for: what is decided per sheet comes from one aggregate, which the
+    rows meet in one join.
     """
-    header = [c for c in sheet.columns if c not in ("sheet", "row_no", "run")]
-    listed = sheet.select("sheet").distinct()
-    header_issues = [_sheet_level(listed, sev, "header", code, F.lit(names)) for sev, code, names in column_problems(header, mode)]
-    named_wrong = [run_name_issues(sheet)] if mode == "gva" else []
-    rejected = _sheets_of(named_wrong[0]) if named_wrong else None
-    header_issues = [_without(i, rejected) for i in header_issues]
-    if any(sev == FATAL for sev, _, _ in column_problems(header, mode)):
-        return _stack([*named_wrong, *header_issues]), sheet.limit(0)
-
-    named = _without(rename_internal(sheet) if mode == "gva" else sheet, rejected)
-    no_id = _sheets_of(missing_ids(named))
-    usable = _without(named, no_id)
-    rules = [*(_blank_rules(named.columns) if mode == "gva" else []), _no_id_rule(), *_late_rules(named.columns)]
-    late = [model_issues(usable, model)]
+    own = [c for c in sheet.columns if c not in ("sheet", "row_no", "run", "header")]
+    rows = sheet if "header" in sheet.columns else sheet.withColumn("header", F.array(*[F.lit(c) for c in own]))
+    rows = rename_internal(rows) if mode == "gva" else rows
+    written = rows.columns
+    rows = rows.withColumns({c: F.lit(None).cast("string") for c in ("id", "nanopore") if c not in written})
+    rows = rows.withColumn("run_problem", run_name_issue(F.col("run"))) if mode == "gva" else rows
+    facts = sheet_facts(rows, mode)
+    marked = rows.join(facts.select("sheet", "stopped", F.col("no_id").alias("_no_id")), "sheet").where("not stopped")
+    usable = marked.where("not _no_id").select([c for c in written if c not in ("header", "run_problem")])
+    guarded = lambda rules, column: [F.when(_has(column, mode), r) for r in rules]
+    early = []
+    if mode == "gva":
+        for column in ("id2", "organism", "relevance", "collection_date"):
+            early += guarded(_blank_rules([column])[:1], column) if column in written else []
+        early.append(_blank_rules([c for c in ("illumina_r1", "nanopore") if c in written])[-1])
+    late = _late_rules(written) if "id" in written else []
+    rules = [*early, _no_id_rule(), *[F.when(~F.col("_no_id"), r) for r in late]]
+    issues = [_explode_problems(marked, rules)]
+    if mode == "gva":
+        wrong = rows.where("run_problem is not null").select("sheet", "run", F.col("run_problem").alias("code")).distinct()
+        issues.append(_sheet_level(wrong, FATAL, "run", F.col("code"), F.col("run")))
+    headers = facts.where("problem is not null and not run_wrong")
+    issues.append(_sheet_level(headers, F.col("problem.severity"), "header", F.col("problem.code"), F.col("problem.detail")))
+    if model not in BASECALLING_MODELS:
+        with_long = facts.where("long_reads and not stopped and not no_id")
+        issues.append(_sheet_level(with_long, ERROR, "nanopore", "MODEL_INVALID" if model else "MODEL_MISSING", F.lit(model)))
     if inventory is not None:
-        late.append(missing_files(usable, inventory))
-    issues = _stack([*named_wrong, *header_issues, _drop_late(_explode_problems(named, rules), no_id), *late])
-    return issues, normalise_dates(usable) if "collection_date" in usable.columns else usable
-
-
-def _drop_late(problems: DataFrame, no_id: DataFrame) -> DataFrame:
-    """Row problems of one scan, without those of later checks where a sheet lacks ids."""
-    marked = problems.join(no_id.withColumn("_no_id", F.lit(True)), "sheet", "left")
-    return marked.filter(F.col("_no_id").isNull() | ~F.col("code").isin(*LATE_CODES)).drop("_no_id")
-
+        issues.append(missing_files(usable, inventory, base))
+    if species is not None and "organism" in written:
+        issues.append(unknown_organisms(usable, species))
+    return _stack(issues), normalise_dates(usable) if "collection_date" in usable.columns else usable
 
-def _without(df: DataFrame, sheets: DataFrame | None) -> DataFrame:
-    return df if sheets is None else df.join(sheets, "sheet", "left_anti")
 
-
-def _sheets_of(fatal: DataFrame) -> DataFrame:
-    """The sheets with a fatal problem: few as a rule, then they are broadcast and the rows need not be shuffled."""
-    return broadcast_if_small(fatal.select("sheet").distinct(), ["sheet"])
+def unknown_organisms(sheet: DataFrame, species: DataFrame) -> DataFrame:
+    """A warning for each given organism that the species table doesn't list."""
+    given = sheet.where(~is_blank(F.col("organism"))).withColumn("name", organism_key(F.col("organism")))
+    return given.join(by_sorting(species.select("name").distinct()), "name", "left_anti").select(
+        "sheet", F.lit(WARNING).cast("long").alias("severity"), F.col("row_no").cast("long").alias("row_no"),
+        F.lit("organism").alias("column_name"), F.lit("ORGANISM_UNKNOWN").alias("code"), F.col("organism").alias("detail"),
+    )
 
 
 def _stack(parts: list[DataFrame]) -> DataFrame:

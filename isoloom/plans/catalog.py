@@ -92,6 +92,11 @@ def scan_fasta(spark, d):
     )
 
 
+@query
+def scan_alleles(spark, d):
+    return sequences.scan_alleles(spark, files.allele_files(spark, d), recursiveFileLookup="true")
+
+
 @query
 def scan_profiles(spark, d):
     wide = views.wide_profiles(spark, d)
@@ -171,6 +176,20 @@ def validation_issues(spark, d):
     return _all_issues(spark, d)
 
 
+@query
+def validation_mixed_sheets(spark, d):
+    sheet = scan_numbered_sheet(spark, files.mixed_sheet_files(spark, d), headers=True)
+    sheet = sheet.withColumn("run", _name_of(text.basename(F.col("sheet"))))
+    species = spark.createDataFrame([(s,) for s in validation_species()], "name string")
+    issues, _ = validation.validate(sheet, "gva", views.stored_files(spark, d), MODEL, base="/d", species=species)
+    return issues.withColumn("sheet", F.regexp_replace(text.basename(F.col("sheet")), "[.]csv$", ""))
+
+
+def validation_species() -> list[str]:
+    """The organisms of the sheets but the first, in table form."""
+    return [s.lower().replace(" ", "_") for s in views.SPECIES[1:]]
+
+
 @query
 def validation_report(spark, d):
     return validation.report_lines(_all_issues(spark, d))

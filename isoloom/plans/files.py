@@ -74,6 +74,34 @@ def sheet_files(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+def mixed_sheet_files(spark: SparkSession, sf_dir: str) -> str:
+    """Sheets of four kinds in one folder, by the last digit of their run: complete with a blank line before the header;
+    comma, quotes and reversed columns; without the id column; without date and reason. Paths are relative to ``/d``."""
+    raw = views.sheet_raw(spark, sf_dir)
+    columns = [c for c in raw.columns if c not in ("sheet", "run", "row_no")]
+    cells = {c: F.coalesce(F.regexp_replace(c, "^/d/", "") if c in ("ILLUMINA_R1", "ILLUMINA_R2", "NANOPORE") else F.col(c), F.lit("")) for c in columns}
+    quoted = {c: F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"')) for c, v in cells.items()}
+    name = F.concat("sheet", F.lit("."), F.expr(f"(row_no - 2) div {ROWS_PER_CHUNK}").cast("string"), F.lit(".csv")).alias("name")
+    kinds = [
+        (";", cells, columns, "\n"), (",", quoted, columns[::-1], ""), (";", cells, [c for c in columns if c != "CODIGO_MUESTRA_ORIGEN"], ""),
+        (";", cells, [c for c in columns if c not in ("FECHA_TOMA_MUESTRA", "MOTIVO_WGS")], ""),
+    ]
+    folder = scratch_path(spark, "mixed-sheets")
+    for kind, (separator, values, names, before) in enumerate(kinds):
+        rows = raw.where(F.expr(f"cast(right(run, 1) as int) % 4 = {kind}"))
+        lines = rows.select(name, F.concat_ws(separator, *[values[c] for c in names]).alias("value"), "row_no")
+        write_named_files(_with_header(lines, before + separator.join(names), "row_no"), folder, ["row_no"])
+    return folder
+
+
+def allele_files(spark: SparkSession, sf_dir: str) -> str:
+    """The allele library, ``<scheme>/<locus>.tfa``: wrapped lines in lower case, every record twice."""
+    alleles = views.alleles(spark, sf_dir)
+    record = F.concat(F.lit(">"), "locus", F.lit("_"), "allele", F.lit("\n"), F.lower(F.regexp_replace("seq", "(.{60})(?=.)", "$1\n")))
+    lines = alleles.select(F.concat("scheme", F.lit("/"), "locus", F.lit(".tfa")).alias("name"), record.alias("value"), F.explode(F.sequence(F.lit(0), F.lit(1))).alias("copy"), "allele")
+    return write_named_files(lines, scratch_path(spark, "library"), ["copy", "allele"])
+
+
 def amr_files(spark: SparkSession, sf_dir: str) -> str:
     hits = views.amr_hits(spark, sf_dir)
     name = F.concat("sample", F.lit("_amrfinder."), _hit_chunk(), F.lit(".tsv")).alias("name")

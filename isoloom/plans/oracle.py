@@ -422,6 +422,7 @@ _q("scan_fastq_inventory",
 for _name in ("scan_fastq", "scan_fastq_plain"):
     _q(_name, READS, "SELECT sample, pair_id || '/' || mate AS read_id, seq, qual FROM reads")
 _q("scan_fasta", CONTIGS, "SELECT sample, contig_id AS id, contig_id || ' from ' || sample AS description, length(seq)::BIGINT AS bases, md5(seq) AS digest FROM contigs")
+_q("scan_alleles", ALLELES, "SELECT DISTINCT scheme, locus, allele, seq FROM alleles")
 _q("scan_profiles", PROFILES, "SELECT scheme, st, locus, allele FROM profiles")
 _HITS_OF = ' JOIN (SELECT sample AS "Sample", count(*) AS hits FROM hits GROUP BY 1) n USING ("Sample")'
 _q("scan_amr_hits", HITS, "SELECT * FROM amr" + _HITS_OF)
@@ -446,6 +447,18 @@ _q("gff_rewrite", _GFF.format(by="file"),
    " FROM gff g LEFT JOIN ends e ON g.file = e.file WHERE stop IS NULL OR line_no < stop")
 
 _q("validation_issues", ISSUES, "SELECT * FROM issues")
+_MIXED = SHEET.replace(
+    "SELECT run AS sheet, run, k + 2 AS row_no",
+    f"SELECT run || '.' || (k // {ROWS_PER_CHUNK}) AS sheet, run, row_number() OVER (PARTITION BY run, k // {ROWS_PER_CHUNK} ORDER BY k) + 1 AS row_no, right(run, 1)::INT % 4 AS kind",
+) + ISSUES.removeprefix(SHEET).replace("q.code IS NULL)", "q.code IS NULL AND kind <> 2)").replace(
+    "named WHERE relevance", "named WHERE kind <> 3 AND (relevance").replace("trim(relevance) = ''", "trim(relevance) = '')").replace(
+    "named WHERE collection_date", "named WHERE kind <> 3 AND (collection_date").replace("trim(collection_date) = ''", "trim(collection_date) = '')").replace(
+    "usable WHERE collection_date", "usable WHERE kind <> 3 AND collection_date").replace("issues0 AS (\n  SELECT run AS sheet, 3 AS severity, 0 AS row_no, 'run' AS column_name, code, run AS detail FROM verdicts WHERE code IS NOT NULL", """issues0 AS (
+  SELECT DISTINCT sheet, 3 AS severity, 0 AS row_no, 'run' AS column_name, code, run AS detail FROM sheet JOIN verdicts USING (run) WHERE code IS NOT NULL
+  UNION ALL SELECT DISTINCT sheet, 3, 0, 'header', 'COLUMNS_REQUIRED', 'CODIGO_MUESTRA_ORIGEN' FROM sheet JOIN verdicts USING (run) WHERE code IS NULL AND kind = 2
+  UNION ALL SELECT DISTINCT sheet, 2, 0, 'header', 'COLUMNS_IMPORTANT', 'FECHA_TOMA_MUESTRA, MOTIVO_WGS' FROM sheet JOIN verdicts USING (run) WHERE code IS NULL AND kind = 3
+  UNION ALL SELECT sheet, 1, row_no, 'organism', 'ORGANISM_UNKNOWN', organism FROM usable WHERE organism = '""" + v.SPECIES[0] + "'")
+_q("validation_mixed_sheets", _MIXED, "SELECT sheet, severity, row_no, column_name, code, CASE WHEN code = 'FILE_MISSING' THEN substr(detail, 4) ELSE detail END AS detail FROM issues")
 _q("validation_status", ISSUES, "SELECT s.sheet, coalesce(max(severity), 0)::BIGINT AS status FROM (SELECT DISTINCT sheet FROM sheet) s LEFT JOIN issues i ON s.sheet = i.sheet GROUP BY s.sheet")
 _q("validation_report", ISSUES, """
 SELECT sheet, 3 - severity AS section, CASE code WHEN 'RUN_NAME_FORMAT' THEN 0 WHEN 'HOSPITAL_UNKNOWN' THEN 0 WHEN 'BLANK' THEN 2 WHEN 'NO_DATA_SOURCE' THEN 2 WHEN 'ID_MISSING' THEN 3

@@ -29,16 +29,19 @@ def validate_files(
     run: str | None = None,
     read_folders: list[str] | None = None,
     model: str | None = None,
+    base: str = "",
+    species: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Issues and validated rows of the sheets under ``path``. Without ``run`` a sheet's file name is its run."""
-    sheet = scan_numbered_sheet(spark, path)
+    """Issues and validated rows of the sheets under ``path``, each judged by its own header. Without ``run`` a sheet's
+    file name is its run. Relative paths of read files are below ``base``."""
+    sheet = scan_numbered_sheet(spark, path, headers=True)
     name = F.element_at(F.split(basename(F.col("sheet")), r"\."), 1)
     if mode == "gva":
         sheet = sheet.withColumn("run", F.lit(run) if run else name)
     inventory = None
     if read_folders:
         inventory = summary.concat_files([results.scan_read_files(spark, f).select("path") for f in read_folders])
-    return validation.validate(sheet, mode, inventory, model)
+    return validation.validate(sheet, mode, inventory, model, base, species)
 
 
 def report_from_results(spark: SparkSession, folder: str) -> DataFrame:

@@ -98,6 +98,24 @@ def test_missing_files_and_model(rows):
     assert [r["code"] for r in validation.model_issues(sheet, None).collect()] == ["MODEL_MISSING"]
 
 
+def test_sheets_are_judged_by_their_own_header(rows):
+    schema = "sheet string, row_no long, header array<string>, id string, illumina_r1 string, organism string"
+    sheet = rows(
+        schema, ("good", 2, ["id", "illumina_r1", "organism"], "a", "r/x.fq", "Candida auris"), ("noid", 2, ["illumina_r1"], None, "/d/r/x.fq", None),
+        ("nodata", 2, ["id", "organism"], "b", None, "o"), ("good", 3, ["id", "illumina_r1", "organism"], "c", "r/y.fq", "Bug x"),
+    )
+    issues, valid = validation.validate(sheet, "normal", rows("path string", ("file:/d/r/x.fq",)), base="/d", species=rows("name string", ("candida_auris",)))
+    assert {(r["sheet"], r["row_no"], r["code"], r["detail"]) for r in issues.collect()} == {
+        ("noid", 0, "COLUMNS_REQUIRED", "id"), ("nodata", 0, "COLUMNS_NO_DATA", "illumina_r1, illumina_r2, nanopore"),
+        ("good", 3, "FILE_MISSING", "r/y.fq"), ("good", 3, "ORGANISM_UNKNOWN", "Bug x"),
+    }
+    assert {tuple(r) for r in valid.select("sheet", "id").collect()} == {("good", "a"), ("good", "c")}
+    lacking = rows("sheet string, run string, row_no long, header array<string>, CODIGO_MUESTRA_ORIGEN string, PETICION string, NANOPORE string, MOTIVO_WGS string",
+                   ("s", "240512_CLIN002", 2, ["CODIGO_MUESTRA_ORIGEN", "PETICION", "NANOPORE"], "a", "1", "/n", None))
+    issues, _ = validation.validate(lacking, "gva", None, validation.BASECALLING_MODELS[0])
+    assert [(r["code"], r["detail"]) for r in issues.collect()] == [("COLUMNS_IMPORTANT", "FECHA_TOMA_MUESTRA, ESPECIE_SECUENCIA, MOTIVO_WGS")]
+
+
 def test_header_checks(rows):
     assert validation.column_problems(["PETICION"], "gva")[0][:2] == (3, "COLUMNS_REQUIRED")
     assert validation.column_problems(["PETICION", "CODIGO_MUESTRA_ORIGEN"], "gva")[0][:2] == (3, "COLUMNS_NO_DATA")
