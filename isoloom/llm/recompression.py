@@ -4,12 +4,13 @@ Naming. A word's name is a hash of its bytes. A phase of recompression splits th
 into left and right ones, and each left one with a right one behind it becomes one symbol, named after the two. The names
 follow from what they stand for alone, so all texts agree on them without being told. A window loses at most one symbol
 at each end per phase (one that may pair with what stands outside); all others, its interior symbols, are the same
-wherever the window stands. As 20 words become 18, 9, 7, 4, 2 and 1, each window of 20 keeps one through three phases,
-and most keep one through five. Runs of one word longer than two windows are named by their first two windows: of
-what lies between, each word is a repeat of the run's own beginning.
+wherever the window stands. As 20 words become 18, 9, 7, 4, 2 and 1, each window of 20 keeps one through three phases.
+Runs of one word longer than two windows are named by their first two windows: of what lies between, each word is a repeat
+of the run's own beginning.
 
-1. Each window names the interior symbol of its highest level, the least by hash, as its anchor. A round of Spark counts
-   the anchors of all texts; windows whose anchor stands in one place alone repeat nowhere and are dropped.
+1. Each window names an interior symbol of the third level as its anchor: the one of most words, then the least by hash. A
+   round of Spark counts the anchors of all texts; windows whose anchor stands in one place alone repeat nowhere and are
+   dropped.
 2. The windows of one place with one anchor are a stretch. A second round names stretches by all their words (128 bits of two
    hashes): of equal stretches all but the first are repeats as a whole.
 3. Where an anchor has several different stretches, the first of each kind names its windows, again by 128 bits; a third
@@ -33,14 +34,13 @@ from isoloom.llm.common import BASE, encoded, mixed, powers, prefix_hashes, runs
 from isoloom.llm.shards import Places
 from isoloom.session import BROADCAST_MAX_BYTES, by_sorting
 
-PHASES = 5
-SAFE_PHASES = 3  # after these every window of at least 20 words still has an interior symbol
+PHASES = 3  # after these every window of at least 20 words still has an interior symbol
 LEAST_WINDOW = 20
-BROADCAST_NAMES = 2_000_000  # of eight bytes, as one sorted array per worker; more are joined by sorting
+BROADCAST_NAMES = 1_500_000  # of eight bytes each; more are joined by sorting
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 OTHER_CODES = np.random.default_rng(11).permutation(256).astype(np.uint8)  # bytes renamed, for a second hash
-SIDE, LEFT, RIGHT, LEVEL = (np.uint64(x) for x in (0x632BE59BD9B4E019, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
+SIDE, LEFT, RIGHT = (np.uint64(x) for x in (0x632BE59BD9B4E019, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 
 
 @dataclass
@@ -114,7 +114,7 @@ def _least(keys: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return out
 
 
-def stretches(words: Words, window: int, phases: int = PHASES) -> tuple[np.ndarray, ...]:
+def stretches(words: Words, window: int) -> tuple[np.ndarray, ...]:
     """First window, last window (both by their first word) and anchor of each stretch: neighbouring windows of one text
     that name the same symbol in the same place."""
     none = np.zeros(0, dtype=np.int64)
@@ -123,33 +123,26 @@ def stretches(words: Words, window: int, phases: int = PHASES) -> tuple[np.ndarr
     if not len(start):
         return none, none, none
     name, doc, at = words.name, words.doc, np.arange(len(words.name))
-    low, high = start.copy(), start + window - 1
-    levels = []
-    for phase in range(1, phases + 1):
+    low, high = start.copy(), start + window - 1  # first and last interior symbol of each window
+    for phase in range(PHASES):
         right = (mixed(name * SIDE + np.uint64(phase)) & np.uint64(1)).astype(bool)
-        low = low + right[np.minimum(low, len(name) - 1)]
-        high = high - ~right[np.maximum(high, 0)]
+        low = low + right[low]  # may be the second half of a pair that begins before the window
+        high = high - ~right[high]  # may be the first half of a pair that ends behind it
         pair = np.zeros(len(name), dtype=bool)  # symbols that take in the one behind them
         pair[:-1] = ~right[:-1] & right[1:] & (doc[1:] == doc[:-1])
         stay = np.ones(len(name), dtype=bool)
         stay[1:] = ~pair[:-1]
-        number = np.cumsum(stay) - 1
         both = np.flatnonzero(pair)
         name = name.copy()
         name[both] = mixed(name[both] * LEFT + mixed(name[both + 1] * RIGHT + np.uint64(phase)))
         name, doc, at = name[stay], doc[stay], at[stay]
-        some = low <= high
-        low = np.where(some, number[np.minimum(low, len(number) - 1)], 1)
-        high = np.where(some, number[np.maximum(high, 0)], 0)
-        if phase >= min(SAFE_PHASES, phases):
-            levels.append((mixed(name ^ (LEVEL + np.uint64(phase))), at, low, high))
-    anchor, place = np.zeros(len(start), dtype=np.uint64), np.full(len(start), -1)
-    for keys, at, low, high in reversed(levels):
-        own = np.flatnonzero((place < 0) & (low <= high))
-        found = _least(keys, low[own], high[own])
-        anchor[own], place[own] = keys[found], at[found]
-    new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)])
-    new = np.flatnonzero(new)
+        number = np.cumsum(stay) - 1
+        low, high = number[low], number[high]
+    size = np.minimum(np.diff(np.append(at, len(words.name))), 63).astype(np.uint64)
+    keys = ((np.uint64(63) - size) << np.uint64(58)) | (mixed(name) >> np.uint64(6))
+    found = _least(keys, low, high)
+    anchor, place = keys[found], at[found]
+    new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)]))
     return start[new], start[np.append(new[1:], len(start)) - 1], anchor[new].view(np.int64)
 
 
@@ -194,17 +187,12 @@ def named_anchors(rows: DataFrame, window: int) -> DataFrame:
     return anchors(rows, window).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
 
 
-def stretch_rows(rows: DataFrame, window: int, only: np.ndarray | None = None) -> DataFrame:
+def stretch_rows(rows: DataFrame, window: int) -> DataFrame:
     """doc_id, doc_key, low, high (first and last window by the number of its first word, long runs cut short), anchor and
-    c1, c2 (the names of all words) of every stretch, or of those whose anchor is among ``only`` (sorted)."""
-    shared = None if only is None else rows.sparkSession.sparkContext.broadcast(only)
+    c1, c2 (the names of all words) of every stretch."""
 
     def find(words: Words, _):
         low, high, anchor = stretches(words, window)
-        if shared is not None:
-            names = shared.value
-            own = names[np.minimum(np.searchsorted(names, anchor), len(names) - 1)] == anchor if len(names) else anchor < anchor
-            low, high, anchor = low[own], high[own], anchor[own]
         doc = words.doc[low]
         base = words.first[doc]
         return doc, (low - base).astype(np.int32), (high - base).astype(np.int32), anchor, *span_names(words, low, high + window)
@@ -258,11 +246,8 @@ def repeats(docs: DataFrame, window: int = LEAST_WINDOW) -> DataFrame:
         raise ValueError(f"windows of under {LEAST_WINDOW} words may lose all symbols")
     rows = _keyed(docs)
     several = settle(named_anchors(rows, window), "anchors")
-    if several.count() <= BROADCAST_NAMES:
-        names = np.sort(several.toPandas()["anchor"].to_numpy(dtype=np.int64))
-        named = settle(stretch_rows(rows, window, names), "stretches")
-    else:
-        named = settle(stretch_rows(rows, window).join(by_sorting(several), "anchor"), "stretches")
+    several = F.broadcast(several) if several.count() <= BROADCAST_NAMES else by_sorting(several)
+    named = settle(stretch_rows(rows, window).join(several, "anchor"), "stretches")
     kinds = named.groupBy("anchor", "c1", "c2").agg(F.count("*").alias("n"), F.min(F.struct(_place().alias("place"), "high")).alias("one"))
     kinds = settle(kinds.select("anchor", "c1", "c2", "n", "one.place", "one.high"), "kinds")
     whole = _later(named.drop("anchor"), ["c1", "c2"], kinds.where("n > 1").select("c1", "c2", "place"))
