@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoloom.functions.dna import kmer_rows, piece, revcomp
+from isoloom.operators.scan import collected, scan_families
 from isoloom.session import broadcast_if_small, with_computed
 
 # Thresholds of the acquired-gene screen.
@@ -37,13 +38,18 @@ def gene_screen(
     k: int = SEED,
     min_seeds: int = MIN_SEEDS,
 ) -> DataFrame:
-    """Every (gene, contig, strand, diagonal) with enough shared k-mers, coverage and identity.
+    """Every (gene, contig, strand, diagonal) with enough shared k-mers, coverage and identity. Genes with fewer than
+    ``k + min_seeds - 1`` letters share too few k-mers to be found.
 
-    Only positions travel through the seed join; they are added up per diagonal before the shuffle. No frequent seed is
-    dropped. What the counts already rule out goes before any sequence is looked at: too short an overlap, or fewer
-    shared k-mers than the allowed mismatches could destroy (each mismatch breaks at most k of them).
+    A library of proven size is sent to the tasks (``scan``). For a larger one only positions travel through a seed join;
+    they are added up per diagonal before the shuffle. No frequent seed is dropped. What the counts already rule out
+    goes before any sequence is looked at: too short an overlap, or fewer shared k-mers than the allowed mismatches
+    could destroy (each mismatch breaks at most k of them).
     """
     strands = both_strands(genes)
+    sent = collected(strands.withColumn("family", F.col("gene")), ["gene"], k)
+    if sent:
+        return _scored(scan_families(contigs, *sent, coverage, identity, min_seeds))
     library = strands.withColumn("size", F.length("seq"))
     seeds = kmer_rows(library, "seq", k, ["gene", "strand", "size"]).withColumnRenamed("pos", "gene_pos")
     seeds = broadcast_if_small(seeds, ["gene", "kmer"])
@@ -69,12 +75,17 @@ def gene_screen(
     )
     scored = with_computed(pairs, same=same).filter(F.col("same") >= F.col("overlap") * identity)
     first = F.col("begin") + F.col("diag")
-    return scored.select(
-        *key, "gene", "strand",
-        first.cast("long").alias("start"), (first + F.col("overlap") - 1).cast("long").alias("end"),
-        F.round(F.col("overlap") / F.col("size"), 6).alias("coverage"),
-        F.round(F.col("same") / F.col("overlap"), 6).alias("identity"),
-    )
+    return _scored(scored.withColumns({"start": first.cast("long"), "end": (first + F.col("overlap") - 1).cast("long")}))
+
+
+def shares() -> list[Column]:
+    """Coverage and identity of a hit."""
+    shared = {"coverage": F.col("overlap") / F.col("size"), "identity": F.col("same") / F.col("overlap")}
+    return [F.round(value, 6).alias(name) for name, value in shared.items()]
+
+
+def _scored(hits: DataFrame) -> DataFrame:
+    return hits.select("sample", "contig_id", "gene", "strand", "start", "end", *shares())
 
 
 def best_hit_per_locus(hits: DataFrame, rivalry: float = 0.0) -> DataFrame:

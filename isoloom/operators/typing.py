@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoloom.functions.dna import kmer_rows, piece, revcomp, windows
-from isoloom.operators.screen import SEED, gene_screen
+from isoloom.operators.scan import collected, scan_families
+from isoloom.operators.screen import MIN_SEEDS, SEED, gene_screen, shares
 from isoloom.session import BROADCAST_MAX_BYTES, by_sorting, bytes_within
 
 SEED_WIDTHS = (31, 12, 1)
@@ -70,11 +71,18 @@ def _find_by_shuffle(contigs: DataFrame, probes: DataFrame, width: int, longest:
 
 
 def near_alleles(contigs: DataFrame, alleles: DataFrame, k: int = SEED) -> DataFrame:
-    """``sample, scheme, locus, allele, coverage, identity`` of alleles that lie in contigs with few mismatches."""
+    """``sample, scheme, locus, allele, coverage, identity`` of alleles that lie in contigs with few mismatches.
+
+    The alleles of a locus are a family: places are found by seeds of the whole locus, alleles compared there alone."""
     parts = ("scheme", "locus", "allele")
-    gene = F.concat_ws("\t", *parts).alias("gene")
+    library = alleles.select(F.concat_ws("\t", "scheme", "locus").alias("family"), F.concat_ws("\t", *parts).alias("gene"), *parts, F.upper("seq").alias("seq"))
+    library = library.distinct()
+    strands = library.select("family", *parts, F.inline(F.array(F.struct(F.lit("+").alias("strand"), "seq"), F.struct(F.lit("-").alias("strand"), revcomp(F.col("seq")).alias("seq")))))
+    sent = collected(strands, parts, k)
+    if sent:
+        return scan_families(contigs, *sent, PARTIAL_COVERAGE, NOVEL_IDENTITY, MIN_SEEDS).select("sample", *parts, *shares())
     hits = gene_screen(
-        contigs, alleles.select(gene, F.upper("seq").alias("seq")).distinct(),
+        contigs, library.select("gene", "seq"),
         coverage=PARTIAL_COVERAGE, identity=NOVEL_IDENTITY, k=k,
     )
     names = F.split("gene", "\t")
