@@ -199,3 +199,53 @@ def scan_families(
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return cut.mapInArrow(run, schema)
+
+
+def scan_exact(contigs: DataFrame, probes: DataFrame, names: Sequence[str], widths: Sequence[int]) -> DataFrame:
+    """``sample, contig_id`` and ``names`` for each place of a contig where a probe lies letter by letter.
+
+    ``probes`` (the columns ``names``, ``width``, ``probe``; of a size checked by the caller) is collected and broadcast:
+    its first ``width`` letters are the seed, the whole probe is compared where the seed is met."""
+    table = probes.select(*names, "width", "probe").toPandas()
+    seqs, width = [p.encode() for p in table["probe"]], table["width"].to_numpy(dtype=np.int64)
+    indexes = []
+    for w in sorted(set(widths)):
+        own = np.flatnonzero(width == w)
+        codes = np.array([seed_codes(np.frombuffer(seqs[i][:w], dtype=np.uint8), w)[0] for i in own], dtype=np.uint64)
+        order = np.argsort(codes, kind="stable")
+        if len(own):
+            indexes.append((w, codes[order], own[order]))
+    sent = contigs.sparkSession.sparkContext.broadcast((indexes, seqs, {c: table[c].astype(object).tolist() for c in names}))
+    longest = max(map(len, seqs), default=1)
+    key = ("sample", "contig_id")
+    schema = StructType([contigs.schema[c] for c in key] + [probes.schema[c] for c in names])
+    whole = contigs.where("seq <> ''").select(*key, F.col("seq").cast("binary").alias("whole"))
+    cut = whole.select(*key, "whole", F.explode(F.sequence(F.lit(0), F.length("whole") - 1, F.lit(WINDOW))).alias("offset"))
+    cut = cut.select(*key, piece(F.col("whole"), F.col("offset") + 1, WINDOW + longest - 1).alias("bin"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        indexes, seqs, labels = sent.value
+        for batch in batches:
+            bins = batch.column("bin").to_pylist()
+            ends = np.cumsum([len(b) for b in bins])
+            blob = b"".join(bins)
+            data = np.frombuffer(blob, dtype=np.uint8)
+            row = np.repeat(np.arange(len(bins)), [len(b) for b in bins])
+            met = set()
+            for w, codes, owner in indexes:
+                found = seed_codes(data, w)
+                first, last = (np.searchsorted(codes, found, side=s) for s in ("left", "right"))
+                for at in np.flatnonzero(last > first).tolist():
+                    r = int(row[at])
+                    for i in owner[first[at] : last[at]].tolist():
+                        end = at + len(seqs[i])
+                        if (r, i) not in met and end <= ends[r] and blob[at:end] == seqs[i]:
+                            met.add((r, i))
+            rows, own = zip(*met) if met else ((), ())
+            columns = [batch.column(c).take(pa.array(rows, pa.int64())) for c in key]
+            columns += [pa.array([labels[c][i] for i in own], pa.string()) for c in names]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return cut.mapInArrow(run, schema)

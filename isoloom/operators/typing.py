@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from isoloom.functions.dna import kmer_rows, piece, revcomp, windows
-from isoloom.operators.scan import collected, scan_families
+from isoloom.functions.dna import kmer_rows, piece, revcomp
+from isoloom.operators.scan import MAX_SEED, collected, scan_exact, scan_families
 from isoloom.operators.screen import MIN_SEEDS, SEED, gene_screen, shares
 from isoloom.session import BROADCAST_MAX_BYTES, by_sorting, bytes_within
 
@@ -27,8 +27,8 @@ def allele_exact(
     """``sample, contig_id, scheme, locus, allele`` where the allele or its reverse complement lies in the contig.
 
     The first bases of each allele are looked up among all contig positions and the whole allele is then compared.
-    Alleles too short for the usual seed use a shorter one, so none is left out. A seed table of proven size is
-    broadcast and the contigs are not shuffled; a larger one is joined by hash, and only candidates see the sequence.
+    Alleles too short for the usual seed use a shorter one, so none is left out. A library of proven size is sent to the
+    tasks and the contigs are not shuffled; a larger one is joined by hash, and only candidates see the sequence.
     """
     probes = alleles.select("scheme", "locus", "allele", F.upper("seq").alias("seq")).distinct()
     probes = probes.select(
@@ -37,9 +37,9 @@ def allele_exact(
     width = reduce(lambda chain, w: chain.when(F.length("probe") >= w, F.lit(w)), widths, F)
     probes = probes.withColumn("width", width)
     used = {r["width"]: r["longest"] for r in probes.groupBy("width").agg(F.max(F.length("probe")).alias("longest")).collect()}
-    small = bytes_within(probes, ["scheme", "locus", "allele", "probe"], max_bytes)
-    find = _find_in_windows if small else _find_by_shuffle
-    found = [find(contigs, probes.filter(F.col("width") == w), w, used[w]) for w in sorted(used)]
+    if max(used, default=0) <= MAX_SEED and bytes_within(probes, ["scheme", "locus", "allele", "probe"], max_bytes):
+        return scan_exact(contigs, probes, ("scheme", "locus", "allele"), sorted(used)).distinct()
+    found = [_find_by_shuffle(contigs, probes.filter(F.col("width") == w), w, used[w]) for w in sorted(used)]
     if not found:
         found = [_find_by_shuffle(contigs, probes, widths[0], widths[0])]
     return reduce(DataFrame.unionByName, found).distinct()
@@ -50,16 +50,6 @@ def _seeds(probes: DataFrame, width: int) -> DataFrame:
     return binary.withColumn("seed", F.xxhash64(piece(F.col("probe"), 1, width)))
 
 
-def _find_in_windows(contigs: DataFrame, probes: DataFrame, width: int, longest: int) -> DataFrame:
-    """Windows reach as far as the longest allele, so seeding and comparing happen in one place without a shuffle."""
-    key = ["sample", "contig_id"]
-    cut = windows(contigs, "seq", width, key, overhang=longest - width)
-    places = cut.select(*key, "_bin", F.explode(F.sequence(F.lit(1), F.col("_starts"))).alias("at"))
-    hashed = places.select(*key, "_bin", "at", F.xxhash64(piece(F.col("_bin"), F.col("at"), width)).alias("seed"))
-    hits = hashed.join(F.broadcast(_seeds(probes, width)), "seed")
-    return hits.filter(piece(F.col("_bin"), F.col("at"), F.col("size")) == F.col("probe")).select(*key, "scheme", "locus", "allele")
-
-
 def _find_by_shuffle(contigs: DataFrame, probes: DataFrame, width: int, longest: int) -> DataFrame:
     """Only hashes and positions meet the seeds; the sequence is joined back for the candidates."""
     key = ["sample", "contig_id"]
