@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from isoloom.functions.names import deposit_folder, sequencing_method
 from isoloom.functions.text import basename, is_given, plain_path
+from isoloom.operators.validation import primary_id
 from isoloom.session import by_sorting
 
 # Outputs per sample, with {sample} and {read} filled in.
@@ -21,27 +22,87 @@ SAMPLE_STAGES = {
     "mlst": "amr_mlst/{sample}_mlst.tsv",
     "resfinder": "amr_mlst/resfinder/{sample}/ResFinder_results.txt",
 }
+# Work files per sample that later stages are made from, and outputs per run; the last two in hospital mode.
+WORK_STAGES = {"trimmed": "trimmed/{sample}_r{read}.fastq.gz", "assembly": "assembly/{sample}/{sample}.fasta"}
+RUN_STAGES = {
+    "multiqc": "qc/multiqc.html", "summary": "report/{run}_combined.tsv",
+    "lab": "report/{run}_lab.csv", "deposit": "report/{run}_copies.txt",
+}
+HOSPITAL_STAGES = ("lab", "deposit")
+# What each stage is made from.
+MADE_FROM = {
+    "fastqc_trim": ("trimmed",), "kraken2": ("trimmed",), "counts": ("trimmed",), "assembly": ("trimmed",),
+    "quast": ("assembly",), "annotation": ("assembly",), "amrfinder": ("assembly", "annotation"), "mlst": ("assembly",),
+    "resfinder": ("assembly",), "multiqc": ("fastqc_raw", "fastqc_trim", "kraken2", "quast"),
+    "summary": ("amrfinder", "mlst", "resfinder"), "lab": ("summary",), "deposit": ("summary", "lab"),
+}
 READS = ("1", "2")
 STAGE_OF_SKIP = {"prokka": "annotation"}  # fixed value: switch name and the stage it turns off
 
 
-def stage_list(skip: tuple[str, ...] = ()) -> list[tuple[str, str, str]]:
+def stage_list(skip: tuple[str, ...] = (), patterns: dict[str, str] = SAMPLE_STAGES) -> list[tuple[str, str, str]]:
     """(stage, read, pattern) of every output a sample should have; read is empty where it does not apply."""
     off = {STAGE_OF_SKIP.get(s, s) for s in skip}
     return [
         (stage, read, pattern)
-        for stage, pattern in SAMPLE_STAGES.items()
+        for stage, pattern in patterns.items()
         if stage not in off
         for read in (READS if "{read}" in pattern else ("",))
     ]
 
 
-def expected_outputs(samples: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
-    """``sample, stage, read, path``: a fixed list of stages unfolded on each sample."""
-    stages = F.array(*[F.struct(F.lit(s).alias("stage"), F.lit(r).alias("read"), F.lit(p).alias("p")) for s, r, p in stage_list(skip)])
-    rows = samples.select("sample", F.explode(stages).alias("s"))
+def expected_outputs(samples: DataFrame, skip: tuple[str, ...] = (), patterns: dict[str, str] = SAMPLE_STAGES) -> DataFrame:
+    """``sample, stage, read, path``, after ``run`` where ``samples`` has it: a fixed list of stages unfolded on each
+    sample."""
+    stages = F.array(*[F.struct(F.lit(s).alias("stage"), F.lit(r).alias("read"), F.lit(p).alias("p")) for s, r, p in stage_list(skip, patterns)])
+    key = [c for c in ("run", "sample") if c in samples.columns]
+    rows = samples.select(*key, F.explode(stages).alias("s"))
     path = F.replace(F.replace(F.col("s.p"), F.lit("{sample}"), F.col("sample")), F.lit("{read}"), F.col("s.read"))
-    return rows.select("sample", "s.stage", "s.read", path.alias("path"))
+    return rows.select(*key, "s.stage", "s.read", path.alias("path"))
+
+
+def run_outputs(runs: DataFrame, mode: str = "normal") -> DataFrame:
+    """``run, stage, path`` of the outputs that a run as a whole should have."""
+    stages = [(s, p) for s, p in RUN_STAGES.items() if mode == "gva" or s not in HOSPITAL_STAGES]
+    rows = runs.select("run").distinct().select("run", F.inline(F.array(*[F.struct(F.lit(s).alias("stage"), F.lit(p).alias("p")) for s, p in stages])))
+    return rows.select("run", "stage", F.concat("run", F.lit("/"), F.replace("p", F.lit("{run}"), F.col("run"))).alias("path"))
+
+
+def followers(stage: str) -> list[str]:
+    """All stages that are made from ``stage``, directly or through others."""
+    found = [stage]
+    for name in found:
+        found += [s for s, parts in MADE_FROM.items() if name in parts and s not in found]
+    return found[1:]
+
+
+def resume_plan(samples: DataFrame, present: DataFrame, mode: str = "normal", skip: tuple[str, ...] = ()) -> DataFrame:
+    """What a resumed run has to make: ``run, sample, stage, reason``; sample is null for outputs of the run.
+
+    An output that is absent is ``missing``; whatever is made from it, for its sample or its run, ``follows`` even if it
+    is there. ``samples`` has run and sample; ``present`` (column ``path``) lists the files as ``<run>/<path>``. The
+    graph of stages is small and fixed, so its closure is a literal and each missing output is unfolded once; what
+    concerns the run is reduced to one row per run and stage before it is joined to anything.
+    """
+    mine = expected_outputs(samples, skip, {**SAMPLE_STAGES, **WORK_STAGES})
+    mine = mine.select("run", "sample", "stage", F.concat("run", F.lit("/"), "path").alias("path"))
+    wanted = mine.unionByName(run_outputs(samples, mode), allowMissingColumns=True)
+    absent = missing_outputs(wanted, present).select("run", "sample", "stage").distinct()
+    off = {STAGE_OF_SKIP.get(s, s) for s in skip} | (set() if mode == "gva" else set(HOSPITAL_STAGES))
+    stages = [s for s in (*SAMPLE_STAGES, *WORK_STAGES, *RUN_STAGES) if s not in off]
+    closure = F.create_map(*[x for s in stages for x in (F.lit(s), F.array(*[F.lit(f) for f in followers(s) if f not in off]).cast("array<string>"))])
+    after = absent.select("run", "sample", F.explode(closure[F.col("stage")]).alias("stage"))
+    of_run = F.col("stage").isin(*RUN_STAGES)
+    rows = absent.withColumn("rank", F.lit(0)).unionByName(
+        after.select("run", F.when(~of_run, F.col("sample")).alias("sample"), "stage", F.lit(1).alias("rank"))
+    )
+    first = rows.groupBy("run", "sample", "stage").agg(F.min("rank").alias("rank"))
+    return first.select("run", "sample", "stage", F.when(F.col("rank") == 0, "missing").otherwise("follows").alias("reason"))
+
+
+def sample_ids(sheet: DataFrame, wanted: str = "id") -> DataFrame:
+    """The sheet with ``sample``, taken from the wanted id column, or the first that is known to carry ids."""
+    return sheet.withColumn("sample", F.col(f"`{primary_id(sheet.columns, wanted)}`"))
 
 
 def missing_outputs(expected: DataFrame, present: DataFrame) -> DataFrame:

@@ -422,6 +422,25 @@ _q("scan_fastq_inventory",
 for _name in ("scan_fastq", "scan_fastq_plain"):
     _q(_name, READS, "SELECT sample, pair_id || '/' || mate AS read_id, seq, qual FROM reads")
 _q("scan_fasta", CONTIGS, "SELECT sample, contig_id AS id, contig_id || ' from ' || sample AS description, length(seq)::BIGINT AS bases, md5(seq) AS digest FROM contigs")
+# Fixed values, written out here so that the SQL doesn't rest on the code it checks.
+_MADE_FROM = (
+    "fastqc_trim<trimmed counts<trimmed assembly<trimmed quast<assembly annotation<assembly amrfinder<assembly amrfinder<annotation "
+    "mlst<assembly resfinder<assembly multiqc<fastqc_raw multiqc<fastqc_trim multiqc<quast summary<amrfinder summary<mlst "
+    "summary<resfinder lab<summary deposit<summary deposit<lab"
+)
+ORACLE["resume_plan"] = "WITH RECURSIVE " + SHEET.strip() + f""",
+edges AS (SELECT split_part(e, '<', 1) AS stage, split_part(e, '<', 2) AS part FROM (SELECT unnest(string_split('{_MADE_FROM}', ' ')) AS e)),
+closure AS (SELECT part AS origin, stage FROM edges UNION SELECT c.origin, e.stage FROM closure c JOIN edges e ON e.part = c.stage),
+samples AS (SELECT run, row_no, id2 || '_' || row_no AS sample FROM sheet WHERE illumina_r2 IS NOT NULL AND trim(id2) <> '' AND id IS NOT NULL),
+gone AS (
+  SELECT run, sample, 'trimmed' AS stage FROM samples WHERE row_no % 97 = 5 UNION ALL SELECT run, sample, 'assembly' FROM samples WHERE row_no % 89 = 7
+  UNION ALL SELECT run, sample, 'annotation' FROM samples WHERE row_no % 83 = 11
+  UNION ALL SELECT run, sample, unnest(['mlst', 'fastqc_raw']) FROM samples WHERE row_no % 79 = 13
+  UNION ALL SELECT DISTINCT run, NULL, 'summary' FROM samples WHERE right(run, 1) = '3'),
+rows AS (
+  SELECT *, 0 AS rank FROM gone
+  UNION ALL SELECT g.run, CASE WHEN c.stage NOT IN ('multiqc', 'summary', 'lab', 'deposit') THEN g.sample END, c.stage, 1 FROM gone g JOIN closure c ON c.origin = g.stage)
+SELECT run, sample, stage, CASE WHEN min(rank) = 0 THEN 'missing' ELSE 'follows' END AS reason FROM rows GROUP BY run, sample, stage"""
 _q("scan_alleles", ALLELES, "SELECT DISTINCT scheme, locus, allele, seq FROM alleles")
 _q("scan_profiles", PROFILES, "SELECT scheme, st, locus, allele FROM profiles")
 _HITS_OF = ' JOIN (SELECT sample AS "Sample", count(*) AS hits FROM hits GROUP BY 1) n USING ("Sample")'
