@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from isoloom.functions import dates, names, text
 from isoloom.operators import assembly, lab, pairing, qc, reads, screen, staging, summary, taxonomy, typing, validation
-from isoloom.plans import files, views
+from isoloom.plans import files, views, workflow
 from isoloom.session import scratch_path
 from isoloom.sinks import files as sinks
 from isoloom.sources import results, sequences
@@ -729,6 +729,25 @@ def gene_phenotype(spark, d):
     return screen.gene_phenotype(hits, catalogue, summary.concat_files([orders, extra.where("sample like 'O1%'")]))
 
 
+def _catalogue(genes: DataFrame) -> DataFrame:
+    """Symbol, type, scope and drug of each gene, by the number in its name."""
+    n = F.expr("cast(substring(gene, 5) as long)")
+    return genes.select(
+        "gene", F.concat(F.lit("sym"), _s(n % 9)).alias("symbol"), F.when(n % 3 == 0, "VIRULENCE").otherwise("AMR").alias("type"),
+        F.when(n % 2 == 0, "core").otherwise("plus").alias("scope"), F.concat(F.lit("class"), _s(n % 4)).alias("class"),
+        F.when(n % 5 != 0, F.concat(F.lit("drug"), _s(n % 7))).alias("antimicrobial"),
+    )
+
+
+@query
+def run_report(spark, d):
+    counts = views.reads(spark, d).groupBy("sample").agg(F.count_if(F.col("mate") == 1).alias("reads_r1"))
+    return workflow.report_from_contigs(
+        views.typing_contigs(spark, d), counts, views.alleles(spark, d), views.profiles(spark, d), views.genes(spark, d),
+        _catalogue(views.genes(spark, d)), SCREEN_K, MIN_READS,
+    )
+
+
 # --- taxa -----------------------------------------------------------------------------------------------------------
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from isoloom.plans import views as v
 from isoloom.plans.catalog import MIN_READS, MODEL, OVERVIEW, REPORTS, SCREEN_K, TEXT_TOKENS
 from isoloom.plans.files import DOCS_PER_CHUNK, READ_ENDINGS, ROWS_PER_CHUNK
@@ -649,6 +651,27 @@ walk AS (
   FROM walk w JOIN ranked r ON w.sample = r.sample AND w.contig_id = r.contig_id AND r.n = w.n + 1),
 chosen AS (SELECT sample, contig_id, unnest(kept) AS hit FROM walk QUALIFY row_number() OVER (PARTITION BY sample, contig_id ORDER BY n DESC) = 1)""",
    'SELECT sample, contig_id, hit.gene AS gene, hit.strand AS strand, hit.a AS start, hit.b AS "end", hit.coverage AS coverage, hit.identity AS identity FROM chosen')
+_FEW = f"few AS (SELECT sample FROM reads GROUP BY sample HAVING count(*) FILTER (mate = 1) <= {MIN_READS})"
+_BEST = ORACLE["best_scheme"][ORACLE["best_scheme"].index("scores AS ("):ORACLE["best_scheme"].rindex("SELECT s.sample")].strip()
+_WALK = ORACLE["best_hit_per_locus"][ORACLE["best_hit_per_locus"].index("ranked AS ("):ORACLE["best_hit_per_locus"].rindex("SELECT sample, contig_id, hit.gene")].strip()
+_AGAIN = re.sub(r"\b(strands|seeds|parts|places|diagonals|laps|cut|scored|hits)\b", r"\1_g", _screen("typed_contigs", "genes", 0.6, 0.8))
+ORACLE["run_report"] = "WITH RECURSIVE " + READS.strip() + ", " + _FEW + "," + TYPES.replace("typed_contigs AS (", "all_contigs AS (", 1).replace(
+    "exact AS (", "typed_contigs AS (SELECT * FROM all_contigs WHERE sample NOT IN (SELECT sample FROM few)),\nexact AS (", 1
+) + ", " + _BEST + ", genes AS (SELECT 'gene' || allele AS gene, seq FROM alleles)," + _AGAIN + "," + _WALK.replace("FROM hits)", "FROM hits_g)") + """,
+book AS (SELECT 'gene' || item_id AS gene, 'sym' || (item_id % 9) AS symbol, CASE WHEN item_id % 3 = 0 THEN 'VIRULENCE' ELSE 'AMR' END AS type,
+  CASE WHEN item_id % 2 = 0 THEN 'core' ELSE 'plus' END AS scope, 'class' || (item_id % 4) AS class, CASE WHEN item_id % 5 <> 0 THEN 'drug' || (item_id % 7) END AS drug FROM library),
+said AS (SELECT sample, symbol, type, scope, class, drug, row_number() OVER (ORDER BY contig_id, hit.a, gene, hit.strand) AS ord FROM chosen JOIN book ON hit.gene = gene),
+samples AS (SELECT sample FROM all_contigs UNION SELECT sample FROM reads),
+amr AS (SELECT sample, string_agg(symbol, ' ' ORDER BY ord) FILTER (kind = 'AMR') AS a, string_agg(symbol, ' ' ORDER BY ord) FILTER (kind = 'VIRULENCE') AS v,
+  string_agg(symbol, ' ' ORDER BY ord) FILTER (kind = 'core') AS c FROM (
+    SELECT sample, symbol, kind, min(ord) AS ord FROM (SELECT sample, symbol, type AS kind, ord FROM said UNION ALL SELECT sample, symbol, scope, ord FROM said) GROUP BY ALL) GROUP BY sample),
+per_class AS (SELECT sample, class, string_agg(drug, '-' ORDER BY drug) || '[' || class || ']' AS t FROM (
+  SELECT DISTINCT sample, class, drug FROM said WHERE type = 'AMR' AND drug IS NOT NULL) GROUP BY sample, class),
+pheno AS (SELECT sample, string_agg(t, ' ' ORDER BY class) AS p FROM per_class GROUP BY sample)
+SELECT s.sample AS "Sample", b.scheme AS "Scheme_mlst", b.st AS "ST", b.alleles AS "MLST",
+  CASE WHEN amr.sample IS NOT NULL THEN coalesce(a, '') END AS "AMR", CASE WHEN amr.sample IS NOT NULL THEN coalesce(v, '') END AS "VIRULENCE",
+  CASE WHEN amr.sample IS NOT NULL THEN coalesce(c, '') END AS "SCOPE_core", coalesce(a, '') AS "GENE_resfinder", coalesce(p, '') AS "PHENO_resfinder"
+FROM samples s LEFT JOIN best b ON b.sample = s.sample LEFT JOIN amr ON amr.sample = s.sample LEFT JOIN pheno ON pheno.sample = s.sample"""
 _q("gene_phenotype", """
 catalogue AS (SELECT DISTINCT p_brand || '_' || p_type || '_' || p_size AS gene, p_type AS class, split_part(p_name, ' ', 2) AS antimicrobial FROM part),
 found AS (SELECT DISTINCT 'O' || (l_orderkey // 4) AS sample, p_brand || '_' || p_type || '_' || p_size AS gene FROM lineitem JOIN part ON l_partkey = p_partkey),

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoloom.functions.text import basename
-from isoloom.operators import lab, pairing, summary, validation
+from isoloom.operators import lab, pairing, reads, screen, summary, typing, validation
+from isoloom.session import by_sorting
 from isoloom.sinks import files as sinks
 from isoloom.sources import results
 from isoloom.sources.sheet import scan_numbered_sheet
@@ -56,6 +57,32 @@ def report_from_results(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def report_from_contigs(
+    contigs: DataFrame, counts: DataFrame, alleles: DataFrame, profiles: DataFrame, genes: DataFrame, catalogue: DataFrame,
+    k: int = typing.SEED, min_reads: int = reads.MIN_READS,
+) -> DataFrame:
+    """The combined report straight from contigs: sequence types, genes found and the drugs they speak against.
+
+    ``counts`` has ``sample, reads_r1``: contigs of a counted sample with too few reads are not looked at, but the sample
+    keeps its row. ``catalogue`` tells for each gene its symbol, type and scope, and the class and antimicrobial that it
+    stands for (null where there is none); a gene may have several. Of genes that overlap, the best is reported. The
+    order of symbols is that of the places in the contigs.
+    """
+    few = counts.select("sample").exceptAll(reads.min_reads_gate(counts, min_reads).select("sample"))
+    used = contigs.join(by_sorting(few), "sample", "left_anti")
+    samples = contigs.select("sample").unionByName(counts.select("sample")).distinct()
+    calls = typing.call_types(used, alleles, profiles, k).where("scheme <> '-'")
+    found = screen.best_hit_per_locus(screen.gene_screen(used, genes, k=k))
+    labels = catalogue.select("gene", "symbol", "type", "scope").distinct()
+    place = F.struct("contig_id", "start", "gene", "strand").alias("line_no")
+    hits = found.select("sample", "gene", place).join(by_sorting(labels), "gene").select("sample", "type", "scope", "symbol", "line_no")
+    resistant = hits.where(F.col("type") == "AMR").select("sample", F.col("symbol").alias("gene"), "line_no")
+    drugs = catalogue.where("type = 'AMR' and antimicrobial is not null").select("gene", "class", "antimicrobial").distinct()
+    pheno = screen.gene_phenotype(found.select("sample", "gene"), drugs, samples)
+    pheno = pheno.withColumn("line_no", F.col("antimicrobial"))
+    return summary.combined_report(calls, hits, resistant, pheno, samples)
+
+
 def write_reports(spark: SparkSession, sheet: DataFrame, results_folder: str, out: str, run: str, store: str | None = None) -> None:
     """Combined report as tab text and, with a store, the laboratory report."""
     report = report_from_results(spark, results_folder)
