@@ -220,7 +220,8 @@ def spans(docs: DataFrame, length: int = 400) -> DataFrame:
     rows = _keyed(docs)
     found = settle(_anchor_rows(rows, length), "anchors")
     grams = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("context").alias("c1"), F.max("context").alias("c2"))
-    grams = grams.where("n > 1").select("gram", (F.col("c1") != F.col("c2")).alias("open"))
+    grams = settle(grams.where("n > 1").select("gram", (F.col("c1") != F.col("c2")).alias("open")), "grams")
+    # Settled sides: a gram in very many places is dealt to several tasks.
     shared = settle(found.join(by_sorting(grams), "gram"), "shared")
     kinds = shared.where("open").groupBy("gram", "context").agg(
         F.count("*").alias("n"), F.min(F.struct("doc_key", "low", "high")).alias("one")
