@@ -65,8 +65,11 @@ def per_base_quality(staged_reads: DataFrame) -> DataFrame:
     Bases are first counted per quality value inside the map tasks, so the shuffle carries positions times quality
     values, and the quantiles are taken from those counts.
     """
-    key = ("stage", *FILE_KEY, "pos")
     histogram = position_counts(staged_reads, ["stage", *FILE_KEY], "qual").withColumn("q", F.col("letter") - OFFSET)
+    return _quality_points(histogram, ["stage", *FILE_KEY, "pos"])
+
+
+def _quality_points(histogram: DataFrame, key: list[str]) -> DataFrame:
     points = F.percentile("q", F.array(*[F.lit(p) for p in QUANTILES.values()]), F.col("n"))
     out = histogram.groupBy(*key).agg(
         F.sum("n").alias("bases"), (F.sum(F.col("q") * F.col("n")) / F.sum("n")).alias("mean"), points.alias("points")
@@ -82,20 +85,31 @@ def per_read_quality(reads: DataFrame) -> DataFrame:
     return scored.groupBy(*FILE_KEY, F.expr("t div n").alias("mean_quality")).agg(F.count("*").alias("reads"))
 
 
-def base_counts(reads: DataFrame) -> DataFrame:
+def _by_base(counts: DataFrame) -> DataFrame:
     of = lambda b: F.coalesce(F.sum(F.when(F.col("letter") == ord(b), F.col("n"))), F.lit(0)).alias(b)
-    return position_counts(reads, list(FILE_KEY), "seq").groupBy(*FILE_KEY, "pos").agg(F.sum("n").alias("bases"), *map(of, "ACGTN"))
+    return counts.groupBy(*FILE_KEY, "pos").agg(F.sum("n").alias("bases"), *map(of, "ACGTN"))
+
+
+def base_counts(reads: DataFrame) -> DataFrame:
+    return _by_base(position_counts(reads, list(FILE_KEY), "seq"))
 
 
 def base_content(reads: DataFrame) -> DataFrame:
     """Share of each base per position, in percent."""
+    return _base_shares(base_counts(reads))
+
+
+def _base_shares(counts: DataFrame) -> DataFrame:
     share = lambda b: F.round(F.col(b) * 100.0 / F.col("bases"), 6).alias(f"pct_{b.lower()}")
-    return base_counts(reads).select(*FILE_KEY, "pos", *[share(b) for b in "ACGTN"])
+    return counts.select(*FILE_KEY, "pos", *[share(b) for b in "ACGTN"])
 
 
 def n_content(reads: DataFrame) -> DataFrame:
-    counted = base_counts(reads).withColumnRenamed("N", "n")
-    return counted.select(*FILE_KEY, "pos", F.round(F.col("n") * 100.0 / F.col("bases"), 6).alias("pct_n"))
+    return _n_share(base_counts(reads))
+
+
+def _n_share(counts: DataFrame) -> DataFrame:
+    return counts.select(*FILE_KEY, "pos", F.round(F.col("N") * 100.0 / F.col("bases"), 6).alias("pct_n"))
 
 
 def gc_distribution(reads: DataFrame) -> DataFrame:
@@ -139,6 +153,73 @@ def overrepresented(reads: DataFrame, percent: float = 0.1) -> DataFrame:
     )
 
 
+PROFILE = ("quality", "base", "length", "gc", "read")
+
+
+def read_profile(reads: DataFrame) -> DataFrame:
+    """``sample, mate, kind, at, value, n``: everything that is counted per read or base, from one scan and one shuffle of
+    counts. Kinds: ``quality`` (position, quality), ``base`` (position, letter code), ``length`` (length), ``gc``
+    (rounded percent) and ``read`` (mean quality, whole part); ``value`` is 0 where one number says it.
+
+    Counts of a task are added up in bounded pieces of a batch; profiles of parts of the data may be stacked and added up
+    again, as ``add_profiles`` does."""
+    shape = StructType([reads.schema[k] for k in FILE_KEY]).add("kind", "string").add("at", "long").add("value", "long").add("n", "long")
+
+    def run(batches):
+        for batch in batches:
+            frame = batch.select(list(FILE_KEY)).to_pandas()
+            file = frame.groupby(list(FILE_KEY), sort=False, dropna=False).ngroup().to_numpy()
+            first = np.unique(file, return_index=True)[1]
+            seqs, quals = ([t.encode() if t else b"" for t in batch.column(c).to_pylist()] for c in ("seq", "qual"))
+            ends = np.cumsum([len(s) + len(q) for s, q in zip(seqs, quals)])
+            begin = 0
+            while begin < len(seqs):
+                stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + LETTERS_AT_ONCE)))
+                for kind, own, at, value in _counted(file[begin:stop], seqs[begin:stop], quals[begin:stop]):
+                    code, n = np.unique(own.astype(np.int64) << 40 | at << 8 | value, return_counts=True)
+                    rows = batch.select(list(FILE_KEY)).take(pa.array(first[code >> 40]))
+                    columns = [pa.array([kind] * len(n), pa.string()), pa.array(code >> 8 & 0xFFFFFFFF), pa.array(code & 255), pa.array(n)]
+                    yield pa.RecordBatch.from_arrays([*rows.columns, *columns], names=shape.names)
+                begin = stop
+
+    return add_profiles(reads.select(*FILE_KEY, "seq", "qual").mapInArrow(run, shape))
+
+
+def _counted(file: np.ndarray, seqs: list[bytes], quals: list[bytes]):
+    """(kind, file, at, value) of each thing to be counted in these reads."""
+    for kind, texts in (("base", seqs), ("quality", quals)):
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        letters = np.frombuffer(b"".join(texts), dtype=np.uint8).astype(np.int64)
+        starts = np.cumsum(sizes) - sizes
+        place = np.arange(len(letters)) - np.repeat(starts, sizes) + 1
+        some = sizes > 0
+        sums = lambda x: np.concatenate([[0], np.cumsum(x)])[starts + sizes] - np.concatenate([[0], np.cumsum(x)])[starts]
+        if kind == "base":
+            yield "base", np.repeat(file, sizes), place, letters
+            yield "length", file, sizes, np.zeros(len(sizes), dtype=np.int64)
+            twice = 200 * sums((letters == 71) | (letters == 67))[some] + sizes[some]  # halves are rounded up
+            yield "gc", file[some], twice // (2 * sizes[some]), np.zeros(some.sum(), dtype=np.int64)
+        else:
+            yield "quality", np.repeat(file, sizes), place, letters - OFFSET
+            yield "read", file[some], sums(letters - OFFSET)[some] // sizes[some], np.zeros(some.sum(), dtype=np.int64)
+
+
+def add_profiles(profiles: DataFrame) -> DataFrame:
+    return profiles.groupBy(*FILE_KEY, "kind", "at", "value").agg(F.sum("n").alias("n"))
+
+
+def profile_tables(profile: DataFrame) -> dict[str, DataFrame]:
+    """The six tables of read quality from one profile, which should be settled before: it is read for each of them."""
+    of = lambda kind: profile.where(F.col("kind") == kind)
+    one = lambda kind, name: of(kind).select(*FILE_KEY, F.col("at").alias(name), F.col("n").alias("reads"))
+    bases = of("base").select(*FILE_KEY, F.col("at").alias("pos"), F.col("value").alias("letter"), "n")
+    quality = of("quality").select(*FILE_KEY, F.col("at").alias("pos"), F.col("value").alias("q"), "n")
+    return {
+        "per_base_quality": _quality_points(quality, [*FILE_KEY, "pos"]), "base_content": _base_shares(_by_base(bases)), "n_content": _n_share(_by_base(bases)),
+        "length_distribution": one("length", "length"), "gc_distribution": one("gc", "gc_percent"), "per_read_quality": one("read", "mean_quality"),
+    }
+
+
 def long_metrics(table: DataFrame, stage: str, columns: list[str]) -> DataFrame:
     """``sample, stage, metric, value`` from one column per metric."""
     wide = table.select("sample", *[F.col(c).cast("double").alias(c) for c in columns])

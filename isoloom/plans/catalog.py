@@ -612,6 +612,11 @@ def min_reads_gate(spark, d):
     return reads.min_reads_gate(counts, MIN_READS)
 
 
+@query
+def read_profile(spark, d):
+    return qc.read_profile(views.reads(spark, d))
+
+
 @query
 def per_base_quality(spark, d):
     return qc.per_base_quality(qc.staged(views.reads(spark, d)))

@@ -611,6 +611,14 @@ _q("filter_summary", JUDGED, "SELECT * FROM summary")
 _q("read_count", READS, """SELECT sample, count(r.mate)::BIGINT AS reads, count(*) FILTER (r.mate = 1) AS reads_r1, count(*) FILTER (r.mate = 2) AS reads_r2
   FROM (SELECT source AS sample FROM documents UNION SELECT p_type FROM part) s LEFT JOIN reads r USING (sample) GROUP BY sample""")
 _q("min_reads_gate", READS, f"SELECT sample, count(*) FILTER (mate = 1) AS reads_r1, count(*) AS reads FROM reads GROUP BY sample HAVING reads_r1 > {MIN_READS}")
+_q("read_profile", TRIM + """,
+counted AS (
+  SELECT sample, mate, 'base' AS kind, i AS at_, ascii(substr(seq, i, 1)) AS value FROM (SELECT sample, mate, seq, unnest(range(1, length(seq) + 1)) AS i FROM reads)
+  UNION ALL SELECT sample, mate, 'quality', unnest(range(1, len(q) + 1)), unnest(q) FROM quals
+  UNION ALL SELECT sample, mate, 'length', length(seq), 0 FROM reads
+  UNION ALL SELECT sample, mate, 'gc', (200 * (length(seq) - length(translate(seq, 'GC', ''))) + length(seq)) // (2 * length(seq)), 0 FROM reads WHERE seq <> ''
+  UNION ALL SELECT sample, mate, 'read', list_sum(q) // len(q), 0 FROM quals WHERE len(q) > 0)""",
+   'SELECT sample, mate, kind, at_::BIGINT AS "at", value::BIGINT AS value, count(*) AS n FROM counted GROUP BY ALL')
 _q("per_base_quality", TRIM + """,
 both_stages AS (SELECT 'raw' AS stage, sample, mate, q FROM quals UNION ALL SELECT 'trimmed', sample, mate, q FROM trimmed),
 values0 AS (SELECT stage, sample, mate, unnest(range(1, len(q) + 1)) AS pos, unnest(q) AS x FROM both_stages)""",

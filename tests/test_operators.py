@@ -399,3 +399,21 @@ def test_lab_report_of_a_sheet_with_types(rows):
     report = rows(", ".join(f"{c} string" for c in summary.REPORT_COLUMNS), ("a", "sch", "7", "l(1)", None, "v", "g", "r", "p"))
     got = {r["CODIGO_MUESTRA_ORIGEN"]: r for r in lab.lab_report(sheet, report, "id", F.lit("x"), "/s").collect()}
     assert (got["a"]["ST_WGS"], got["a"]["R_Geno_WGS"], got["b"]["ST_WGS"], got["b"]["R_Geno_WGS"]) == ("7", "old", "8", None)
+
+
+def test_one_profile_gives_all_read_tables(spark, rows, monkeypatch):
+    monkeypatch.setattr(qc, "LETTERS_AT_ONCE", 50)
+    rng = random.Random(8)
+    some = [("s%d" % rng.randrange(2), rng.randrange(1, 3), "".join(rng.choice("ACGTN") for _ in range(n))) for n in (0, 1, 2, 3, 8, 8, 30, 41, 100, 7)]
+    reads = rows("sample string, mate int, seq string, qual string", *[(s, m, t, "".join(chr(33 + rng.randrange(42)) for _ in t)) for s, m, t in some], ("s0", 1, None, None))
+    profile = qc.read_profile(reads)
+    tables = qc.profile_tables(profile)
+    one_by_one = {
+        "per_base_quality": qc.per_base_quality(reads.withColumn("stage", F.lit("raw"))).drop("stage"), "base_content": qc.base_content(reads), "n_content": qc.n_content(reads),
+        "gc_distribution": qc.gc_distribution(reads), "per_read_quality": qc.per_read_quality(reads), "length_distribution": qc.length_distribution(reads.where("seq is not null").unionByName(reads.where("seq is null").fillna("", ["seq"]))),
+    }
+    assert tables.keys() == one_by_one.keys()
+    for name, want in one_by_one.items():
+        assert sorted(map(tuple, tables[name].select(want.columns).collect())) == sorted(map(tuple, want.collect())), name
+    twice = {tuple(r)[:-1]: r["n"] for r in qc.add_profiles(profile.unionByName(profile)).collect()}
+    assert twice == {tuple(r)[:-1]: 2 * r["n"] for r in profile.collect()}
