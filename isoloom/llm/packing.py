@@ -18,6 +18,7 @@ interchangeable. An empty table gives an empty result. Extra columns are ignored
 from __future__ import annotations
 
 import base64
+import os
 import zlib
 from dataclasses import dataclass
 from functools import lru_cache
@@ -44,11 +45,16 @@ class WordCache(dict):
 
     A space between two characters that aren't white space always starts a new unit of the byte-level scheme, so words
     are encoded apart and remembered; a text with any other space is encoded whole. ``ranks_path`` holds the same
-    vocabulary as the tokenizer file in a form whose encoder is quicker for single words; ids are equal (tested)."""
+    vocabulary as the tokenizer file in a form whose encoder is quicker for single words; ids are equal (tested). A text
+    that holds an added token of the tokenizer file is encoded by that tokenizer itself."""
 
-    def __init__(self, ranks_path: str, pattern: str) -> None:
+    def __init__(self, tokenizer_path: str, ranks_path: str, pattern: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tiktoken
+        from tokenizers import Tokenizer
 
+        self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
         coder = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
@@ -66,6 +72,8 @@ class WordCache(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
+        if any(token in text for token in self.added):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         head, *rest = text.split(" ")
         if not head or head[-1].isspace() or "\0" in text:
             return self.whole(text)
@@ -76,12 +84,12 @@ class WordCache(dict):
 
 
 @lru_cache(maxsize=1)
-def word_cache(ranks_path: str, pattern: str) -> WordCache:
+def word_cache(tokenizer_path: str, ranks_path: str, pattern: str) -> WordCache:
     """One per Python worker; it lives as long as the worker."""
-    return WordCache(ranks_path, pattern)
+    return WordCache(tokenizer_path, ranks_path, pattern)
 
 
-def pieces(docs: DataFrame, ranks_path: str, pattern: str, tokens: int = 1024, end_id: int = 2) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_path: str, ranks_path: str, pattern: str, tokens: int = 1024, end_id: int = 2) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32; part and place tell it from others of its length.
 
     Only documents longer than ``tokens`` are cut; of theirs, the first piece takes what doesn't fill a sequence."""
@@ -91,7 +99,7 @@ def pieces(docs: DataFrame, ranks_path: str, pattern: str, tokens: int = 1024, e
     def run(batches):
         import pyarrow as pa
 
-        cache, part = word_cache(ranks_path, pattern), TaskContext.get().partitionId()
+        cache, part = word_cache(tokenizer_path, ranks_path, pattern), TaskContext.get().partitionId()
         seen = [0] * (tokens + 1)
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()

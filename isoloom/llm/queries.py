@@ -45,8 +45,8 @@ def packed(spark: SparkSession, docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
     small_batches(spark)
-    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    return packing.pack(packing.pieces(docs, ranks, pattern))
+    tokenizer, ranks = map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken"))
+    return packing.pack(packing.pieces(docs, tokenizer, ranks, public_tokenizers.PATTERN))
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -124,12 +124,14 @@ def test_packing_ids_and_bins(spark):
 
     rng = random.Random(5)
     texts = [None, "", " ", "  two  blanks ", "tab\tand\nline \n end", "Übung macht den Meister. ", "<|endoftext|> a", "a\0b \0 c", "x" * 5000]
+    texts += ["in the <|endoftext|> middle", "<|endoftext|>", "a<|endoftext|>b <|endoftext|>", "x " * 1500 + "<|endoftext|>", "<|endoftext |>"]
     texts += [words(rng, rng.randrange(1, 900)) for _ in range(60)] + ["same text"] * 5
     docs = docs_of(spark, texts).unionByName(docs_of(spark, texts[9:12], first=9))
-    cut = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    files = [*map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN]
+    cut = packing.pieces(docs, *files)
     rows = packing.pack(cut).collect()
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
+    assert tokenizer.encode("<|endoftext|> a", add_special_tokens=False).ids == [50256, 257]
     by_doc = {}
     for r in rows:
         by_doc.setdefault(r["doc_id"], {})[r["piece"]] = r
@@ -144,7 +146,7 @@ def test_packing_ids_and_bins(spark):
     assert len(rows) == sum(len(p) for p in by_doc.values()) + sum(len(by_doc[i]) for i in (9, 10, 11))
     total = sum(r["length"] for r in rows)
     assert check_bins(rows, packing.Capacity()) <= -(-total // 1024) + 1
-    assert packing.pack(packing.pieces(docs.limit(0), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)).count() == 0
+    assert packing.pack(packing.pieces(docs.limit(0), *files)).count() == 0
 
 
 @pytest.mark.parametrize("rule", ["norm", "dot"])
@@ -238,6 +240,31 @@ def test_ngram_join_equals_brute_force(spark, monkeypatch, n, percent):
     assert ngram_join.link(docs.limit(0), n, percent).count() == 0
 
 
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_ngram_join_of_a_family(spark, monkeypatch, rounds):
+    """500 near copies of one text, of which only some pairs reach the threshold, and looser relatives."""
+    monkeypatch.setattr(ngram_join, "STAR_ROUNDS", rounds)
+    monkeypatch.setattr(ngram_join, "GROUP", 16)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for k in range(560):
+        copy = list(base)
+        for _ in range(rng.randrange(1, 6) if k < 500 else rng.randrange(8, 20)):
+            copy[rng.randrange(len(copy))] = f"x{rng.randrange(4000)}"
+        texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    texts += texts[:5]
+    sets = [shingles(t, 3) for t in texts]
+    links = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])]
+    want = roots(range(len(texts)), links)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.link(docs_of(spark, texts), 3, 90).collect()}
+    assert got == want and 5 < len(set(want.values())) < 400
+    repeated = docs_of(spark, texts).unionByName(docs_of(spark, texts[:50]))
+    again = {(r["doc_id"], r["component_id"]) for r in ngram_join.link(repeated, 3, 90).collect()}
+    assert again == set(want.items())
+
+
 # --- fingerprints ---------------------------------------------------------------------------------------------------
 
 
