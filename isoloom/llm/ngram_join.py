@@ -7,11 +7,13 @@ A document is the set of its distinct word shingles. Documents with equal sets f
    done. Sizes are cut into bands, which fix the number of slices, and a set enters all bands in reach of its size.
 2. The same is asked once more of single shingles among the classes left. Shingles are then ordered from rare to common,
    so that what many share comes last. The classes left are partitioned into groups of similar ones (equal least hashes), ``GROUP`` classes at most.
-3. The matrix holds, as rows (shingle, group), the union of the prefixes of each group's sets in that order. A set and
-   its partner share at least ``PREFIX_HITS`` shingles of their prefixes, so the overlap of a query's prefix with a
-   union bounds what the query can have in common with any member. Only groups that reach the bound and whose sizes
-   suit are opened.
-4. Opened groups are compared exactly, in chunks of queries; each chunk returns one edge per member of a component.
+3. Members of a group are compared first. Then, in a few rounds, each class meets the group it shares most with among
+   those of the least components that hold its shingles: a family of near copies becomes one component or few.
+4. The matrix holds, as rows (shingle, component) and (shingle, group), the union of the prefixes of their sets in that
+   order. A set and its partner share at least ``PREFIX_HITS`` shingles of their prefixes, so the overlap of a query's
+   prefix with a union bounds what the query can have in common with any member. Components that reach the bound and
+   whose sizes suit are opened, and of these the groups that do; members of one component need not meet any more.
+5. Opened groups are compared exactly, in chunks of queries; each chunk returns one edge per member of a component.
 
 No pair is lost: every step drops only what can't reach the threshold. Hash values have 64 bits; sets are told apart by
 128. Null and empty texts have an empty set and are linked with nothing. Rows that share an id are one node. Null ids
@@ -30,6 +32,7 @@ from isoloom.session import broadcast_if_small, by_sorting
 GROUP = 64
 QUERY_CHUNK = 256
 PREFIX_HITS = 4
+STAR_ROUNDS = 3  # they save work; the links left are found by the bounds
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -178,6 +181,63 @@ def _open(frame, percent: int):
     return pd.DataFrame({"a": ids[moved], "b": ids[label[moved]]})
 
 
+def _rooted(prefixes: DataFrame, members: DataFrame, edges: DataFrame) -> DataFrame:
+    """The prefixes with the component of each class as far as it is known (``root``) and the component's size."""
+    known = connected_components(edges, "known").withColumnRenamed("node", "rep")
+    ids = members.select("cid", "rep").distinct()
+    roots = settle(ids.join(by_sorting(known), "rep", "left").select("cid", F.coalesce("component", "rep").alias("root")), "roots")
+    sizes = settle(roots.groupBy("root").agg(F.count("*").alias("size")), "sizes")
+    return prefixes.join(by_sorting(settle(roots.join(by_sorting(sizes), "root"), "sized-roots")), "cid")
+
+
+def _stars(rooted: DataFrame) -> DataFrame:
+    """For each class the group it shares most shingles with, when each shingle counts for the least component that holds
+    it alone: as many rows as prefixes, however many classes hold a shingle. What is found here need not be met again."""
+    hubs = rooted.groupBy("shingle").agg(F.min(F.struct("root", "grp")).alias("hub"), F.max("root").alias("other"))
+    hubs = settle(hubs.where("hub.root <> other").select("shingle", F.col("hub.root").alias("hub"), F.col("hub.grp").alias("at")), "hubs")
+    meet = rooted.join(by_sorting(hubs), "shingle").where("root <> hub").groupBy("cid", "at").agg(F.count("*").alias("hits"))
+    best = meet.groupBy("cid").agg(F.max(F.struct("hits", "at")).alias("best"))
+    return best.where(f"best.hits >= {PREFIX_HITS}").select("cid", F.col("best.at").alias("grp"))
+
+
+def _bounded(rooted: DataFrame, percent: int) -> DataFrame:
+    """Every class and group of another component that may hold a partner of it: cid, grp.
+
+    The matrix is asked twice, by components and then by the groups of those that qualify, so a family that is one
+    component by now is one entry. Of two components the smaller one asks: what a pair shares, both sides share."""
+    def qualify(met: DataFrame, by: str) -> DataFrame:
+        bounds = met.groupBy("cid", "n", by).agg(F.count("*").alias("hits"), F.min("least").alias("least"), F.max("most").alias("most"))
+        return bounds.where(
+            f"hits >= least({PREFIX_HITS}, cast(ceil({percent} * n / 100) as long)) and {percent} * n <= 100 * most and {percent} * least <= 100 * n"
+        ).select("cid", by)
+
+    range_of_sizes = F.min("n").alias("least"), F.max("n").alias("most")
+    matrix = rooted.groupBy("shingle", F.col("root").alias("other"), F.col("size").alias("other_size")).agg(*range_of_sizes)
+    seen = rooted.groupBy("shingle").agg(F.min("root").alias("g1"), F.max("root").alias("g2")).where("g1 <> g2").select("shingle")
+    asking = rooted.join(by_sorting(seen), "shingle", "leftsemi")
+    smaller = (F.col("size") < F.col("other_size")) | ((F.col("size") == F.col("other_size")) & (F.col("root") < F.col("other")))
+    near = settle(qualify(asking.join(by_sorting(matrix), "shingle").where(smaller), "other"), "near")
+    groups = settle(rooted.groupBy("shingle", F.col("root").alias("other"), "grp").agg(*range_of_sizes), "groups")
+    shared = near.join(by_sorting(rooted.select("cid", "n", "shingle")), "cid")
+    return qualify(shared.join(by_sorting(groups), ["other", "shingle"]), "grp")
+
+
+def _compared(members: DataFrame, opened: DataFrame | None, percent: int) -> DataFrame:
+    """Edges (a, b) between the classes ``cid`` and the members of the groups ``grp`` opened for them, or, with none,
+    between the members of each group."""
+    kind = members.schema["rep"].dataType.simpleString()
+    if opened is None:
+        several = settle(members.groupBy("grp").agg(F.count("*").alias("held")).where("held > 1").select("grp"), "several")
+        rows = members.join(by_sorting(several), "grp").select("grp", F.lit(0).alias("chunk"), "rep", "shingles", F.lit(True).alias("member"))
+    else:
+        chunks = settle(opened.groupBy("grp").agg(F.expr(f"cast(ceil(count(*) / {QUERY_CHUNK}) as int)").alias("chunks")), "chunks")
+        asked = opened.join(by_sorting(chunks), "grp").select("cid", "grp", F.expr("cast(pmod(cid, chunks) as int)").alias("chunk"))
+        asked = asked.join(by_sorting(members.drop("grp")), "cid").select("grp", "chunk", "rep", "shingles", F.lit(False).alias("member"))
+        own = members.join(by_sorting(chunks), "grp").select("grp", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "rep", "shingles", F.lit(True).alias("member"))
+        rows = own.unionByName(asked)
+    return rows.groupBy("grp", "chunk").applyInPandas(lambda f: _open(f, percent), f"a {kind}, b {kind}")
+
+
 def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; documents link when their Jaccard similarity is at least
     ``percent`` per cent (of shingles of ``words`` words)."""
@@ -209,32 +269,22 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     shingles = grouped.select("cid", "n", "grp", F.explode("shingles").alias("shingle"))
     common = shingles.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1")
     ordered = shingles.join(by_sorting(common), "shingle").groupBy("cid", "n", "grp").agg(
-        F.array_sort(F.collect_list(F.struct("held", "shingle"))).alias("ordered")
+        F.array_sort(F.collect_set(F.struct("held", "shingle"))).alias("ordered")
     )
     length = F.expr(f"n - cast(ceil({percent} * n / 100) as long) + {PREFIX_HITS} - (n - size(ordered))")
     prefixes = ordered.select("cid", "n", "grp", F.inline(F.slice("ordered", F.lit(1), F.greatest(length, F.lit(0)).cast("int"))))
     prefixes = settle(prefixes.drop("held"), "prefixes")
-    matrix = prefixes.groupBy("shingle", "grp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    seen = prefixes.groupBy("shingle").agg(F.min("grp").alias("g1"), F.max("grp").alias("g2")).where("g1 <> g2").select("shingle")
-    queries = prefixes.join(by_sorting(seen), "shingle", "leftsemi").withColumnRenamed("grp", "own")
-    bounds = queries.join(by_sorting(matrix), "shingle").where("own <> grp")
-    bounds = bounds.groupBy("cid", "n", "grp").agg(F.count("*").alias("hits"), F.min("least").alias("least"), F.max("most").alias("most"))
-    opened = bounds.where(
-        f"hits >= least({PREFIX_HITS}, cast(ceil({percent} * n / 100) as long)) and {percent} * n <= 100 * most and {percent} * least <= 100 * n"
-    ).select("cid", "grp")
-    opened = settle(opened, "opened")
-    chunks = opened.groupBy("grp").agg(F.expr(f"cast(ceil(count(*) / {QUERY_CHUNK}) as int)").alias("chunks"))
-    asked = opened.join(by_sorting(chunks), "grp").select("cid", "grp", F.expr("cast(pmod(cid, chunks) as int)").alias("chunk"))
-    asked = asked.join(by_sorting(grouped.drop("grp")), "cid").select("grp", "chunk", "rep", "shingles", F.lit(False).alias("member"))
-    # Chunk -1: the members among themselves, where there are two.
-    held = grouped.groupBy("grp").agg(F.count("*").alias("held")).join(by_sorting(chunks), "grp", "left")
-    held = held.select("grp", F.explode(F.expr(
-        "filter(sequence(-1, coalesce(chunks, 0)), c -> c < coalesce(chunks, 0) and (c >= 0 or held > 1))"
-    )).alias("chunk"))
-    own = grouped.join(by_sorting(held), "grp").select("grp", "chunk", "rep", "shingles", F.lit(True).alias("member"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    edges = own.unionByName(asked).groupBy("grp", "chunk").applyInPandas(lambda f: _open(f, percent), f"a {kind}, b {kind}")
-    components = connected_components(edges, "components")
+    members = settle(grouped.select("cid", "rep", "grp", "shingles"), "members")
+    edges = settle(_compared(members, None, percent), "inner-edges")
+    for _ in range(STAR_ROUNDS):
+        rooted = _rooted(prefixes, members, edges)
+        found = settle(_compared(members, settle(_stars(rooted), "stars"), percent), "star-edges")
+        if found.isEmpty():
+            break
+        edges = edges.unionByName(found)
+    rooted = settle(_rooted(prefixes, members, edges), "rooted")
+    opened = settle(_bounded(rooted, percent), "opened")
+    components = connected_components(edges.unionByName(_compared(members, opened, percent)), "components")
     classes = classes.join(by_sorting(components), F.col("rep") == F.col("node"), "left")
     classes = settle(classes.select("s1", "s2", F.coalesce("component", "rep").alias("root")), "roots")
     return counted.select("doc_id", "n", "s1", "s2").join(by_sorting(classes), ["s1", "s2"], "left").select(
