@@ -1,10 +1,14 @@
 """Classifiers: accuracy on held-out rows, odd texts, empty tables."""
 
+import math
+import re
+
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from isoloom.llm import quality, queries, toxicity
+from isoloom.llm import embedding_dedup, quality, queries, toxicity
 from isoloom.llm.common import table
 
 SF = "/root/testdata/sf0.1"
@@ -59,3 +63,66 @@ def test_held_out_rows_are_not_learnt_from(spark):
     labels = docs.selectExpr("doc_id", "1 as toxic").where(HELD_OUT)
     assert all(r["score"] < 1e-9 for r in toxicity.score(docs, toxicity.fit(docs, labels), ["doc_id"]).collect())
     assert duckdb.sql("select 1").fetchall()
+
+
+def test_noisy_or_by_hand():
+    rng = np.random.default_rng(2)
+    weights = np.append(rng.gamma(0.3, 2.0, 2**toxicity.BITS), -2.5)
+
+    def of_word(word):
+        bucket, sentence, *_ = toxicity._sentences([word.encode()])
+        assert len(bucket) == 2 and set(sentence.tolist()) == {0}
+        return weights[bucket].sum()
+
+    texts = ["", "one", "One TWO three. Four; five?six\nseven eight", "!!! ... ?", "same same. same same", "Ünï cödé. 12 ab3", "a" * 300 + ". b"]
+    for text in texts:
+        clean = 1.0
+        for sentence in re.split(r"[.!?\n]", text):
+            words = re.findall(r"[0-9A-Za-z\u0080-\U0010ffff]+", sentence)
+            if words:
+                clean *= 1 - 1 / (1 + math.exp(-(weights[-1] + sum(map(of_word, words)))))
+        assert toxicity._document_scores([text.encode()], weights)[0][0] == pytest.approx(1 - clean, abs=1e-9)
+
+
+def test_ordinal_likelihood_by_hand():
+    rng = np.random.default_rng(7)
+    x = rng.random((60, quality.WIDTH)).astype(np.float32) * 0
+    x[:, :4] = rng.random((60, 4))
+    grades = (x[:, 0] * 2 + x[:, 1] + rng.random(60) * 0.8 > np.array([[1.0], [2.0]])).sum(0)
+    model = quality._train(x, grades, 2)
+    z = np.clip((x - model.mean) / model.scale, -quality.CLIP, quality.CLIP)[:, :4].astype(float)
+
+    def tails(w, cuts):
+        return [[1 / (1 + math.exp(cut - sum(a * b for a, b in zip(row, w)))) for cut in cuts] for row in z]
+
+    def objective(w, cuts, l2=2e-2):
+        each = ([1, *t, 0] for t in tails(w, cuts))
+        return sum(math.log(e[g] - e[g + 1]) for e, g in zip(each, grades)) / len(z) - l2 / 2 * sum(a * a for a in w)
+
+    w, cuts = model.weights[:4].astype(float), model.thresholds
+    scores = z @ w
+    assert np.allclose(model.tails(scores), tails(w, cuts)) and cuts[0] < cuts[1] and not model.weights[4:].any()
+    best = objective(w, cuts)
+    for _ in range(200):
+        near = objective(w + rng.normal(0, 0.2, 4), np.sort(cuts + rng.normal(0, 0.2, 2)))
+        assert near < best + 0.01  # the search ends after a fixed number of steps
+    assert np.bincount(grades, minlength=3).min() > 5
+
+
+def test_forest_recall_on_planted_links(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(3000, 48))
+    for k in range(0, 600, 2):  # pairs at cosine 0.98 to 0.99
+        a = vectors[k] / np.linalg.norm(vectors[k])
+        side = rng.normal(size=48)
+        side -= side @ a * a
+        cosine = rng.uniform(0.9805, 0.99)
+        vectors[k + 1] = cosine * a + math.sqrt(1 - cosine**2) * side / np.linalg.norm(side)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    linked = {(a, b) for a, b in zip(*np.nonzero(np.triu(unit @ unit.T >= 0.98, 1)))}
+    rows = [(i, [float(x) for x in v], 1) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["component_id"] for r in embedding_dedup.link(df, threshold=0.98).collect()}
+    found = sum(got[a] == got[b] for a, b in linked)
+    assert len(linked) >= 300 and found >= 0.995 * len(linked)
+    assert all((got[i], i) in linked or got[i] == i for i in got)
