@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from isoloom.functions.dna import piece
+from isoloom.functions.dna import piece, windows
 
 WINDOW = 32_768
 MAX_LIBRARY_BASES = 32_000_000  # both strands, in one byte a base
@@ -29,15 +29,17 @@ FILTER_BITS = 22
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 DIGIT = np.full(256, 4, dtype=np.uint8)
 DIGIT[[65, 67, 71, 84]] = range(4)
+OTHER_STRAND = np.arange(256, dtype=np.uint8)
+OTHER_STRAND[[65, 67, 71, 84]] = [84, 71, 67, 65]
+LETTERS_AT_ONCE = 2_000_000
 
 
-def seed_codes(data: np.ndarray, k: int) -> np.ndarray:
-    """A code for the k letters at each place: two bits a letter; with other letters than ACGT a hash, marked by the
-    highest bit."""
+def two_bit(data: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k letters at each place in two bits each, and whether all of them are among ACGT."""
     digit = DIGIT[data]
     n = len(data) - k + 1
     if n <= 0:
-        return np.zeros(0, dtype=np.uint64)
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=bool)
     power, length, done = (digit & 3).astype(np.uint64), 1, 0
     code = np.zeros(n, dtype=np.uint64)
     while True:  # lengths double; those in the binary form of k are put together
@@ -49,12 +51,58 @@ def seed_codes(data: np.ndarray, k: int) -> np.ndarray:
         power = (power[:-length] << np.uint64(2 * length)) | power[length:]
         length *= 2
     odd = np.concatenate([[0], np.cumsum(digit > 3)])
-    for i in np.flatnonzero(odd[k:] - odd[:-k]):
+    return code, odd[k:] == odd[:-k]
+
+
+def seed_codes(data: np.ndarray, k: int) -> np.ndarray:
+    """A code for the k letters at each place: two bits a letter; with other letters than ACGT a hash, marked by the
+    highest bit."""
+    code, clean = two_bit(data, k)
+    for i in np.flatnonzero(~clean):
         digest = hashlib.blake2b(data[i : i + k].tobytes(), digest_size=8).digest()
         code[i] = int.from_bytes(digest, "little") | (1 << 63)
     return code
 
 
+def kmer_counts(df: DataFrame, seq: str, k: int, keep: Sequence[str]) -> DataFrame:
+    """``keep``, ``kmer`` (the lesser of both strands, two bits a letter, as a number) and ``n``, how often it stands there;
+    k letters with others than ACGT among them are left out.
+
+    Counted inside the map tasks, a bounded piece at a time: a k-mer comes once per piece and row of ``keep``."""
+    if k > MAX_SEED:
+        raise ValueError(f"k-mers of over {MAX_SEED} letters don't fit a number")
+    schema = StructType([df.schema[c] for c in keep]).add("kmer", "long").add("n", "long")
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            frame = batch.select(list(keep)).to_pandas()
+            group = frame.groupby(list(keep), sort=False, dropna=False).ngroup().to_numpy()
+            first = np.unique(group, return_index=True)[1]
+            bins = batch.column("_bin").to_pylist()
+            ends = np.cumsum([len(b) for b in bins])
+            begin = 0
+            while begin < len(bins):
+                stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + LETTERS_AT_ONCE)))
+                sizes = [len(b) for b in bins[begin:stop]]
+                data = np.frombuffer(b"".join(bins[begin:stop]), dtype=np.uint8)
+                code, clean = two_bit(data, k)
+                other, _ = two_bit(OTHER_STRAND[data[::-1]], k)
+                row = np.repeat(np.arange(begin, stop), sizes)
+                whole = np.flatnonzero(clean & (row[: len(code)] == row[k - 1 :])) if len(code) else np.zeros(0, dtype=np.int64)
+                least, own = np.minimum(code, other[::-1])[whole], group[row[whole]]
+                order = np.lexsort((least, own))
+                least, own = least[order], own[order]
+                new = np.flatnonzero(np.concatenate([[True], (least[1:] != least[:-1]) | (own[1:] != own[:-1])])) if len(own) else order
+                rows = batch.select(list(keep)).take(pa.array(first[own[new]]))
+                columns = [pa.array(least[new].view(np.int64)), pa.array(np.diff(np.append(new, len(own))))]
+                yield pa.RecordBatch.from_arrays([*rows.columns, *columns], names=schema.names)
+                begin = stop
+
+    return windows(df, seq, k, keep).select(*keep, "_bin").mapInArrow(run, schema)
+
+
 @dataclass
 class Library:
     """Members and the index over them. A member is a sequence with its family, its number and its strand."""

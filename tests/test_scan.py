@@ -99,3 +99,20 @@ def test_library_of_no_members(spark):
     contigs, alleles = world(random.Random(2), spark, 3, 5)
     assert typing.near_alleles(contigs, alleles.limit(0), 9).count() == 0
     assert typing.near_alleles(contigs.limit(0), alleles, 9).count() == 0
+
+
+def test_kmer_counts_equal_letters(spark, monkeypatch):
+    monkeypatch.setattr(scan, "LETTERS_AT_ONCE", 100)
+    rng = random.Random(6)
+    rows = [(i % 3, dna(rng, n, "ACGTN" if i % 2 else "ACGT")) for i, n in enumerate((0, 3, 4, 60, 9000, 41, 700))] + [(None, "ACGTACGT"), (1, None)]
+    k, want = 5, {}
+    for key, seq in rows:
+        for i in range(len(seq or "") - k + 1):
+            word = seq[i : i + k]
+            if set(word) <= set("ACGT"):
+                code = int("".join(str("ACGT".index(c)) for c in min(word, reverse(word))), 4)
+                want[key, code] = want.get((key, code), 0) + 1
+    got = {}
+    for r in scan.kmer_counts(spark.createDataFrame(rows, "i int, s string"), "s", k, ["i"]).collect():
+        got[r["i"], r["kmer"]] = got.get((r["i"], r["kmer"]), 0) + r["n"]
+    assert got == want
