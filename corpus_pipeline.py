@@ -19,7 +19,11 @@ DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose probability of a good grade is high enough stay."""
+    """Documents whose probability of a good grade is high enough stay.
+
+    Each row is judged by its text alone: equal texts share their fate, whatever their ids; null and empty texts have no
+    features and the probability of a score of zero, so the trained thresholds decide on all of them alike. An empty table
+    stays empty. Further columns of the input are left out."""
     small_batches(spark)
     model = quality.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), queries.GRADE, top=2)
     rated = quality.rate(docs, model, list(DOCUMENT))
@@ -51,13 +55,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the mix, one row per use."""
+    """The documents of the mix, one row per use; the last document of a leaf's epoch may be cut.
+
+    Null lang or source is a leaf of its own. Texts without words, null ones too, take no tokens: they come with each
+    whole epoch of their leaf and in a part epoch as far as their place is reached. Rows that share an id are documents
+    of their own. An empty table stays empty."""
     used = mixing.cut_texts(mixing.mixed(docs, queries.tree(), queries.MIX))
     return used.withColumn("n_chars", F.char_length("text").cast("long")).select(*DOCUMENT)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in the sequences."""
+    """The pieces of all documents and their places in the sequences.
+
+    A null or empty text is one piece, the end id. Repeated rows, as the mix brings them, are packed each. An empty table
+    gives no pieces."""
     return queries.packed(spark, docs)
 
 
