@@ -127,10 +127,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the archives hold of each page, in the order of the merged index."""
+    """What the archives hold of each page, with its place in the merged index: ``capture_no`` counts the captures of all
+    archives by URL key and time."""
     index = warc.round_trip(table(spark, sf_dir, "pages")).orderBy("capture_no")  # the join with the range starts deals rows anew
     return index.select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "capture_no"
     )
 
 
@@ -280,12 +281,19 @@ SELECT doc_id, len(s)::BIGINT AS n_shingles, root AS component_id FROM sets JOIN
 
 WARC_SQL = """
 WITH sized AS (
-    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+    SELECT page_id, lower(url) AS u, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+split AS (
+    SELECT *, regexp_extract(u, '^[a-z][a-z0-9+.-]*://([^/?#:]+)', 1) AS host, regexp_extract(u, '^[a-z][a-z0-9+.-]*://[^/?#]+([^#]*)', 1) AS rest FROM sized),
+keyed AS (
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN u IS NULL THEN '' WHEN host = '' THEN u ELSE array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || rest END AS url_key,
+        strftime(make_timestamp((1704067200 + coalesce(page_id, 0) * 7919 % 31536000) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS captured FROM split),
 firsts AS (SELECT payload_digest, payload_bytes, max(page_id) AS first_id FROM sized WHERE payload_bytes >= 1000 GROUP BY ALL)
 SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
     CASE WHEN first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
-    CASE WHEN first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
-FROM sized LEFT JOIN firsts USING (payload_digest, payload_bytes)
+    CASE WHEN first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to, url_key, captured,
+    row_number() OVER (ORDER BY url_key, captured, coalesce(page_id, -1)) - 1 AS capture_no
+FROM keyed LEFT JOIN firsts USING (payload_digest, payload_bytes)
 """
 
 AUDIT_SQL = r"""
