@@ -35,6 +35,13 @@ def one_list(values, kind):
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+def in_parts(batches):
+    """The batches in parts of few rows, as texts may be long."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def in_shards(docs: DataFrame, text: str, keep: list[str], fields: str, make: Callable, limit: int = SHARD_BYTES) -> DataFrame:
     """``shard``, the columns ``keep`` as lists and the lists ``fields`` (DDL), which ``make()`` gathers: an object with
     ``add(text)`` for each document and ``lists()`` at the end of a shard, named like ``fields``."""
@@ -47,27 +54,25 @@ def in_shards(docs: DataFrame, text: str, keep: list[str], fields: str, make: Ca
     kinds = {f.name: f.type.value_type for f in to_arrow_schema(schema) if f.name != "shard"}
 
     def run(batches):
-        part, number = TaskContext.get().partitionId() << 32, 0
+        first, number = TaskContext.get().partitionId() << 32, 0
         held, size, rows = make(), 0, [[] for _ in keep]
 
         def row():
             lists = {**dict(zip(keep, rows)), **held.lists()}
-            columns = [pa.array([part + number], pa.int64()), *[one_list(lists[c], kinds[c]) for c in kinds]]
+            columns = [pa.array([first + number], pa.int64()), *[one_list(lists[c], kinds[c]) for c in kinds]]
             return pa.RecordBatch.from_arrays(columns, names=["shard", *kinds])
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                piece = batch.slice(at, ROWS_AT_ONCE)
-                columns = [piece.column(i).to_pylist() for i in range(len(keep) + 1)]
-                for *values, text in zip(*columns):
-                    if size and size + len(text or "") > limit:
-                        yield row()
-                        number += 1
-                        held, size, rows = make(), 0, [[] for _ in keep]
-                    held.add(text)
-                    size += len(text or "") + 1
-                    for column, value in zip(rows, values):
-                        column.append(value)
+        for part in in_parts(batches):
+            columns = [part.column(i).to_pylist() for i in range(len(keep) + 1)]
+            for *values, text in zip(*columns):
+                if size and size + len(text or "") > limit:
+                    yield row()
+                    number += 1
+                    held, size, rows = make(), 0, [[] for _ in keep]
+                held.add(text)
+                size += len(text or "") + 1
+                for column, value in zip(rows, values):
+                    column.append(value)
         if size:
             yield row()
 

@@ -22,6 +22,7 @@ import hashlib
 import os
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -29,10 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from isoloom.llm.common import settle
-from isoloom.llm.shards import entries, in_shards, listed, sums_between, with_values
+from isoloom.llm.shards import entries, in_shards, listed, packed, sums_between, unpacked, with_values
 
-SHARD_BYTES = 16 * 1024 * 1024
-KEPT_UNITS = 400_000  # of a worker; beyond it the units are forgotten at the end of a shard
+SHARD_BYTES = 8 * 1024 * 1024
+UNITS_AT_ONCE = 20_000  # encoded and aligned together
+KEPT_UNITS = 250_000  # of a worker; beyond it the units are forgotten at the end of a shard
 LARGE_GROUP = 4096
 EDGE = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
@@ -65,15 +67,20 @@ class Codec:
         equal |= {w: i for i, w in enumerate(self.b_bytes) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))}
         self.same = np.array([equal.get(entry.get(i), -1) for i in range(self.n_a)], dtype=np.int64)
 
+        kinds = ((self.n_a, ",|"), (self.n_b, ",;"))  # each id with the sign behind it, inside and at the end of its group
+        self.signed = [np.array([f"{i}{sign}" for sign in signs for i in range(n)], dtype=object) for n, signs in kinds]
+
     def encode(self, units: list[str]) -> tuple[list, list]:
         """Token ids of each unit (which begins with a space or line end) in both; None where bytes are lost."""
-        a = [e.ids for e in self.a.encode_batch(units, add_special_tokens=False)]
+        a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
         b = self.b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)  # B puts a space before the text
         b = [ids if u[0] == " " else ids[1:] for u, ids in zip(units, b)]
-        for i, unit in enumerate(units):
-            blob = unit.encode("utf-8", "replace")
-            if b"".join(map(self.b_bytes.__getitem__, b[i])) != blob or self.a_length[a[i]].sum() != len(blob):
-                a[i] = b[i] = None
+        blobs = [u.encode("utf-8", "replace") for u in units]
+        pieces = [b"".join(map(self.b_bytes.__getitem__, ids)) for ids in b]
+        if pieces != blobs:
+            for i in range(len(units)):
+                if pieces[i] != blobs[i]:
+                    a[i] = b[i] = None
         return a, b
 
 
@@ -134,7 +141,7 @@ class Aligner:
         a, b = ([ids or [] for ids in lists] for lists in (a, b))
         flat, owner, ends = [], [], []
         for lists, length in ((a, self.codec.a_length), (b, self.codec.b_length)):
-            flat.append(np.fromiter((i for ids in lists for i in ids), dtype=np.int64))
+            flat.append(np.fromiter(chain.from_iterable(lists), dtype=np.int64))
             owner.append(np.repeat(np.arange(len(lists)), [len(ids) for ids in lists]))
             ends.append(np.cumsum(length[flat[-1]]))
         shared = np.intersect1d(ends[0], ends[1])  # units end in both, so groups stay within units
@@ -163,12 +170,14 @@ class Aligner:
         ])
         counts[lost] = -1
         self.counts = np.concatenate([self.counts, counts])
-        names = [list(map(str, f.tolist())) for f in flat]
-        texts, spans = [[] for _ in units], [np.append(f, len(n)).tolist() for f, n in zip(first, names)]
-        for g, u in enumerate(unit_of.tolist()):
-            left, right = (",".join(n[s[g] : s[g + 1]]) for n, s in zip(names, spans))
-            texts[u].append(f"{left}|{right}")
-        self.texts.extend(map(";".join, texts))
+        # Texts of the groups: ids of A, then of B, each with the sign behind it.
+        out, n = np.empty(len(flat[0]) + len(flat[1]), dtype=object), (self.codec.n_a, self.codec.n_b)
+        last = [first[k][group[k]] + size[k][group[k]] - 1 == np.arange(len(flat[k])) for k in (0, 1)]
+        signed = [self.codec.signed[k][last[k] * n[k] + flat[k]] for k in (0, 1)]
+        out[np.arange(len(flat[0])) + first[1][group[0]]] = signed[0]
+        out[np.arange(len(flat[1])) + (first[0] + size[0])[group[1]]] = signed[1]
+        out, cuts = out.tolist(), np.concatenate([[0], np.cumsum(counts[:, 0] * ~lost + counts[:, 1] * ~lost)]).tolist()
+        self.texts.extend("".join(out[i:j]) for i, j in zip(cuts, cuts[1:]))
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -185,13 +194,15 @@ class Documents:
 
     def add(self, text: str | None) -> None:
         self.rows.append(np.array(self.aligner.units.numbers(text) if text else [], dtype=np.int64))
+        if len(self.aligner.units.fresh) >= UNITS_AT_ONCE:
+            self.aligner.learn()
 
     def lists(self) -> dict:
         know = self.aligner
         know.learn()
         rows = [r if (know.counts[r, 0] >= 0).all() else r[:0] for r in self.rows]
         digest = [
-            hashlib.sha256(";".join(map(know.texts.__getitem__, r.tolist())).encode()).hexdigest() if len(r) else "" for r in rows
+            hashlib.sha256("".join(map(know.texts.__getitem__, r.tolist()))[:-1].encode()).hexdigest() if len(r) else "" for r in rows
         ]
         cuts = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
         unit = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int64)
@@ -220,7 +231,7 @@ class Documents:
         doc, link = np.divmod(cell[new], max(len(codes), 1))
         return {
             "n_a": counts[0], "n_b": counts[1], "n_groups": counts[2], "n_links": counts[3], "groups_sha256": digest,
-            "starts": np.searchsorted(doc, np.arange(len(rows) + 1)).astype(np.int32), "links": link.astype(np.int32), "times": times,
+            "starts": np.searchsorted(doc, np.arange(len(rows) + 1)).astype(np.int32), "links": [packed(link)], "times": times,
             "same": codes[order][: same.sum()], "other": codes[order][same.sum() :],
             "held": np.bincount(link, minlength=len(codes)).astype(np.int32),
         }
@@ -228,7 +239,7 @@ class Documents:
 
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 LISTS = (
-    ", ".join(f"{c} array<long>" for c in COUNTS) + ", groups_sha256 array<string>, starts array<int>, links array<int>, "
+    ", ".join(f"{c} array<long>" for c in COUNTS) + ", groups_sha256 array<string>, starts array<int>, links array<binary>, "
     "times array<long>, same array<long>, other array<long>, held array<int>"
 )
 
@@ -291,7 +302,7 @@ def align(docs: DataFrame, first: str, second: str) -> DataFrame:
         tokens = np.concatenate([same, other]) // n_b
         counts = np.concatenate([equal[same // n_b], np.zeros(len(other), dtype=np.int64)])
         counts[len(same) + at] = value
-        starts, links, times = (entries(row, c) for c in ("starts", "links", "times"))
+        starts, links, times = entries(row, "starts"), unpacked(row, "links"), entries(row, "times")
         is_best = counts == best[tokens]
         sums = [sums_between(times * w[links], starts) for w in (is_best, counts)]
         kept = [row.column(c).combine_chunks().flatten() for c in ("doc_id", *COUNTS)]
