@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoloom.llm.common import BASE, encoded, mixed, powers, prefix_hashes, runs, settle, slices, span_hashes
-from isoloom.llm.shards import Places
+from isoloom.llm.shards import Places, in_parts
 from isoloom.session import BROADCAST_MAX_BYTES, by_sorting
 
 PHASES = 3  # after these every window of at least 20 words still has an interior symbol
@@ -161,7 +161,7 @@ def _per_text(rows: DataFrame, keep: list[str], fields: str, window: int, find)
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in in_parts(batches):
             blobs = encoded(batch.column("text").to_pylist())
             lists = batch.column("runs").to_pylist() if "runs" in batch.schema.names else [None] * len(blobs)
             for a, b in slices([len(x) for x in blobs]):
@@ -278,7 +278,7 @@ def without_repeats(docs: DataFrame, found: DataFrame, window: int = LEAST_WINDO
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in in_parts(batches):
             blobs = encoded(batch.column("text").to_pylist())
             lists = [x or [] for x in batch.column("runs").to_pylist()]
             total, gone, kept = [], [], []
