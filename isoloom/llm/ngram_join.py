@@ -8,7 +8,8 @@ A document is the set of its distinct word shingles. Documents with equal sets f
 2. The same is asked once more of single shingles among the classes left. Shingles are then ordered from rare to common,
    so that what many share comes last. The classes left are partitioned into groups of similar ones (equal least hashes), ``GROUP`` classes at most.
 3. Members of a group are compared first. Then, in a few rounds, each class meets the group it shares most with among
-   those of the least components that hold its shingles: a family of near copies becomes one component or few.
+   those of the least components that hold its shingles: a family of near copies becomes one component or few. A component
+   is here what is known to be connected.
 4. The matrix holds, as rows (shingle, component) and (shingle, group), the union of the prefixes of their sets in that
    order. A set and its partner share at least ``PREFIX_HITS`` shingles of their prefixes, so the overlap of a query's
    prefix with a union bounds what the query can have in common with any member. Components that reach the bound and
@@ -32,7 +33,7 @@ from isoloom.session import broadcast_if_small, by_sorting
 GROUP = 64
 QUERY_CHUNK = 256
 PREFIX_HITS = 4
-STAR_ROUNDS = 3  # they save work; the links left are found by the bounds
+STAR_ROUNDS, LABEL_ROUNDS = 1, 2  # they save work; the links left are found by the bounds
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -181,11 +182,23 @@ def _open(frame, percent: int):
     return pd.DataFrame({"a": ids[moved], "b": ids[label[moved]]})
 
 
+def _labels(edges: DataFrame) -> DataFrame:
+    """``rep, root``: equal roots are connected, connected ones need not have equal roots yet. Least labels of neighbours
+    are passed on a few times, which costs far less than components and serves the star rounds as well."""
+    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = settle(both.where("a <> b").distinct(), "both-ways")
+    label = settle(both.groupBy(F.col("a").alias("rep")).agg(F.min(F.least("a", "b")).alias("root")), "labels")
+    for _ in range(LABEL_ROUNDS):
+        near = both.join(by_sorting(label), F.col("b") == F.col("rep")).groupBy("a").agg(F.min("root").alias("near"))
+        here = label.join(by_sorting(near), F.col("rep") == F.col("a")).select("rep", F.least("root", "near").alias("root"))
+        label = settle(here, "labels")
+    return label
+
+
 def _rooted(prefixes: DataFrame, members: DataFrame, edges: DataFrame) -> DataFrame:
     """The prefixes with the component of each class as far as it is known (``root``) and the component's size."""
-    known = connected_components(edges, "known").withColumnRenamed("node", "rep")
     ids = members.select("cid", "rep").distinct()
-    roots = settle(ids.join(by_sorting(known), "rep", "left").select("cid", F.coalesce("component", "rep").alias("root")), "roots")
+    roots = settle(ids.join(by_sorting(_labels(edges)), "rep", "left").select("cid", F.coalesce("root", "rep").alias("root")), "roots")
     sizes = settle(roots.groupBy("root").agg(F.count("*").alias("size")), "sizes")
     return prefixes.join(by_sorting(settle(roots.join(by_sorting(sizes), "root"), "sized-roots")), "cid")
 

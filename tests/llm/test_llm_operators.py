@@ -240,10 +240,8 @@ def test_ngram_join_equals_brute_force(spark, monkeypatch, n, percent):
     assert ngram_join.link(docs.limit(0), n, percent).count() == 0
 
 
-@pytest.mark.parametrize("rounds", [0, 3])
-def test_ngram_join_of_a_family(spark, monkeypatch, rounds):
-    """500 near copies of one text, of which only some pairs reach the threshold, and looser relatives."""
-    monkeypatch.setattr(ngram_join, "STAR_ROUNDS", rounds)
+def test_ngram_join_of_a_family(spark, monkeypatch):
+    """500 near copies of one text, of which only some pairs reach the threshold, looser relatives, and repeated rows."""
     monkeypatch.setattr(ngram_join, "GROUP", 16)
     rng = random.Random(9)
     base = [f"w{i}" for i in range(150)]
@@ -258,11 +256,9 @@ def test_ngram_join_of_a_family(spark, monkeypatch, rounds):
     sets = [shingles(t, 3) for t in texts]
     links = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])]
     want = roots(range(len(texts)), links)
-    got = {r["doc_id"]: r["component_id"] for r in ngram_join.link(docs_of(spark, texts), 3, 90).collect()}
-    assert got == want and 5 < len(set(want.values())) < 400
-    repeated = docs_of(spark, texts).unionByName(docs_of(spark, texts[:50]))
-    again = {(r["doc_id"], r["component_id"]) for r in ngram_join.link(repeated, 3, 90).collect()}
-    assert again == set(want.items())
+    docs = docs_of(spark, texts).unionByName(docs_of(spark, texts[:50]))
+    got = [(r["doc_id"], r["component_id"]) for r in ngram_join.link(docs, 3, 90).collect()]
+    assert len(got) == len(texts) + 50 and set(got) == set(want.items()) and 5 < len(set(want.values())) < 400
 
 
 # --- fingerprints ---------------------------------------------------------------------------------------------------
