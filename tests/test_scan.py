@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from isoloom.operators import scan, screen, typing
@@ -89,6 +90,29 @@ def test_scanner_finds_what_letters_show(spark):
     assert got == found and len(found) >= 7
 
 
+def test_batches_are_scanned_in_bounded_pieces():
+    texts = [b"A" * n for n in (0, 40, 70, 250, 10, 0, 90)] * 20
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["bin"])
+    pieces = [p.column("bin").to_pylist() for p in scan.in_pieces([batch.slice(0, 0), batch], "bin", 100)]
+    assert [t for p in pieces for t in p] == texts
+    assert all(sum(map(len, p)) <= 100 or len(p) == 1 for p in pieces)
+
+
+def test_diagonals_without_enough_seeds_are_left_out():
+    rng = random.Random(5)
+    members = [dna(rng, 200) for _ in range(30)]
+    library = scan.Library(11, [m.encode() for m in members], [0] * 30)
+    contig = dna(rng, 3000) + changed(rng, members[4], 9) + dna(rng, 3000) + members[7][100:160] + members[8][:60]
+    data = np.frombuffer(contig.encode(), dtype=np.uint8)
+    rows, owner, diag, number = library.votes(data, np.zeros(len(data), dtype=np.int64), np.arange(1, len(data) + 1), 2)
+    likely = library.hopeful(owner, diag, number, np.array([len(data)])[rows], 0.1, 0.95)
+    found = lambda which: {
+        (d, int(m)) for d in diag[which].tolist() for own, *_ in library.members_on(0, d, len(data), data, 1, 0.1, 0.95, 2) for m in own
+    }
+    assert found(likely) == found(np.ones(len(diag), dtype=bool)) == {(3000, 4), (6260, 8)}
+    assert likely.sum() < len(diag)
+
+
 def test_no_exchange_of_bases(spark):
     contigs, alleles = world(random.Random(1), spark, 3, 20)
     plan = typing.near_alleles(contigs, alleles, 9)._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
