@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from isoloom.functions.text import basename
 from isoloom.operators import lab, pairing, reads, screen, summary, typing, validation
-from isoloom.session import by_sorting
+from isoloom.session import broadcast_if_small, by_sorting
 from isoloom.sinks import files as sinks
 from isoloom.sources import results
 from isoloom.sources.sheet import scan_numbered_sheet
@@ -69,7 +69,7 @@ def report_from_contigs(
     order of symbols is that of the places in the contigs.
     """
     few = counts.select("sample").exceptAll(reads.min_reads_gate(counts, min_reads).select("sample"))
-    used = contigs.join(by_sorting(few), "sample", "left_anti")
+    used = contigs.join(broadcast_if_small(few, ["sample"]), "sample", "left_anti")  # contigs of few samples aren't shuffled
     samples = contigs.select("sample").unionByName(counts.select("sample")).distinct()
     calls = typing.call_types(used, alleles, profiles, k).where("scheme <> '-'")
     found = screen.best_hit_per_locus(screen.gene_screen(used, genes, k=k))

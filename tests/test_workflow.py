@@ -1,4 +1,5 @@
 from isoloom.plans import workflow
+from isoloom.plans.catalog import QUERIES
 
 
 def test_from_files_to_reports(spark, tmp_path):
@@ -28,3 +29,10 @@ def test_from_files_to_reports(spark, tmp_path):
     lab = spark.read.csv(str(tmp_path / "out" / "240512_CLIN002_lab"), sep=";", header=True)
     got = {r["CODIGO_MUESTRA_ORIGEN"]: (r["ST_WGS"], r["FICHERO_LECTURAS_WGS"]) for r in lab.collect()}
     assert got == {"a": ("5", "/s/CVA_CLIN/illumina/240512_CLIN002/fastq/a_R1.fastq.gz"), "z": (None, "/s/CVA_CLIN/illumina/240512_CLIN002/fastq/no.fq")}
+
+
+def test_contigs_of_few_samples_are_not_shuffled_for_the_gate(spark):
+    report = QUERIES["run_report"](spark, "/root/testdata/sf0.001")
+    plan = report._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    gates = [line for line in plan.splitlines() if "LeftAnti" in line and "Join [sample" in line]
+    assert gates and all("BroadcastHashJoin" in line for line in gates)
