@@ -8,6 +8,7 @@ from isoloom.operators import summary
 from isoloom.sinks import files as sinks
 from isoloom.sources import results, sequences
 from isoloom.sources.lines import edge_lines, numbered_lines, placed_lines
+from isoloom.sources.results import scan_gff
 from isoloom.sources.sheet import scan_numbered_sheet, scan_sheet
 
 
@@ -32,6 +33,19 @@ def test_line_numbers_across_splits(spark, tmp_path, tiny_splits):
     assert all(r["value"] == f"{r['f']}{r['line_no']}" for r in got)
 
 
+def test_annotation_ends_where_it_is_read(spark, tmp_path, tiny_splits):
+    """In the first split, in a later one, nowhere; twice in a file; lines are numbered and cut without a shuffle of lines."""
+    texts = {"a.gff": ["##FASTA", *["ACGT" * 20] * 50], "b.gff": [f"b{i}" for i in range(300)] + ["##FASTA x", "c", "##FASTA", "d"], "c.gff": ["c1", "", "c3"]}
+    for name, text in texts.items():
+        (tmp_path / name).write_text("".join(f"{line}\n" for line in text))
+    lines = scan_gff(spark, str(tmp_path))
+    got = {(r["file"].rsplit("/", 1)[1], r["line_no"], r["value"]) for r in lines.collect()}
+    want = {("b.gff", i + 1, f"b{i}") for i in range(300)} | {("c.gff", 1, "c1"), ("c.gff", 2, ""), ("c.gff", 3, "c3")}
+    assert got == want
+    plan = lines._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "MapInArrow" in plan and "SortMergeJoin" not in plan
+
+
 def test_line_numbers_without_broadcast(spark, tmp_path, tiny_splits, monkeypatch):
     monkeypatch.setattr("isoloom.sources.lines.MAX_BROADCAST_BLOCKS", 0)
     (tmp_path / "a.txt").write_text("".join(f"{i}\n" for i in range(1, 400)))
