@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from isoloom.functions.dna import kmer_rows, piece, revcomp
 from isoloom.operators.scan import collected, scan_families
-from isoloom.session import broadcast_if_small, with_computed
+from isoloom.session import broadcast_if_small, by_sorting, bytes_within, with_computed
 
 # Thresholds of the acquired-gene screen.
 COVERAGE, IDENTITY = 0.6, 0.8
@@ -124,17 +124,51 @@ def gene_phenotype(hits: DataFrame, catalogue: DataFrame, samples: DataFrame | N
     ``samples`` names all samples screened, those without a hit too; by default those with a hit are reported. Every
     sample gets a row per drug; the drugs are measured before they are broadcast, and otherwise joined in parts.
     """
-    part = F.sequence(F.lit(0), F.lit(PANEL_PARTS - 1))
-    panel = catalogue.select("class", "antimicrobial").distinct().select("class", "antimicrobial", F.explode(part).alias("part"))
+    panel = catalogue.select("class", "antimicrobial").distinct()
     named = (hits if samples is None else samples.select("sample").unionByName(hits.select("sample"))).select("sample").distinct()
-    named = named.withColumn("part", F.pmod(F.xxhash64("sample"), F.lit(PANEL_PARTS)).cast("int"))
-    rows = named.join(broadcast_if_small(panel, ["class", "antimicrobial"]), "part").drop("part")
-    drugs_of = broadcast_if_small(catalogue, ["gene", "class", "antimicrobial"])  # a gene many samples share is no hot spot
-    found = hits.select("sample", "gene").distinct().join(drugs_of, "gene").groupBy("sample", "class", "antimicrobial").agg(
+    if bytes_within(catalogue, ["gene", "class", "antimicrobial"]):
+        return _predicted(_by_number(named, hits, catalogue.select("gene", "class", "antimicrobial").distinct()))
+    found = hits.select("sample", "gene").distinct().join(by_sorting(catalogue), "gene").groupBy("sample", "class", "antimicrobial").agg(
         F.count_distinct("gene").alias("genes")
     )
-    out = rows.join(found, ["sample", "class", "antimicrobial"], "left")
-    return out.select(
+    part = F.sequence(F.lit(0), F.lit(PANEL_PARTS - 1))
+    parts = panel.select("class", "antimicrobial", F.explode(part).alias("part"))
+    named = named.withColumn("part", F.pmod(F.xxhash64("sample"), F.lit(PANEL_PARTS)).cast("int"))
+    rows = named.join(by_sorting(parts), "part").drop("part")
+    return _predicted(rows.join(found, ["sample", "class", "antimicrobial"], "left"))
+
+
+def _by_number(named: DataFrame, hits: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Each sample with each drug of a catalogue of measured size, and how many genes were found for it.
+
+    A sample's distinct genes come together as numbers, a list no longer than the catalogue; drugs are looked up and counted
+    in that list, the other drugs are unfolded beside them and the names come last. So neither the drugs of the hits nor
+    the product of samples and drugs is ever shuffled, sorted or held."""
+    number = lambda *by: (F.row_number().over(Window.orderBy(*by)) - 1)
+    panel = catalogue.select("class", "antimicrobial").distinct().withColumn("drug", number("class", "antimicrobial"))
+    count = panel.count()
+    known = catalogue.where("gene is not null").join(F.broadcast(panel.where("class is not null and antimicrobial is not null")), ["class", "antimicrobial"])
+    genes = known.groupBy("gene").agg(F.array_sort(F.collect_list("drug")).alias("drugs")).withColumn("number", number("gene"))
+    lists = genes.agg(F.array_sort(F.collect_list(F.struct("number", "drugs"))).alias("all")).select(F.col("all")["drugs"].alias("drugs_of"))
+    met = hits.join(F.broadcast(genes.select("gene", "number")), "gene").select("sample", "number").distinct()
+    met = met.groupBy("sample").agg(F.collect_list("number").alias("numbers"))
+    each = named.join(by_sorting(met), "sample", "left").crossJoin(F.broadcast(lists))
+    drugs = F.flatten(F.transform(F.coalesce("numbers", F.array().cast("array<int>")), lambda n: F.get(F.col("drugs_of"), n)))
+    each = with_computed(each.select("sample", F.array_sort(drugs).alias("own")), size=F.size("own"))
+    here, before = lambda i: F.get(F.col("own"), i), lambda i: F.get(F.col("own"), i - 1)
+    places = F.when(F.col("size") > 0, F.sequence(F.lit(0), F.col("size") - 1)).otherwise(F.array().cast("array<int>"))
+    each = with_computed(each, starts=F.filter(places, lambda i: (i == 0) | (here(i) != before(i))))
+    entry = "array<struct<drug:int,genes:bigint>>"
+    after = lambda i: F.coalesce(F.get(F.col("starts"), i + 1), F.col("size"))
+    have = F.transform("starts", lambda s, i: F.struct(here(s).alias("drug"), (after(i) - s).cast("long").alias("genes")))
+    all_drugs = F.sequence(F.lit(0), F.lit(count - 1)) if count else F.array().cast("array<int>")
+    none = F.transform(F.array_except(all_drugs, "own"), lambda d: F.struct(d.alias("drug"), F.lit(None).cast("long").alias("genes")))
+    rows = each.select("sample", F.inline(F.concat(have.cast(entry), none.cast(entry))))
+    return rows.join(F.broadcast(panel), "drug")
+
+
+def _predicted(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "sample", "class", "antimicrobial",
         F.when(F.col("genes") > 0, "Resistant").otherwise("No resistance").alias("predicted"),
         F.coalesce("genes", F.lit(0)).cast("long").alias("genes"),

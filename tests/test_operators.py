@@ -417,3 +417,28 @@ def test_one_profile_gives_all_read_tables(spark, rows, monkeypatch):
         assert sorted(map(tuple, tables[name].select(want.columns).collect())) == sorted(map(tuple, want.collect())), name
     twice = {tuple(r)[:-1]: r["n"] for r in qc.add_profiles(profile.unionByName(profile)).collect()}
     assert twice == {tuple(r)[:-1]: 2 * r["n"] for r in profile.collect()}
+
+
+def test_first_places_in_files_are_narrowed_without_sorting(spark):
+    """Split by split first; the file's name, then the split, then the row decide."""
+    place = "struct<file:string,block:bigint,row:bigint>"
+    data = [("s", "b", ("f2", 0, 1)), ("s", "b", ("f1", 9, 7)), ("s", "a", ("f1", 9, 8)), ("s", "c", ("f1", 0, 50)), ("s", None, ("f0", 0, 0)), (None, "z", ("f0", 0, 0))]
+    genes = spark.createDataFrame(data, f"sample string, gene string, line_no {place}")
+    got = summary.resistance_genes(genes)
+    assert {tuple(r) for r in got.collect()} == {("s", "c b a"), (None, "z")}
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert "HashAggregate" in [line for line in plan.splitlines() if "Aggregate" in line][-1]  # the rows themselves; sorting comes with one row per split
+
+
+def test_product_of_samples_and_drugs_is_not_shuffled(spark):
+    """Null samples, genes and drugs match nothing; each sample has each drug once."""
+    catalogue = spark.createDataFrame([("g1", "c", "d"), ("g2", "c", "d"), ("g2", "c", "e"), ("g2", None, "f"), (None, "c", "h")], "gene string, class string, antimicrobial string")
+    hits = spark.createDataFrame([("s", "g1"), ("s", "g2"), ("s", "g2"), ("t", "x"), (None, "g1"), ("u", None)], "sample string, gene string")
+    got = screen.gene_phenotype(hits, catalogue, spark.createDataFrame([("s",), ("v",)], "sample string"))
+    drugs = [("c", "d"), ("c", "e"), (None, "f"), ("c", "h")]
+    found = {("s", "c", "d"): 2, ("s", "c", "e"): 1}
+    want = [(s, *d, "Resistant" if (s, *d) in found else "No resistance", found.get((s, *d), 0)) for s in ("s", "t", None, "u", "v") for d in drugs]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    plan = got._jdf.queryExecution().toString().split("== Physical Plan ==")[1].splitlines()
+    unfolded = next(i for i, line in enumerate(plan) if "Generate inline" in line)
+    assert not any("Exchange hashpartitioning" in line or "SortMergeJoin" in line for line in plan[:unfolded])
