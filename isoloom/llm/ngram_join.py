@@ -12,8 +12,10 @@ A document is the set of its distinct word shingles. Documents with equal sets f
    is here what is known to be connected.
 4. The matrix holds, as rows (shingle, component) and (shingle, group), the union of the prefixes of their sets in that
    order. A set and its partner share at least ``PREFIX_HITS`` shingles of their prefixes, so the overlap of a query's
-   prefix with a union bounds what the query can have in common with any member. Components that reach the bound and
-   whose sizes suit are opened, and of these the groups that do; members of one component need not meet any more.
+   prefix with a union bounds what the query can have in common with any member. How long a prefix must be depends on the
+   partner's size, so each of its shingles has a ``reach``: the largest partner it is needed for. Only entries within
+   reach of each other meet. Components that reach the bound and whose sizes suit are opened, and of these the groups
+   that do; members of one component need not meet any more.
 5. Opened groups are compared exactly, in chunks of queries; each chunk returns one edge per member of a component.
 
 No pair is lost: every step drops only what can't reach the threshold. Hash values have 64 bits; sets are told apart by
@@ -24,7 +26,7 @@ take the component of their class, or null. An empty table gives an empty result
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isoloom.llm.common import LOWER, connected_components, encoded, mixed, prefix_hashes, runs, settle, slices, span_hashes
@@ -213,26 +215,39 @@ def _stars(rooted: DataFrame) -> DataFrame:
     return best.where(f"best.hits >= {PREFIX_HITS}").select("cid", F.col("best.at").alias("grp"))
 
 
+def _reach(percent: int) -> Column:
+    """The size of the largest set for which the shingle at the place ``at`` is in the prefix of its set.
+
+    Sets of n and m shingles link when they share at least a = ceil(percent * (n + m) / (100 + percent)); then their first
+    n - a + PREFIX_HITS and m - a + PREFIX_HITS have ``PREFIX_HITS`` in common. The shingles that no other set holds are
+    ``alone``: they come first and aren't counted by ``at``. As many hits as are asked for have to be there, so the first
+    shingles reach no farther than the last of those."""
+    place = f"(alone + greatest(at, least({PREFIX_HITS}, cast(ceil({percent} * n / 100) as long)) - 1))"
+    return F.expr(f"{100 + percent} * (n + {PREFIX_HITS - 1} - {place}) div {percent} - n")
+
+
 def _bounded(rooted: DataFrame, percent: int) -> DataFrame:
     """Every class and group of another component that may hold a partner of it: cid, grp.
 
     The matrix is asked twice, by components and then by the groups of those that qualify, so a family that is one
-    component by now is one entry. Of two components the smaller one asks: what a pair shares, both sides share."""
+    component by now is one entry. Of two components the smaller one asks: what a pair shares, both sides share. A query
+    and an entry meet when the query reaches the entry's smallest set and one of the entry's sets reaches the query."""
     def qualify(met: DataFrame, by: str) -> DataFrame:
         bounds = met.groupBy("cid", "n", by).agg(F.count("*").alias("hits"), F.min("least").alias("least"), F.max("most").alias("most"))
         return bounds.where(
             f"hits >= least({PREFIX_HITS}, cast(ceil({percent} * n / 100) as long)) and {percent} * n <= 100 * most and {percent} * least <= 100 * n"
         ).select("cid", by)
 
-    range_of_sizes = F.min("n").alias("least"), F.max("n").alias("most")
+    range_of_sizes = F.min("n").alias("least"), F.max("n").alias("most"), F.max("reach").alias("farthest")
+    in_reach = "least <= reach and n <= farthest"
     matrix = rooted.groupBy("shingle", F.col("root").alias("other"), F.col("size").alias("other_size")).agg(*range_of_sizes)
     seen = rooted.groupBy("shingle").agg(F.min("root").alias("g1"), F.max("root").alias("g2")).where("g1 <> g2").select("shingle")
     asking = rooted.join(by_sorting(seen), "shingle", "leftsemi")
     smaller = (F.col("size") < F.col("other_size")) | ((F.col("size") == F.col("other_size")) & (F.col("root") < F.col("other")))
-    near = settle(qualify(asking.join(by_sorting(matrix), "shingle").where(smaller), "other"), "near")
+    near = settle(qualify(asking.join(by_sorting(matrix), "shingle").where(smaller).where(in_reach), "other"), "near")
     groups = settle(rooted.groupBy("shingle", F.col("root").alias("other"), "grp").agg(*range_of_sizes), "groups")
-    shared = near.join(by_sorting(rooted.select("cid", "n", "shingle")), "cid")
-    return qualify(shared.join(by_sorting(groups), ["other", "shingle"]), "grp")
+    shared = near.join(by_sorting(rooted.select("cid", "n", "shingle", "reach")), "cid")
+    return qualify(shared.join(by_sorting(groups), ["other", "shingle"]).where(in_reach), "grp")
 
 
 def _compared(members: DataFrame, opened: DataFrame | None, percent: int) -> DataFrame:
@@ -284,9 +299,9 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     ordered = shingles.join(by_sorting(common), "shingle").groupBy("cid", "n", "grp").agg(
         F.array_sort(F.collect_set(F.struct("held", "shingle"))).alias("ordered")
     )
-    length = F.expr(f"n - cast(ceil({percent} * n / 100) as long) + {PREFIX_HITS} - (n - size(ordered))")
-    prefixes = ordered.select("cid", "n", "grp", F.inline(F.slice("ordered", F.lit(1), F.greatest(length, F.lit(0)).cast("int"))))
-    prefixes = settle(prefixes.drop("held"), "prefixes")
+    prefixes = ordered.select("cid", "n", "grp", F.expr("n - size(ordered)").alias("alone"), F.posexplode("ordered").alias("at", "held"))
+    prefixes = prefixes.select("cid", "n", "grp", "held.shingle", _reach(percent).alias("reach"))
+    prefixes = settle(prefixes.where(f"100 * reach >= {percent} * n"), "prefixes")
     members = settle(grouped.select("cid", "rep", "grp", "shingles"), "members")
     edges = settle(_compared(members, None, percent), "inner-edges")
     for _ in range(STAR_ROUNDS):

@@ -261,6 +261,32 @@ def test_ngram_join_of_a_family(spark, monkeypatch):
     assert len(got) == len(texts) + 50 and set(got) == set(want.items()) and 5 < len(set(want.values())) < 400
 
 
+def test_ngram_join_opens_no_group_out_of_reach(spark, monkeypatch):
+    """A family in which every copy lacks too much of the others, of which many have its size: nearly no group is opened.
+    The few that come near the threshold are linked."""
+    opened, compared = [], ngram_join._compared
+
+    def counting(members, groups, percent):
+        if groups is not None:
+            opened.append(groups.count())
+        return compared(members, groups, percent)
+
+    monkeypatch.setattr(ngram_join, "_compared", counting)
+    monkeypatch.setattr(ngram_join, "STAR_ROUNDS", 0)
+    rng = random.Random(4)
+    texts = []
+    for k in range(150):
+        copy = [f"w{i}" for i in range(150)]
+        for p in rng.sample(range(1, 49), 3 if k < 140 else 1):  # three words are nine shingles, more than two of these may lack
+            copy[3 * p] = f"x{k}_{p}"
+        texts.append(" ".join(copy))
+    sets = [shingles(t, 3) for t in texts]
+    links = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])]
+    want = roots(range(len(texts)), links)
+    assert {r["doc_id"]: r["component_id"] for r in ngram_join.link(docs_of(spark, texts), 3, 90).collect()} == want
+    assert links and sum(opened) <= 10 * 10
+
+
 # --- fingerprints ---------------------------------------------------------------------------------------------------
 
 
