@@ -1,6 +1,6 @@
 """The tables that stand in for reads, on odd rows."""
 
-from isoloom.plans import views
+from isoloom.plans import catalog, views
 
 
 def test_reads_are_laid_out_in_the_map_tasks(spark, tmp_path, monkeypatch):
@@ -23,3 +23,13 @@ def test_reads_are_laid_out_in_the_map_tasks(spark, tmp_path, monkeypatch):
     assert {tuple(r) for r in reads.collect()} == want and len(want) == 5
     plan = reads._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
     assert "MapInArrow" in plan and "transform(" not in plan
+
+
+def test_mixed_sheets_are_read_once(spark, tmp_path):
+    """The checks ask for the rows of the sheets several times; the files are opened for the first alone."""
+    rows = [(k, 7 * k, f"2024-05-{k % 28 + 1:02d}", "O", "1-URGENT") for k in range(1, 41)]
+    orders = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderdate string, o_orderstatus string, o_orderpriority string")
+    orders.selectExpr("* except (o_orderdate)", "cast(o_orderdate as date) o_orderdate").write.parquet(str(tmp_path / "orders.parquet"))
+    issues = catalog.QUERIES["validation_mixed_sheets"](spark, str(tmp_path))
+    assert issues.inputFiles() and not [f for f in issues.inputFiles() if f.endswith(".csv")]
+    assert {r["code"] for r in issues.select("code").distinct().collect()} >= {"FILE_MISSING", "COLUMNS_REQUIRED", "BLANK"}
