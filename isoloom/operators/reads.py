@@ -100,9 +100,12 @@ def filter_summary(reads: DataFrame) -> DataFrame:
 
 
 def read_count(samples: DataFrame, lines: DataFrame) -> DataFrame:
-    """Reads per sample from the lines (``sample, mate``) of its read files; four lines make a read, absent files count 0."""
+    """Reads per sample from the lines (``sample, mate``) of its read files; four lines make a read, absent files count 0.
+
+    Lines that are counted already, as per file, have their number in ``n``."""
+    n = F.col("n") if "n" in lines.columns else F.lit(1)
     per_sample = lines.groupBy("sample").agg(
-        F.count("*").alias("n"), *[F.count_if(F.col("mate") == m).alias(f"n{m}") for m in (1, 2)]
+        F.sum(n).alias("n"), *[F.sum(F.when(F.col("mate") == m, n)).alias(f"n{m}") for m in (1, 2)]
     )
     fourth = lambda c: F.expr(f"coalesce({c}, 0) div 4")
     return samples.select("sample").distinct().join(per_sample, "sample", "left").select(
