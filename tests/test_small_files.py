@@ -6,6 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from isoloom.operators import summary
 from isoloom.plans import files
 from isoloom.sources import results, tables
 from isoloom.sources.lines import numbered_lines
@@ -128,3 +129,16 @@ def test_headers_without_a_line(spark, tmp_path):
     (tmp_path / "A_amrfinder.tsv").write_text("\n\n")
     assert results.scan_amr_hits(spark, str(tmp_path)).count() == 0 and results.scan_amr_hits(spark, str(tmp_path / "no")).count() == 0
     assert tables.scan_by_header(spark, str(tmp_path), lambda h: "\t", lambda df, *_: df) is None
+
+
+def test_drugs_without_resistance_arent_shuffled(spark, rows):
+    """One row a sample and task stands for all drugs that aren't predicted resistant, or of no class."""
+    given = [(f"s{i % 2}", f"d{i}", f"c{i % 3}", "No resistance", i) for i in range(400)] + [
+        ("s0", "b", "k", "Resistant", 9), ("s0", "a", "k", "Resistant", 7), ("s0", "a", "k", "Resistant", 11), ("s0", "a", "k", None, 1),
+        ("s0", None, "n", "Resistant", 3), ("s0", "x", None, "Resistant", 2), (None, "y", "j", "Resistant", 5), ("s2", None, None, None, 1),
+    ]
+    pheno = rows("sample string, antimicrobial string, class string, predicted string, line_no long", *given).coalesce(1)
+    out = summary.phenotype_summary(pheno)
+    assert {tuple(r) for r in out.collect()} == {("s0", "a-b[k] [n]"), ("s1", ""), ("s2", ""), (None, "y[j]")}
+    grouped = out._jdf.queryExecution().optimizedPlan().toString().split("Aggregate [")[-1].split("]")[0]
+    assert "sample" in grouped and grouped.count("_groupingexpression") == 2
